@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duepulse.functions.measures import share
+from duepulse.operators.tagging import with_population
 from duepulse.schemas import CHANNEL_AGG_OVERVIEW, CHANNEL_RESPONSE, HOURWISE_CHANNEL_RESPONSE
 
 GROUP = ("company_id", "allocation_month", "date", "tag_name", "type_of_comm")
@@ -43,7 +44,7 @@ def response_rollup(tagged_days: DataFrame, population: DataFrame, by_hour: bool
         _weighted("clicked").alias("click_flag_sum"),
         _weighted("explicit").alias("explicit_sum"),
     )
-    sized = sums.join(population, ["company_id", "tag_name", "allocation_month"], "left")
+    sized = with_population(sums, population)
     triggered = F.col("trigger_count_sum")
     shares = {
         "response_percentage": share(F.col("responded_sum"), triggered),

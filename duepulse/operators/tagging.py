@@ -33,6 +33,32 @@ def tag_population(tag_data: DataFrame) -> DataFrame:
     )
 
 
+def population_of_copies(copies: DataFrame) -> DataFrame:
+    """``tag_population`` from the counted tags. Equal to it wherever a loan has the tag."""
+    return copies.groupBy("company_id", "tag_name", "allocation_month").agg(
+        F.sum("tag_rows").alias("max_triggered")
+    )
+
+
+def with_population(rows: DataFrame, population: DataFrame) -> DataFrame:
+    """Rows with the population of their tag; a NULL tag or month has none.
+
+    The comparison treats NULLs as equal and blanks the result afterwards. A
+    plain ``=`` would filter NULL tags out of one of the two reads of the
+    tags, and they could no longer share a shuffle.
+    """
+    r, p = rows.alias("r"), population.alias("p")
+    known = F.col("r.tag_name").isNotNull() & F.col("r.allocation_month").isNotNull()
+    same = (
+        (F.col("r.company_id") == F.col("p.company_id"))
+        & F.col("r.tag_name").eqNullSafe(F.col("p.tag_name"))
+        & F.col("r.allocation_month").eqNullSafe(F.col("p.allocation_month"))
+    )
+    return r.join(p, same, "left").select(
+        "r.*", F.when(known, F.col("p.max_triggered")).alias("max_triggered")
+    )
+
+
 def channel_clicks(click_data: DataFrame) -> DataFrame:
     """Clicks whose link belongs to a message channel."""
     return (

@@ -53,12 +53,12 @@ def _response(
             None if ivr_agg is None else loan_days.call_loan_days(ivr_agg, scope, combine, by_hour),
         ]
     )
-    loan_tags = scope.of_company(tag_data)
-    tags = tagging.tag_copies(loan_tags)
+    copies = tagging.tag_copies(scope.of_company(tag_data))
+    tags = copies
     if click_data is not None:
-        tags = tagging.with_clicks(tags, scope.of_company(click_data))
+        tags = tagging.with_clicks(copies, scope.of_company(click_data))
     return rollup.response_rollup(
-        tagging.tagged(days, tags, "left"), tagging.tag_population(loan_tags), by_hour
+        tagging.tagged(days, tags, "left"), tagging.population_of_copies(copies), by_hour
     )
 
 

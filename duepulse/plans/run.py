@@ -40,64 +40,75 @@ class Sources:
 class Table:
     """A table of the run: its columns, and the partition keys a run replaces.
 
-    Keys that are not columns of the table are helpers: copies of a value in a
-    form that prunes files.
+    Helpers are further columns in a form that prunes files: a day in place of
+    a timestamp or a text.
     """
 
     name: str
     keys: tuple[str, ...]
     schema: StructType | None
-    helpers: dict[str, Callable[[], Column]]
+    helpers: tuple[str, ...] = ()
+
+    def stored_schema(self) -> StructType | None:
+        if self.schema is None:
+            return None
+        schema = StructType(list(self.schema.fields))
+        for helper in self.helpers:
+            schema = schema.add(helper, HELPERS[helper][0])
+        return schema
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.name}"
 
 
-def _created_day() -> Column:
-    return F.to_date("created")
-
-
-def _started_day() -> Column:
-    return day_of(F.col("start_time"))
-
+# Helper columns: type and definition. ``run_days`` is the day range of a run.
+HELPERS: dict[str, tuple[str, Callable[[Scope], Column]]] = {
+    "channel": ("string", lambda _: F.lower("type_of_comm")),
+    "created_day": ("date", lambda _: F.to_date("created")),
+    "started_day": ("date", lambda _: day_of(F.col("start_time"))),
+    "run_days": ("string", lambda scope: F.lit(f"{scope.start}_{scope.end}")),
+}
 
 _MONTHLY = ("company_id", "allocation_month")
-ALLOCATION_DATA = Table("allocation_data", _MONTHLY, None, {})
-TAG_DATA = Table("tag_data", _MONTHLY, schemas.TAG_DATA, {})
+ALLOCATION_DATA = Table("allocation_data", _MONTHLY, None)
+TAG_DATA = Table("tag_data", _MONTHLY, schemas.TAG_DATA)
 MSG_DATA = Table(
     "msg_data",
     ("company_id", "channel", "created_day"),
     schemas.MSG_DATA,
-    {"channel": lambda: F.lower("type_of_comm"), "created_day": _created_day},
+    ("channel", "created_day"),
 )
 IVR_DATA = Table(
     "ivr_data",
     ("company_id", "created_day"),
     schemas.IVR_DATA,
-    {"created_day": _created_day, "started_day": _started_day},
+    ("created_day", "started_day"),
 )
 MSG_AGG_DATA = Table(
     "msg_agg_data",
     ("company_id", "type_of_comm", "created_day"),
     schemas.MSG_AGG_DATA,
-    {"created_day": _created_day},
+    ("created_day",),
 )
 IVR_AGG_DATA = Table(
     "ivr_agg_data",
     ("company_id", "started_day"),
     schemas.IVR_AGG_DATA,
-    {"started_day": _started_day},
+    ("started_day",),
 )
 CHANNEL_AGG_OVERVIEW = Table(
-    "channel_agg_overview", ("company_id", "run_days"), schemas.CHANNEL_AGG_OVERVIEW, {}
+    "channel_agg_overview",
+    ("company_id", "run_days"),
+    schemas.CHANNEL_AGG_OVERVIEW,
+    ("run_days",),
 )
 _DAILY = ("company_id", "date")
 CHANNEL_CONNECTIVITY_RESPONSE = Table(
-    "channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE, {}
+    "channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE
 )
-DATEWISE_CHANNEL_RESPONSE = Table("datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE, {})
+DATEWISE_CHANNEL_RESPONSE = Table("datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE)
 HOURWISE_CHANNEL_RESPONSE = Table(
-    "hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE, {}
+    "hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE
 )
 TABLES = (
     ALLOCATION_DATA,
@@ -123,14 +134,7 @@ class Run:
     allocation_month: str | None = None
 
     def _stored(self, table: Table) -> DataFrame:
-        path = table.path(self.root)
-        if table.schema is None:
-            return read_staged(self.spark, path, keys=table.keys)
-        schema = StructType(table.schema.fields)
-        for helper in (*table.helpers, *(k for k in table.keys if k == "run_days")):
-            if helper not in schema.names:
-                schema = schema.add(helper, "date" if helper.endswith("_day") else "string")
-        return read_staged(self.spark, path, schema)
+        return read_staged(self.spark, table.path(self.root), table.stored_schema(), table.keys)
 
     def read(self, table: Table) -> DataFrame:
         """The whole table as it was declared, all runs included."""
@@ -143,7 +147,8 @@ class Run:
         return self._stored(table).where(self.scope.days(F.col(day))).select(*table.schema.names)
 
     def write(self, table: Table, rows: DataFrame, covered: Column) -> Loaded:
-        rows = rows.withColumns({name: make() for name, make in table.helpers.items()})
+        if table.helpers:
+            rows = rows.withColumns({name: HELPERS[name][1](self.scope) for name in table.helpers})
         return replace_partitions(rows, table.path(self.root), table.keys, covered)
 
     def _company(self) -> Column:
@@ -198,14 +203,12 @@ class Run:
         # The overview picks calls by the day they were created.
         messages, calls = self.read_days(MSG_AGG_DATA), self.read_days(IVR_AGG_DATA)
         every_call, tags = self.read(IVR_AGG_DATA), self.read(TAG_DATA)
-        run_days = f"{scope.start}_{scope.end}"
         dated = self._company() & scope.days(F.col("date"))
-        overview = reports.channel_overview(messages, every_call, tags, scope)
         return {
             "channel_agg_overview": self.write(
                 CHANNEL_AGG_OVERVIEW,
-                overview.withColumn("run_days", F.lit(run_days)),
-                self._company() & (F.col("run_days") == run_days),
+                reports.channel_overview(messages, every_call, tags, scope),
+                self._company() & (F.col("run_days") == HELPERS["run_days"][1](scope)),
             ),
             "channel_connectivity_response": self.write(
                 CHANNEL_CONNECTIVITY_RESPONSE,

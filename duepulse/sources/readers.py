@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,16 +18,6 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
 def read_staged(
     spark: SparkSession, path: str, schema: StructType | None = None, keys: tuple[str, ...] = ()
 ) -> DataFrame:

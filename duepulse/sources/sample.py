@@ -8,174 +8,124 @@ such as its balance.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from duepulse.plans.run import Sources
 
-_NTZ = "timestamp_ntz"
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _company(person: Column) -> Column:
-    return F.concat(F.lit("co-"), (person % 3).cast("string")).alias("company_id")
-
+def _loan(person: str) -> tuple[str, str]:
+    return f"concat('co-', {person} % 3) AS company_id", f"concat('L', {person}) AS loan_id"
 
-def _loan(person: Column) -> Column:
-    return F.concat(F.lit("L"), person.cast("string")).alias("loan_id")
 
-
-def _pick(index: Column, *values: str | None) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# Pieces of the payload, in order; NULL leaves are spelled out as JSON null.
+_PAYLOAD = (
+    """ '{"sms_language":"', if(event_id % 2 = 0, 'en', 'hi') """,
+    """ '","template_name":"', element_at(array('due_Tamil_v1', 'due_KANNADA', 'due_bengali',
+        'due_telugunew', 'due_telugu', 'due_english'), int((event_id * 7 + user_id) % 6 + 1)) """,
+    """ '","delivered_time":"', if(event_id % 5 = 0, '', concat(day, ' 10:00:00')) """,
+    """ '","opened_time":', if(event_id % 3 = 0, 'null', '"x"') """,
+    """ ',"sms_verification_link_clicked_count":', if(event_id % 4 = 0, 'null', string(event_id % 4)) """,
+    """ ',"dtmf_ivr_mobile":"9', lpad(user_id, 9, '0') """,
+    """ '","start_time":', if(event_id % 13 = 0, 'null', concat('"', day, ' ', hh, ':15:00"')) """,
+    """ ',"end_time":"', day, ' ', hh, ':45:00' """,
+    """ '","call_duration":"', event_id % 25 """,
+    """ '","ivr_response":{"scenarioName":"s1","collectedDtmfs":',
+        CASE event_id % 6 WHEN 0 THEN '{}' WHEN 1 THEN 'null' ELSE '{"1":"1"}' END """,
+    """ ',"collectedMappedDtmfs":', element_at(array('{}', '"0"', '{"1":"Yes"}', '{"1":"NO"}',
+        '{"1":"9"}', 'null', '{"1":"no then yes"}'), int(event_id % 7 + 1)) """,
+    """ '},"error":{"groupName":',
+        CASE event_id % 9 WHEN 0 THEN '"SYSTEM"' WHEN 1 THEN '"USER_ERRORS"' ELSE 'null' END, '}}' """,
+)
 
 
 def communication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages and calls; an event of value 150 or more was sent twice."""
-    event, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    day = ts.cast("date").cast("string")
-    hour = F.hour(ts)
-    odd_case = event % 11 == 0
-    kind = (
-        F.when(F.col("event_type").isin("click", "signup"), F.when(odd_case, "WhatsApp").otherwise("whatsapp"))
-        .when(F.col("event_type") == "view", F.when(odd_case, "SMS").otherwise("sms"))
-        .otherwise("dtmf_ivr")
-    )
-
-    def at(hour_of_day: Column, minutes: str) -> Column:
-        return F.concat(day, F.lit(" "), F.lpad(hour_of_day.cast("string"), 2, "0"), F.lit(minutes))
-
-    templates = ("due_Tamil_v1", "due_KANNADA", "due_bengali", "due_telugunew", "due_telugu", "due_english")
-    mapped = (
-        "{}",
-        '"0"',
-        '{"1":"Yes"}',
-        '{"1":"NO"}',
-        '{"1":"9"}',
-        "null",
-        '{"1":"no then yes"}',
-    )
-    errors = ('"SYSTEM"', '"USER_ERRORS"', *["null"] * 7)
-    payload = F.concat(
-        F.lit('{"sms_language":"'),
-        F.when(event % 2 == 0, "en").otherwise("hi"),
-        F.lit('","template_name":"'),
-        _pick((event * 7 + user) % 6, *templates),
-        F.lit('","delivered_time":"'),
-        F.when(event % 5 == 0, "").otherwise(F.concat(day, F.lit(" 10:00:00"))),
-        F.lit('","opened_time":'),
-        F.when(event % 3 == 0, "null").otherwise('"x"'),
-        F.lit(',"sms_verification_link_clicked_count":'),
-        F.when(event % 4 == 0, "null").otherwise((event % 4).cast("string")),
-        F.lit(',"dtmf_ivr_mobile":"9'),
-        F.lpad(user.cast("string"), 9, "0"),
-        F.lit('","start_time":'),
-        F.when(event % 13 == 0, "null").otherwise(
-            F.concat(F.lit('"'), at(hour, ":15:00"), F.lit('"'))
-        ),
-        F.lit(',"end_time":"'),
-        at(hour, ":45:00"),
-        F.lit('","call_duration":"'),
-        (event % 25).cast("string"),
-        F.lit('","ivr_response":{"scenarioName":"s1","collectedDtmfs":'),
-        F.when(event % 6 == 0, "{}").when(event % 6 == 1, "null").otherwise('{"1":"1"}'),
-        F.lit(',"collectedMappedDtmfs":'),
-        _pick(event % 7, *mapped),
-        F.lit('},"error":{"groupName":'),
-        _pick(event % 9, *errors),
-        F.lit("}}"),
-    )
-    sent = F.explode(F.when(F.col("value") >= 150, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
     return (
         _table(spark, sf_dir, "events")
-        .select("*", sent.alias("copy"))
-        .select(
-            _company(user),
-            _loan(user),
-            kind.alias("type_of_comm"),
-            at(hour - hour % 6, ":00:00").cast(_NTZ).alias("created"),
-            F.when(event % 17 == 0, "").when(event % 19 != 0, "2024-1-01").alias("allocation_month"),
-            payload.alias("comm_dict"),
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "event_type",
+            "explode(if(value >= 150, array(1, 2), array(1))) AS copy",
+            "string(date(ts)) AS day",
+            "hour(ts) AS hour",
+            "lpad(hour(ts), 2, '0') AS hh",
+        )
+        .selectExpr(
+            *_loan("user_id"),
+            """CASE WHEN event_type IN ('click', 'signup') THEN if(event_id % 11 = 0, 'WhatsApp', 'whatsapp')
+                    WHEN event_type = 'view' THEN if(event_id % 11 = 0, 'SMS', 'sms')
+                    ELSE 'dtmf_ivr' END AS type_of_comm""",
+            "cast(concat(day, ' ', lpad(hour - hour % 6, 2, '0'), ':00:00') AS timestamp_ntz) AS created",
+            """CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 19 = 0 THEN NULL
+                    ELSE '2024-1-01' END AS allocation_month""",
+            f"concat({', '.join(_PAYLOAD)}) AS comm_dict",
         )
     )
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags by balance: none below 0, more tags and months as it grows, and a repeated tag."""
-    balance = F.col("c_acctbal")
-
-    def tag(least: int, name: Column, month: str) -> Column:
-        return F.when(balance >= least, F.struct(name.alias("tag_name"), F.lit(month).alias("allocation_month")))
-
-    retarget = F.lit("RETARGET")
-    kinds = F.array(
-        tag(0, F.col("c_mktsegment"), "2024-1-01"),
-        tag(6000, retarget, "2024-1-01"),
-        tag(8000, retarget, "2024-2-01"),
-        tag(9000, retarget, "2024-1-01"),
-    )
+    # Least balance, name and month of each tag; a NULL name stands for the market segment.
     return (
         _table(spark, sf_dir, "customer")
-        .select(_company(F.col("c_custkey")), _loan(F.col("c_custkey")), F.explode(kinds).alias("tag"))
-        .where(F.col("tag").isNotNull())
-        .select("company_id", "loan_id", "tag.tag_name", "tag.allocation_month")
+        .selectExpr(
+            *_loan("c_custkey"),
+            "c_mktsegment",
+            "c_acctbal",
+            """inline(array(
+                named_struct('least', 0, 'tag', string(NULL), 'month', '2024-1-01'),
+                named_struct('least', 6000, 'tag', 'RETARGET', 'month', '2024-1-01'),
+                named_struct('least', 8000, 'tag', 'RETARGET', 'month', '2024-2-01'),
+                named_struct('least', 9000, 'tag', 'RETARGET', 'month', '2024-1-01')))""",
+        )
+        .where("c_acctbal >= least")
+        .selectExpr(
+            "company_id", "loan_id", "coalesce(tag, c_mktsegment) AS tag_name", "month AS allocation_month"
+        )
     )
 
 
 def click_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events; a quarter of the links belongs to no message channel."""
-    links = ("x_predue_1_wa_a", "predue_sms", "predue_z_sms_b", "postdue_wa")
     return (
         _table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "click")
-        .select(
-            _company(F.col("user_id")),
-            _loan(F.col("user_id")),
-            F.col("ts").alias("created"),
-            _pick(F.col("event_id") % 4, *links).alias("link_tag"),
+        .where("event_type = 'click'")
+        .selectExpr(
+            *_loan("user_id"),
+            "ts AS created",
+            """element_at(array('x_predue_1_wa_a', 'predue_sms', 'predue_z_sms_b', 'postdue_wa'),
+                          int(event_id % 4 + 1)) AS link_tag""",
         )
     )
 
 
 def lending_default_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.col("o_orderkey")
-    mode = F.when(order % 4 == 0, "null").otherwise(
-        F.concat(F.lit('"'), F.lower("o_orderstatus"), F.lit('"'))
-    )
-    return _table(spark, sf_dir, "orders").select(
-        _company(F.col("o_custkey")),
-        _loan(F.col("o_custkey")),
-        order.alias("default_id"),
-        F.when(order % 3 == 0, "2024-2-01").otherwise("2024-1-01").alias("allocation_month"),
-        F.concat(F.lit('{"repayment_mode":'), mode, F.lit("}")).alias("additional_variables"),
-        F.concat(F.lit('{"principal":'), (order % 100).cast("string"), F.lit("}")).alias(
-            "amount_recovered_breakdown"
-        ),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        *_loan("o_custkey"),
+        "o_orderkey AS default_id",
+        "if(o_orderkey % 3 = 0, '2024-2-01', '2024-1-01') AS allocation_month",
+        """concat('{"repayment_mode":', if(o_orderkey % 4 = 0, 'null',
+                  concat('"', lower(o_orderstatus), '"')), '}') AS additional_variables""",
+        """concat('{"principal":', o_orderkey % 100, '}') AS amount_recovered_breakdown""",
     )
 
 
 def lending_loan_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts by balance: none below 0, and two rows from 9500 on."""
-    person, balance = F.col("c_custkey"), F.col("c_acctbal")
-    number = F.when(person % 6 == 0, "null").otherwise(
-        F.concat(F.lit('"9'), F.lpad(person.cast("string"), 9, "0"), F.lit('"'))
-    )
-    rows = F.when(balance >= 9500, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
         _table(spark, sf_dir, "customer")
-        .where(balance >= 0)
-        .select("c_custkey", F.explode(rows).alias("extra"))
-        .select(
-            _company(person),
-            _loan(person),
-            F.concat(
-                F.lit('{"mob":"'),
-                (person % 24 + F.col("extra")).cast("string"),
-                F.lit('","applicant_contact_number":'),
-                number,
-                F.lit("}"),
-            ).alias("loan_details"),
+        .where("c_acctbal >= 0")
+        .selectExpr("c_custkey", "explode(if(c_acctbal >= 9500, array(0, 1), array(0))) AS extra")
+        .selectExpr(
+            *_loan("c_custkey"),
+            """concat('{"mob":"', c_custkey % 24 + extra, '","applicant_contact_number":',
+                      if(c_custkey % 6 = 0, 'null', concat('"9', lpad(c_custkey, 9, '0'), '"')), '}')
+               AS loan_details""",
         )
     )
 

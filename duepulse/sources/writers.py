@@ -9,7 +9,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from duepulse.sources.readers import read_staged, table_exists
+from duepulse.sources.readers import read_staged
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
 
@@ -93,9 +93,9 @@ def replace_partitions(
     several files and gives a small one a single file.
     """
     spark = rows.sparkSession
-    before: dict[tuple[str, ...], set[str]] = {}
-    if table_exists(spark, path):
-        before = _folders(read_staged(spark, path, rows.schema).where(covered), keys)
+    nothing = rows.limit(0)
+    nothing.write.mode("ignore").partitionBy(*keys).parquet(path)
+    before = _folders(read_staged(spark, path, rows.schema).where(covered), keys)
 
     key = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
     even = rows.hint("rebalance", *[F.col(k) for k in keys])
@@ -108,8 +108,7 @@ def replace_partitions(
     )
     written = {tuple(p[k] for k in keys) for p in seen.get["partitions"]}
 
-    nothing = rows.drop(*keys).limit(0)
     for partition in before.keys() - written:
         for folder in before[partition]:
-            nothing.write.mode("overwrite").parquet(folder)
+            nothing.drop(*keys).write.mode("overwrite").parquet(folder)
     return Loaded(seen.get["rows"])
