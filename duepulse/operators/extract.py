@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from duepulse.functions import messages
 from duepulse.operators.joins import left_join_splitting_both_sides
@@ -37,7 +37,9 @@ _IVR_JSON = (
 
 
 def _with_json(rows: DataFrame, fields: str) -> DataFrame:
-    return rows.withColumn("json", F.from_json("comm_dict", fields))
+    """Adds the parsed payload. As the one element of an exploded array it is parsed once;
+    as a plain column it would be parsed again by each later filter on one of its leaves."""
+    return rows.select("*", F.explode(F.array(F.from_json("comm_dict", fields))).alias("json"))
 
 
 def extract_messages(
@@ -46,12 +48,12 @@ def extract_messages(
     channels: Sequence[str] = MESSAGE_CHANNELS,
 ) -> DataFrame:
     """One row per WhatsApp or SMS message. Both channels come out of one scan."""
-    rows = of_channels(scope.of_company(communication), channels)
+    rows = of_channels(scope.of_company(_as_text(communication, "company_id")), channels)
     rows = _with_json(rows.where(scope.days(F.to_date("created"))), _MESSAGE_JSON)
     clicks = F.col("json.sms_verification_link_clicked_count")
     return rows.select(
         "created",
-        F.col("company_id").cast("string").alias("company_id"),
+        "company_id",
         "type_of_comm",
         "loan_id",
         messages.message_language(
@@ -67,7 +69,7 @@ def extract_ivr(
     communication: DataFrame, scope: Scope = EVERYTHING, channel: str = IVR_CHANNEL
 ) -> DataFrame:
     """One row per IVR call that has an allocation month."""
-    rows = of_channels(scope.of_company(communication), [channel])
+    rows = of_channels(scope.of_company(_as_text(communication, "company_id")), [channel])
     rows = rows.where(scope.days(F.to_date("created"))).where(F.col("allocation_month") != "")
     return (
         _with_json(rows, _IVR_JSON)
@@ -83,18 +85,21 @@ def extract_ivr(
             F.col("json.ivr_response.collectedDtmfs").alias("collectedDtmfs"),
             F.col("json.ivr_response.collectedMappedDtmfs").alias("collectedMappedDtmfs"),
             "created",
-            F.col("company_id").cast("string").alias("company_id"),
+            "company_id",
             "type_of_comm",
         )
         .select(*IVR_DATA.names)
     )
 
 
-def _json_text(rows: DataFrame, name: str) -> Column:
-    """A JSON column as text, whether the source has it as text or as a nested type."""
-    if rows.schema[name].dataType.typeName() in ("struct", "map", "array", "variant"):
-        return F.to_json(name)
-    return F.col(name).cast("string")
+def _as_text(rows: DataFrame, name: str) -> DataFrame:
+    """The column as text: JSON for a nested type. A text column stays as it is, without even
+    an alias, so that two readers of the rows have the same plan and share its shuffle."""
+    kind = rows.schema[name].dataType.typeName()
+    if kind == "string":
+        return rows
+    nested = kind in ("struct", "map", "array", "variant")
+    return rows.withColumn(name, F.to_json(name) if nested else F.col(name).cast("string"))
 
 
 def extract_allocation(
@@ -104,23 +109,16 @@ def extract_allocation(
     allocation_month: str | None = None,
 ) -> DataFrame:
     """Defaulted loans of a month with contact data; a loan repeats per detail row."""
-    loans = in_month(scope.of_company(defaults), allocation_month)
-    loans = (
-        loans.withColumn("repayment_mode", F.get_json_object("additional_variables", "$.repayment_mode"))
-        .drop("additional_variables")
-        .withColumn("amount_recovered_breakdown", _json_text(loans, "amount_recovered_breakdown"))
-        .withColumn("company_id", F.col("company_id").cast("string"))
-    )
+    loans = in_month(scope.of_company(_as_text(defaults, "company_id")), allocation_month)
+    loans = loans.withColumn(
+        "repayment_mode", F.get_json_object("additional_variables", "$.repayment_mode")
+    ).drop("additional_variables")
+    loans = _as_text(loans, "amount_recovered_breakdown")
     contact = F.from_json("loan_details", "mob string, applicant_contact_number string")
     contacts = (
-        scope.of_company(details)
+        scope.of_company(_as_text(details, "company_id"))
         .withColumn("contact", contact)
-        .select(
-            F.col("company_id").cast("string").alias("company_id"),
-            "loan_id",
-            "contact.mob",
-            "contact.applicant_contact_number",
-        )
+        .select("company_id", "loan_id", "contact.mob", "contact.applicant_contact_number")
     )
     return left_join_splitting_both_sides(loans, contacts, ["company_id", "loan_id"])
 
@@ -129,5 +127,5 @@ def extract_tags(
     tags: DataFrame, scope: Scope = EVERYTHING, allocation_month: str | None = None
 ) -> DataFrame:
     """Loan tags of a month."""
-    rows = in_month(scope.of_company(tags), allocation_month)
-    return rows.withColumn("company_id", F.col("company_id").cast("string")).select(*TAG_DATA.names)
+    rows = in_month(scope.of_company(_as_text(tags, "company_id")), allocation_month)
+    return rows.select(*TAG_DATA.names)

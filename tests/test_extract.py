@@ -1,0 +1,203 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import makers
+from conftest import at, by, rows_of
+from duepulse import schemas
+from duepulse.operators.extract import (
+    extract_allocation,
+    extract_ivr,
+    extract_messages,
+    extract_tags,
+)
+from duepulse.operators.joins import left_join_splitting_both_sides
+from duepulse.operators.scope import Scope
+
+
+def test_messages(spark):
+    full = {
+        "sms_language": "hi",
+        "template_name": "due_TAMIL",
+        "delivered_time": "",
+        "opened_time": "2024-01-05",
+        "sms_verification_link_clicked_count": 3,
+    }
+    df = makers.communication(
+        spark,
+        [
+            {"loan_id": "sms", "type_of_comm": "sms", "payload": full},
+            {"loan_id": "wa", "type_of_comm": "whatsapp", "payload": {**full, "sms_verification_link_clicked_count": "4"}},
+            {"loan_id": "WA", "type_of_comm": "WhatsApp", "payload": full},
+            {"loan_id": "no template", "type_of_comm": "whatsapp", "payload": {}},
+            {"loan_id": "json null", "type_of_comm": "sms", "payload": {"sms_language": None, "opened_time": None}},
+            {"loan_id": "no json", "type_of_comm": "sms", "comm_dict": None},
+            {"loan_id": "call", "type_of_comm": "dtmf_ivr", "payload": full},
+            {"loan_id": "null channel", "payload": full},
+            {"loan_id": "blank month", "type_of_comm": "sms", "allocation_month": "", "payload": full},
+        ],
+    )
+    found = extract_messages(df)
+    assert found.schema.names == schemas.MSG_DATA.names
+    got = by(found, "loan_id")
+    assert set(got) == {"sms", "wa", "WA", "no template", "json null", "no json", "blank month"}
+    facts = {k: (v["comm_language"], v["delivery_status"], v["opened_status"], v["click_count"]) for k, v in got.items()}
+    assert facts["sms"] == ("hi", None, "2024-01-05", 3)
+    assert facts["wa"] == ("ta", None, "2024-01-05", 4)
+    assert facts["WA"] == (None, None, "2024-01-05", 3)
+    for empty in ("no template", "json null", "no json"):
+        assert facts[empty] == (None, None, None, None)
+    assert got["WA"]["type_of_comm"] == "WhatsApp"
+
+
+def test_one_channel(spark):
+    df = makers.communication(spark, [{"type_of_comm": t} for t in ("sms", "SMS", "whatsapp")])
+    assert extract_messages(df, channels=["sms"]).count() == 2
+
+
+def test_company_and_inclusive_days(spark):
+    stamps = ["2024-01-02 23:59:59.999", "2024-01-03 00:00:00", "2024-01-04 23:59:59.999", "2024-01-05 00:00:00"]
+    df = makers.communication(
+        spark,
+        [{"type_of_comm": "sms", "created": at(s), "loan_id": s} for s in stamps]
+        + [{"type_of_comm": "sms", "created": at(stamps[1]), "company_id": other} for other in ("d", None)],
+    )
+    got = extract_messages(df, Scope("c", "2024-01-03", "2024-01-04"))
+    assert sorted(r.loan_id for r in got.collect()) == stamps[1:3]
+    assert extract_messages(df, Scope("c", "2025-01-03", "2025-01-04")).isEmpty()
+    assert extract_messages(df).count() == 5
+
+
+def test_bad_click_count_fails(spark):
+    df = makers.communication(
+        spark, [{"type_of_comm": "sms", "payload": {"sms_verification_link_clicked_count": "many"}}]
+    )
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        extract_messages(df).collect()
+
+
+def test_calls(spark):
+    payload = {
+        "dtmf_ivr_mobile": "9",
+        "start_time": "2024-01-05 10:00:00",
+        "end_time": "2024-01-05 10:01:00",
+        "call_duration": 12,
+        "template_name": "t",
+        "ivr_response": {"scenarioName": "s", "collectedDtmfs": {}, "collectedMappedDtmfs": {"1": "Yes"}},
+        "error": {"groupName": "SYSTEM"},
+    }
+    scalars = {"ivr_response": {"collectedMappedDtmfs": "0", "collectedDtmfs": None}, "error": "text"}
+    df = makers.communication(
+        spark,
+        [
+            {"loan_id": "full", "payload": payload},
+            {"loan_id": "scalars", "payload": scalars},
+            {"loan_id": "no objects", "payload": {"ivr_response": None}},
+            {"loan_id": "blank month", "allocation_month": "", "payload": payload},
+            {"loan_id": "null month", "allocation_month": None, "payload": payload},
+        ],
+        type_of_comm="DTMF_ivr",
+    )
+    found = extract_ivr(df)
+    assert found.schema.names == schemas.IVR_DATA.names
+    got = by(found, "loan_id")
+    assert set(got) == {"full", "scalars", "no objects"}
+    full = got["full"]
+    assert (full["mobile"], full["call_duration"], full["template_name"]) == ("9", "12", "t")
+    assert (full["scenario_name"], full["error_nm"]) == ("s", "SYSTEM")
+    assert (full["collectedDtmfs"], full["collectedMappedDtmfs"]) == ("{}", '{"1":"Yes"}')
+    assert (full["type_of_comm"], full["end_time"]) == ("DTMF_ivr", "2024-01-05 10:01:00")
+    assert (got["scalars"]["collectedMappedDtmfs"], got["scalars"]["collectedDtmfs"]) == ("0", None)
+    assert got["scalars"]["error_nm"] is None
+    assert got["no objects"]["scenario_name"] is None
+
+
+def test_allocation(spark):
+    defaults = spark.createDataFrame(
+        [
+            ("c", "L1", "2022-8-01", '{"repayment_mode":"emi"}', '{"p":1}', 7),
+            ("c", "L2", "2022-8-01", "{}", None, 8),
+            ("c", None, "2022-8-01", "{}", None, 9),
+            ("c", "L1", "2022-08-01", "{}", None, 10),
+            ("d", "L1", "2022-8-01", "{}", None, 11),
+        ],
+        "company_id string, loan_id string, allocation_month string, additional_variables string, "
+        "amount_recovered_breakdown string, extra int",
+    )
+    details = spark.createDataFrame(
+        [
+            ("c", "L1", '{"mob":"3","applicant_contact_number":"99"}'),
+            ("c", "L1", '{"mob":"4"}'),
+            ("c", None, '{"mob":"5"}'),
+            ("d", "L2", '{"mob":"6"}'),
+        ],
+        "company_id string, loan_id string, loan_details string",
+    )
+    found = extract_allocation(defaults, details, Scope("c"), "2022-8-01")
+    assert found.columns == [
+        "company_id", "loan_id", "allocation_month", "amount_recovered_breakdown", "extra",
+        "repayment_mode", "mob", "applicant_contact_number",
+    ]
+    got = sorted((r.extra, r.repayment_mode, r.mob, r.applicant_contact_number) for r in found.collect() if r.mob)
+    assert got == [(7, "emi", "3", "99"), (7, "emi", "4", None)]
+    assert sorted(r.extra for r in found.collect() if not r.mob) == [8, 9]
+    # Every company and month: two loans with two detail rows each, three without.
+    assert extract_allocation(defaults, details).count() == 2 * 2 + 3
+
+
+def test_allocation_keeps_nested_breakdown_as_json(spark):
+    defaults = spark.createDataFrame(
+        [("c", "L1", "m", "{}")],
+        "company_id string, loan_id string, allocation_month string, additional_variables string",
+    ).withColumn("amount_recovered_breakdown", F.struct(F.lit(1).alias("p")))
+    details = spark.createDataFrame([], "company_id string, loan_id string, loan_details string")
+    assert extract_allocation(defaults, details).first()["amount_recovered_breakdown"] == '{"p":1}'
+
+
+def test_split_join_equals_left_join_with_frequent_keys(spark):
+    left = spark.range(600).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 7 = 0, NULL, string(id % 50))) AS k", "id AS a"
+    )
+    right = spark.range(300).selectExpr("if(id % 3 = 0, 'hot', if(id % 5 = 0, NULL, string(id % 90))) AS k", "id AS b")
+    want = left.join(right, "k", "left")
+    found = left_join_splitting_both_sides(left, right, ["k"])
+    assert found.columns == want.columns
+    assert rows_of(found) == rows_of(want)
+
+
+def test_split_join_survives_skew_splitting(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    left = spark.range(0, 3000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', string(id % 500)) AS k", "id AS a")
+    right = spark.range(0, 60, 1, 8).selectExpr("if(id % 3 = 0, 'hot', string(id * 20)) AS k", "id AS b")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = left_join_splitting_both_sides(left, right, ["k"])
+        got = rows_of(found)
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == rows_of(left.join(right, "k", "left"))
+
+
+def test_tags(spark):
+    df = makers.tags(
+        spark,
+        [
+            {"tag_name": "a"},
+            {"tag_name": "b", "allocation_month": "2024-01-01"},
+            {"tag_name": "d", "company_id": "x"},
+            {"tag_name": None},
+            {"tag_name": "e", "allocation_month": None},
+        ],
+    )
+    assert sorted(str(r.tag_name) for r in extract_tags(df, Scope("c"), "2024-1-01").collect()) == ["None", "a"]
+    assert extract_tags(df).count() == 4
