@@ -272,17 +272,22 @@ FROM (
 """
 
 
-def _with(w: Window, final: str) -> str:
+_SOURCES = {
+    "communication": _COMMUNICATION,
+    "tags": _TAGS,
+    "click_data": _CLICK_DATA,
+    "lending_default_details": _DEFAULTS,
+    "lending_loan_details": _DETAILS,
+}
+
+
+def _with(w: Window, final: str, sources: dict[str, str]) -> str:
     """The final query under the tables a run of this window would have loaded.
 
     Reports read the tags of every month; a query of one month filters itself.
     """
     tables = {
-        "communication": _COMMUNICATION,
-        "tags": _TAGS,
-        "click_data": _CLICK_DATA,
-        "lending_default_details": _DEFAULTS,
-        "lending_loan_details": _DETAILS,
+        **sources,
         "msg_data": _msg_data(w),
         "ivr_data": _ivr_data(w),
         "tag_data": f"SELECT * FROM tags WHERE {w.own()}",
@@ -292,7 +297,8 @@ def _with(w: Window, final: str) -> str:
         "channel_clicks": _CHANNEL_CLICKS,
     }
     needed = _needed(final, tables)
-    return "WITH " + ",\n".join(f"{n} AS ({tables[n]})" for n in tables if n in needed) + "\n" + final
+    parts = [f"{n} AS ({tables[n]})" for n in tables if n in needed]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
 def _needed(text: str, tables: dict[str, str]) -> set[str]:
@@ -414,12 +420,14 @@ ALL = Window()
 ONE_RUN = Window("co-1", "2024-01-03", "2024-01-20", "2024-1-01")
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(sources_exist: bool = False) -> dict[str, str]:
+    """The SQL of each query. With ``sources_exist``, the source tables are read as views."""
     result = {**_extracts(ALL), **_reports(ALL), **_parts(ALL), "full_run": _full_run(ALL)}
     one_run = {**_extracts(ONE_RUN), **_reports(ONE_RUN)}
     result.update({f"{name}_one_run": text for name, text in one_run.items() if not _is_branch(name)})
     windows = {name: (ONE_RUN if name.endswith("_one_run") else ALL) for name in result}
-    return {name: _with(windows[name], text) for name, text in result.items()}
+    sources = {} if sources_exist else _SOURCES
+    return {name: _with(windows[name], text, sources) for name, text in result.items()}
 
 
 def _is_branch(name: str) -> bool:

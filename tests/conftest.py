@@ -23,7 +23,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="1m",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,0 +1,105 @@
+"""The plans: filters at the scan, no Python in the job, shared shuffles, no cross joins."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as registered
+import makers
+from conftest import SF_SMALL
+from duepulse import schemas
+from duepulse.operators.aggregate import aggregate_messages
+from duepulse.operators.extract import extract_allocation, extract_ivr, extract_messages
+from duepulse.operators.scope import Scope
+from duepulse.plans import reports, run
+from duepulse.sources import sample
+
+RUN = Scope("co-1", "2024-01-03", "2024-01-20")
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def details(df) -> str:
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("staged")
+    tables = {}
+    for name, df in vars(sample.sources(spark, SF_SMALL)).items():
+        df.write.parquet(f"{folder}/{name}")
+        tables[name] = spark.read.parquet(f"{folder}/{name}")
+    return tables
+
+
+@pytest.mark.parametrize("name", [n for n in registered.queries() if n != "full_run"])
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(registered.queries()[name](spark, SF_SMALL))
+    for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert node not in text, node
+
+
+def test_extracts_push_company_and_days_and_shuffle_nothing(staged):
+    for extract in (extract_messages, extract_ivr):
+        df = extract(staged["communication"], RUN)
+        text = details(df)
+        assert "EqualTo(company_id,co-1)" in text
+        assert "GreaterThanOrEqual(created,2024-01-03T00:00)" in text
+        assert "LessThan(created,2024-01-21T00:00)" in text
+        assert "Exchange" not in text
+        assert text.count("from_json") == 1
+
+
+def test_calls_are_parsed_once_under_a_filter_on_a_parsed_value(spark):
+    text = plan(registered.queries()["ivr_loan_aggregate"](spark, SF_SMALL))
+    assert text.count("from_json(") == 1
+
+
+def test_message_scan_reads_needed_columns_only(staged):
+    text = details(extract_messages(staged["communication"], RUN))
+    schema = [line for line in text.splitlines() if line.startswith("ReadSchema")][0]
+    assert "allocation_month" not in schema
+
+
+def test_report_filters_reach_each_scan(spark, staged, tmp_path):
+    aggregate_messages(extract_messages(staged["communication"])).write.parquet(str(tmp_path / "m"))
+    messages = spark.read.schema(schemas.MSG_AGG_DATA).parquet(str(tmp_path / "m"))
+    df = reports.datewise_response(messages, None, staged["tags"], staged["click_data"], RUN)
+    text = details(df)
+    scans = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert len(scans) == 4
+    assert all("EqualTo(company_id,co-1)" in line for line in scans)
+    assert any("GreaterThanOrEqual(created,2024-01-03T00:00)" in line for line in scans)
+
+
+def test_tags_are_shuffled_once_for_join_and_population(spark, staged):
+    messages = makers.messages(spark, [{"company_id": "co-1"}])
+    df = reports.channel_connectivity(messages, None, staged["tags"])
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+
+
+def test_allocation_shuffles_the_loans_once(spark, staged):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = extract_allocation(staged["lending_default_details"], staged["lending_loan_details"])
+        df.collect()
+        final = plan(df).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in final
+
+
+def test_run_reads_only_its_days(spark, tmp_path):
+    run.Run(spark, str(tmp_path), Scope(None, None, None)).extract(sample.sources(spark, SF_SMALL))
+    job = run.Run(spark, str(tmp_path), RUN)
+    text = details(job.read_days(run.MSG_DATA))
+    assert "PartitionFilters: [isnotnull(created_day" in text
+    assert ">= 2024-01-03" in text
+    text = details(job.read_days(run.IVR_DATA))
+    assert "GreaterThanOrEqual(started_day,2024-01-03)" in text

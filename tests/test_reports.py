@@ -1,0 +1,196 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import brute_force as bf
+import makers
+from conftest import at, by, day, rows_of
+from duepulse import schemas
+from duepulse.operators.scope import EVERYTHING, Scope
+from duepulse.plans import reports
+
+
+def tuples(rows):
+    names = sorted(rows[0]) if rows else []
+    return sorted((tuple(r[n] for n in names) for r in rows), key=repr)
+
+
+def random_tables(seed):
+    """Few loans and many copies, so that joins multiply; one loan has a third of the rows."""
+    rnd = random.Random(seed)
+    stamps = [f"2024-0{m}-{d:02d} {h:02d}:00:00" for m in (1, 2) for d in (4, 5, 6) for h in (0, 9, 23)]
+
+    def who():
+        hot = rnd.random() < 0.34
+        return {
+            "company_id": "c" if hot else rnd.choice(["c", "c", "d", None]),
+            "loan_id": "L0" if hot else rnd.choice(["L1", "L2", "L3", "L4", None]),
+        }
+
+    messages = [
+        {
+            **who(),
+            "created": at(rnd.choice(stamps)),
+            "type_of_comm": rnd.choice(["whatsapp", "sms"]),
+            "delivery_flag": rnd.randint(0, 3),
+            "opened_flag": rnd.randint(0, 2),
+            "trigger_count": rnd.randint(1, 4),
+            "click_count": rnd.choice([None, None, 0, 1, 5]),
+        }
+        for _ in range(120)
+    ]
+    calls = [
+        {
+            **who(),
+            "created": at(rnd.choice(stamps)),
+            "start_time": rnd.choice([None, *stamps]),
+            "type_of_comm": "dtmf_ivr",
+            "call_pick": rnd.randint(0, 1),
+            "call_resp": rnd.randint(0, 1),
+            "end_of_message_rate": rnd.randint(0, 1),
+            "ivr_resp_state": rnd.choice([-1, 0, 1, 2]),
+            "trigger_count": rnd.randint(1, 3),
+            "error_flag": rnd.randint(0, 1),
+        }
+        for _ in range(120)
+    ]
+    tags = [
+        {
+            **who(),
+            "tag_name": rnd.choice(["a", "b", None]),
+            "allocation_month": rnd.choice(["2024-1-01", "2024-2-01", "2023-1-01", None]),
+        }
+        for _ in range(25)
+    ]
+    clicks = [
+        {
+            **who(),
+            "created": at(rnd.choice(["2024-01-09 00:00:00", "2022-01-01 00:00:00", "2024-02-03 00:00:00"])),
+            "link_tag": rnd.choice(["predue_1_wa", "predue_sms", "postdue", "xpreduewa", None]),
+        }
+        for _ in range(40)
+    ]
+    return messages, calls, tags, clicks
+
+
+WINDOWS = [(None, None, None), ("c", "2024-01-05", "2024-02-04")]
+
+
+@pytest.mark.parametrize("window", WINDOWS)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reports_equal_brute_force(spark, seed, window):
+    messages, calls, tags, clicks = random_tables(seed)
+    m, c = makers.messages(spark, messages), makers.calls(spark, calls)
+    t, k = makers.tags(spark, tags), makers.clicks(spark, clicks)
+    scope = Scope(*window)
+    company, first, last = window[0], *(day(d) if d else None for d in window[1:])
+
+    def want(pick, by_hour, with_clicks):
+        w = (company, first, last, by_hour)
+        return bf.response(bf.message_days(messages, pick, by_hour), tags, clicks if with_clicks else None, *w) + (
+            bf.response(bf.call_days(calls, pick, by_hour), tags, None, *w)
+        )
+
+    assert rows_of(reports.channel_connectivity(m, c, t, scope)) == tuples(want(bf.largest, False, False))
+    assert rows_of(reports.datewise_response(m, c, t, k, scope)) == tuples(want(bf.total, False, True))
+    assert rows_of(reports.hourwise_response(m, c, t, scope)) == tuples(want(bf.total, True, False))
+    assert rows_of(reports.channel_overview(m, c, t, scope)) == tuples(
+        bf.message_overview(messages, tags, company, first, last)
+        + bf.call_overview(calls, tags, company, first, last)
+    )
+
+
+def test_schemas(spark):
+    m, c = makers.messages(spark, [{}]), makers.calls(spark, [{}])
+    t, k = makers.tags(spark, [{"tag_name": "a"}]), makers.clicks(spark, [])
+    for found, declared in (
+        (reports.channel_overview(m, c, t), schemas.CHANNEL_AGG_OVERVIEW),
+        (reports.channel_connectivity(m, c, t), schemas.CHANNEL_RESPONSE),
+        (reports.datewise_response(m, c, t, k), schemas.CHANNEL_RESPONSE),
+        (reports.hourwise_response(m, c, t), schemas.HOURWISE_CHANNEL_RESPONSE),
+    ):
+        assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in declared]
+
+
+def test_a_report_needs_a_branch(spark):
+    with pytest.raises(ValueError):
+        reports.channel_overview(None, None, makers.tags(spark, []))
+
+
+def test_connectivity_may_deliver_less_than_nothing(spark):
+    errored = [{"error_flag": 1, "start_time": f"2024-01-05 0{h}:00:00"} for h in range(3)]
+    found = reports.channel_connectivity(None, makers.calls(spark, errored), makers.tags(spark, []))
+    row = found.first()
+    assert (row.trigger_count_sum, row.delivery_flag_sum, row.delivery_percentage) == (1, -2, -2.0)
+
+
+def test_datewise_takes_one_off_per_errored_group(spark):
+    calls = makers.calls(spark, [{"error_flag": 1, "trigger_count": 2}])
+    found = reports.datewise_response(None, calls, makers.tags(spark, []), makers.clicks(spark, []))
+    row = found.first()
+    assert (row.trigger_count_sum, row.delivery_flag_sum, row.delivery_percentage) == (2, 1, 0.5)
+
+
+def test_overview_filters_calls_by_created_and_dates_them_by_start(spark):
+    calls = makers.calls(
+        spark,
+        [
+            {"created": at("2024-01-05 23:00:00"), "start_time": "2024-01-06 00:10:00"},
+            {"created": at("2024-01-06 00:00:00"), "start_time": "2024-01-05 23:50:00"},
+        ],
+    )
+    found = reports.channel_overview(
+        None, calls, makers.tags(spark, [{"tag_name": "a"}]), Scope("c", "2024-01-05", "2024-01-05")
+    )
+    assert [r.date for r in found.collect()] == [day("2024-01-06")]
+
+
+def test_untagged_loans_stay_without_population(spark):
+    tags = makers.tags(spark, [{"loan_id": "L2", "tag_name": "a"}, {"loan_id": "L3", "tag_name": None}])
+    messages = makers.messages(spark, [{"loan_id": loan} for loan in ("L1", "L2", "L3")])
+    got = by(reports.channel_connectivity(messages, None, tags), "tag_name", "allocation_month")
+    assert (got["a", "2024-1-01"]["max_triggered"], got["a", "2024-1-01"]["trigger_percentage"]) == (1, 1.0)
+    for key in ((None, None), (None, "2024-1-01")):
+        assert (got[key]["max_triggered"], got[key]["trigger_percentage"]) == (None, None)
+        assert got[key]["loan_id_count"] == 1
+
+
+def test_null_clicks_give_null_and_not_zero(spark):
+    got = reports.hourwise_response(makers.messages(spark, [{}]), None, makers.tags(spark, [])).first()
+    assert (got.click_flag_sum, got.explicit_response_percentage) == (None, None)
+    assert (got.response_percentage, got.eom_percentage) == (0.0, 0.0)
+
+
+def test_click_of_another_year_matches(spark):
+    clicks = makers.clicks(
+        spark,
+        [{"created": at(f"{y}-01-09 00:00:00"), "link_tag": "predue_1_wa"} for y in (2022, 2024)]
+        + [{"created": at("2024-02-09 00:00:00"), "link_tag": "predue_1_wa"}],
+    )
+    tags = makers.tags(spark, [{"tag_name": "a"}])
+    got = reports.datewise_response(makers.messages(spark, [{"trigger_count": 3}]), None, tags, clicks).first()
+    assert (got.loan_id_count, got.trigger_count_sum) == (2, 6)
+
+
+def test_one_tag_and_no_click_keeps_the_input_count(spark):
+    messages = makers.messages(spark, [{"loan_id": f"L{i % 7}", "created": at(f"2024-01-0{1 + i % 5} 0{i % 9}:00:00")} for i in range(60)])
+    tags = makers.tags(spark, [{"loan_id": f"L{i}", "tag_name": "a"} for i in range(7)])
+    clicks = makers.clicks(spark, [])
+    daily = reports.datewise_response(messages, None, tags, clicks)
+    hourly = reports.hourwise_response(messages, None, tags)
+    assert daily.agg({"trigger_count_sum": "sum"}).first()[0] == 60
+    sums = "date", "trigger_count_sum", "delivery_flag_sum"
+    per_day = hourly.groupBy("date").sum(*sums[1:]).collect()
+    assert sorted(map(tuple, per_day)) == sorted(map(tuple, daily.select(*sums).collect()))
+
+
+def test_copies_of_a_tag_weigh_without_multiplying_rows(spark):
+    """A hot loan with 3000 copies of a tag and 2000 clicks: weights, not six million rows."""
+    tags = makers.tags(spark, [{"tag_name": "a"}]).crossJoin(spark.range(3000)).drop("id")
+    clicks = makers.clicks(spark, [{"link_tag": "predue_1_wa"}]).crossJoin(spark.range(2000)).drop("id")
+    found = reports.datewise_response(makers.messages(spark, [{}]), None, tags, clicks, EVERYTHING)
+    row = found.first()
+    assert (row.loan_id_count, row.trigger_count_sum, row.max_triggered) == (6_000_000, 6_000_000, 3000)
+    assert row.trigger_percentage == 2000.0
