@@ -89,8 +89,8 @@ def replace_partitions(
 
     Partitions with new rows are overwritten as a whole. Partitions that
     satisfy ``covered``, the condition on ``keys`` the run stands for, and got
-    no rows this time are emptied. The rebalance cuts a large partition into
-    several files and gives a small one a single file.
+    no rows this time are emptied. The rebalance brings the rows of a partition
+    together, and cuts them into several files where they are many.
     """
     spark = rows.sparkSession
     nothing = rows.limit(0)

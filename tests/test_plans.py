@@ -53,6 +53,11 @@ def test_extracts_push_company_and_days_and_shuffle_nothing(staged):
         assert text.count("from_json") == 1
 
 
+def test_channel_reaches_the_scan_as_a_prefix(staged):
+    text = details(extract_ivr(staged["communication"]))
+    assert "Or(StringStartsWith(type_of_comm,D),StringStartsWith(type_of_comm,d))" in text
+
+
 def test_calls_are_parsed_once_under_a_filter_on_a_parsed_value(spark):
     text = plan(registered.queries()["ivr_loan_aggregate"](spark, SF_SMALL))
     assert text.count("from_json(") == 1
