@@ -48,6 +48,7 @@ class Table:
     keys: tuple[str, ...]
     schema: StructType | None
     helpers: tuple[str, ...] = ()
+    is_report: bool = False
 
     def stored_schema(self) -> StructType | None:
         if self.schema is None:
@@ -101,14 +102,17 @@ CHANNEL_AGG_OVERVIEW = Table(
     ("company_id", "run_days"),
     schemas.CHANNEL_AGG_OVERVIEW,
     ("run_days",),
+    is_report=True,
 )
 _DAILY = ("company_id", "date")
 CHANNEL_CONNECTIVITY_RESPONSE = Table(
-    "channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE
+    "channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE, is_report=True
+)
+DATEWISE_CHANNEL_RESPONSE = Table(
+    "datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE, is_report=True
 )
-DATEWISE_CHANNEL_RESPONSE = Table("datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE)
 HOURWISE_CHANNEL_RESPONSE = Table(
-    "hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE
+    "hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE, is_report=True
 )
 TABLES = (
     ALLOCATION_DATA,
@@ -149,7 +153,9 @@ class Run:
     def write(self, table: Table, rows: DataFrame, covered: Column) -> Loaded:
         if table.helpers:
             rows = rows.withColumns({name: HELPERS[name][1](self.scope) for name in table.helpers})
-        return replace_partitions(rows, table.path(self.root), table.keys, covered)
+        return replace_partitions(
+            rows, table.path(self.root), table.keys, covered, many_small=table.is_report
+        )
 
     def _company(self) -> Column:
         company = F.col("company_id")

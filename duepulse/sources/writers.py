@@ -83,14 +83,22 @@ def _folders(rows: DataFrame, keys: tuple[str, ...]) -> dict[tuple[str, ...], se
 
 
 def replace_partitions(
-    rows: DataFrame, path: str, keys: tuple[str, ...], covered: Column
+    rows: DataFrame,
+    path: str,
+    keys: tuple[str, ...],
+    covered: Column,
+    many_small: bool = False,
 ) -> Loaded:
     """Replace what the table holds for a run, so that a second run changes nothing.
 
     Partitions with new rows are overwritten as a whole. Partitions that
     satisfy ``covered``, the condition on ``keys`` the run stands for, and got
-    no rows this time are emptied. The rebalance brings the rows of a partition
-    together, and cuts them into several files where they are many.
+    no rows this time are emptied.
+
+    A rebalance brings the rows of a partition together and cuts them into
+    several files where they are many. It sizes tasks by bytes, so a result of
+    ``many_small`` partitions, such as a report, would be written by one task;
+    that is spread over all shuffle partitions instead.
     """
     spark = rows.sparkSession
     nothing = rows.limit(0)
@@ -98,7 +106,11 @@ def replace_partitions(
     before = _folders(read_staged(spark, path, rows.schema).where(covered), keys)
 
     key = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
-    even = rows.hint("rebalance", *[F.col(k) for k in keys])
+    if many_small:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        even = rows.repartition(tasks, *keys)
+    else:
+        even = rows.hint("rebalance", *[F.col(k) for k in keys])
     counted, seen = _counted(even, partitions=F.collect_set(key))
     (
         counted.write.mode("overwrite")

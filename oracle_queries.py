@@ -281,16 +281,18 @@ _SOURCES = {
 }
 
 
-def _with(w: Window, final: str, sources: dict[str, str]) -> str:
+def _with(w: Window, final: str, sources: dict[str, str], fresh: bool) -> str:
     """The final query under the tables a run of this window would have loaded.
 
-    Reports read the tags of every month; a query of one month filters itself.
+    Reports read the tags of every month, as earlier runs have loaded them. In
+    a ``fresh`` warehouse there are only those of the run's own month.
     """
+    loaded = f"{w.own()} AND {w.of_month()}" if fresh else w.own()
     tables = {
         **sources,
         "msg_data": _msg_data(w),
         "ivr_data": _ivr_data(w),
-        "tag_data": f"SELECT * FROM tags WHERE {w.own()}",
+        "tag_data": f"SELECT * FROM tags WHERE {loaded}",
         "msg_agg": _msg_agg(),
         "ivr_agg": _ivr_agg(w),
         "population": _POPULATION,
@@ -423,11 +425,14 @@ ONE_RUN = Window("co-1", "2024-01-03", "2024-01-20", "2024-1-01")
 def oracle_sql(sources_exist: bool = False) -> dict[str, str]:
     """The SQL of each query. With ``sources_exist``, the source tables are read as views."""
     result = {**_extracts(ALL), **_reports(ALL), **_parts(ALL), "full_run": _full_run(ALL)}
-    one_run = {**_extracts(ONE_RUN), **_reports(ONE_RUN)}
+    one_run = {**_extracts(ONE_RUN), **_reports(ONE_RUN), "full_run": _full_run(ONE_RUN)}
     result.update({f"{name}_one_run": text for name, text in one_run.items() if not _is_branch(name)})
     windows = {name: (ONE_RUN if name.endswith("_one_run") else ALL) for name in result}
     sources = {} if sources_exist else _SOURCES
-    return {name: _with(windows[name], text, sources) for name, text in result.items()}
+    return {
+        name: _with(windows[name], text, sources, name.startswith("full_run"))
+        for name, text in result.items()
+    }
 
 
 def _is_branch(name: str) -> bool:
