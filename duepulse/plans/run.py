@@ -7,8 +7,10 @@ and a lost executor costs the running step's tasks only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -165,73 +167,61 @@ class Run:
         month = F.col("allocation_month")
         return month.isNotNull() if self.allocation_month is None else month == self.allocation_month
 
+    def _write_all(self, steps: list[tuple[Table, DataFrame, Column]]) -> dict[str, Loaded]:
+        """Independent tables at the same time, so that one's last tasks leave no core idle."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            write = inheritable_thread_target(self.spark)(self.write)
+            written = {step[0].name: pool.submit(write, *step) for step in steps}
+            return {name: result.result() for name, result in written.items()}
+
     def extract(self, sources: Sources) -> dict[str, Loaded]:
         scope, month = self.scope, self.allocation_month
         defaults, details = sources.lending_default_details, sources.lending_loan_details
+        monthly = self._company() & self._month()
         created = self._company() & scope.days(F.col("created_day"))
-        return {
-            "allocation_data": self.write(
-                ALLOCATION_DATA,
-                extract_allocation(defaults, details, scope, month),
-                self._company() & self._month(),
-            ),
-            "tag_data": self.write(
-                TAG_DATA, extract_tags(sources.tags, scope, month), self._company() & self._month()
-            ),
-            "ivr_data": self.write(IVR_DATA, extract_ivr(sources.communication, scope), created),
-            "msg_data": self.write(
-                MSG_DATA,
-                extract_messages(sources.communication, scope),
-                created & F.col("channel").isin(*MESSAGE_CHANNELS),
-            ),
-        }
+        channels = F.col("channel").isin(*MESSAGE_CHANNELS)
+        return self._write_all(
+            [
+                (ALLOCATION_DATA, extract_allocation(defaults, details, scope, month), monthly),
+                (TAG_DATA, extract_tags(sources.tags, scope, month), monthly),
+                (IVR_DATA, extract_ivr(sources.communication, scope), created),
+                (MSG_DATA, extract_messages(sources.communication, scope), created & channels),
+            ]
+        )
 
     def aggregate(self, bad_durations: str = "fail") -> dict[str, Loaded]:
         """Messages of the run's companies; calls of every company loaded."""
         scope = self.scope
-        return {
-            "msg_agg_data": self.write(
-                MSG_AGG_DATA,
-                aggregate_messages(self.read_days(MSG_DATA), scope),
-                self._company()
-                & scope.days(F.col("created_day"))
-                & F.col("type_of_comm").isin(*MESSAGE_CHANNELS),
-            ),
-            "ivr_agg_data": self.write(
-                IVR_AGG_DATA,
-                aggregate_ivr(self.read_days(IVR_DATA), scope, IVR_CHANNEL, bad_durations),
-                scope.days(F.col("started_day")),
-            ),
-        }
+        messages = aggregate_messages(self.read_days(MSG_DATA), scope)
+        calls = aggregate_ivr(self.read_days(IVR_DATA), scope, IVR_CHANNEL, bad_durations)
+        channels = F.col("type_of_comm").isin(*MESSAGE_CHANNELS)
+        created = self._company() & scope.days(F.col("created_day"))
+        return self._write_all(
+            [
+                (MSG_AGG_DATA, messages, created & channels),
+                (IVR_AGG_DATA, calls, scope.days(F.col("started_day"))),
+            ]
+        )
 
     def report(self, click_data: DataFrame) -> dict[str, Loaded]:
         scope = self.scope
         # The overview picks calls by the day they were created.
         messages, calls = self.read_days(MSG_AGG_DATA), self.read_days(IVR_AGG_DATA)
         every_call, tags = self.read(IVR_AGG_DATA), self.read(TAG_DATA)
+        overview = reports.channel_overview(messages, every_call, tags, scope)
+        connectivity = reports.channel_connectivity(messages, calls, tags, scope)
+        datewise = reports.datewise_response(messages, calls, tags, click_data, scope)
+        hourwise = reports.hourwise_response(messages, calls, tags, scope)
+        same_run = self._company() & (F.col("run_days") == HELPERS["run_days"][1](scope))
         dated = self._company() & scope.days(F.col("date"))
-        return {
-            "channel_agg_overview": self.write(
-                CHANNEL_AGG_OVERVIEW,
-                reports.channel_overview(messages, every_call, tags, scope),
-                self._company() & (F.col("run_days") == HELPERS["run_days"][1](scope)),
-            ),
-            "channel_connectivity_response": self.write(
-                CHANNEL_CONNECTIVITY_RESPONSE,
-                reports.channel_connectivity(messages, calls, tags, scope),
-                dated,
-            ),
-            "datewise_channel_response": self.write(
-                DATEWISE_CHANNEL_RESPONSE,
-                reports.datewise_response(messages, calls, tags, click_data, scope),
-                dated,
-            ),
-            "hourwise_channel_response": self.write(
-                HOURWISE_CHANNEL_RESPONSE,
-                reports.hourwise_response(messages, calls, tags, scope),
-                dated,
-            ),
-        }
+        return self._write_all(
+            [
+                (CHANNEL_AGG_OVERVIEW, overview, same_run),
+                (CHANNEL_CONNECTIVITY_RESPONSE, connectivity, dated),
+                (DATEWISE_CHANNEL_RESPONSE, datewise, dated),
+                (HOURWISE_CHANNEL_RESPONSE, hourwise, dated),
+            ]
+        )
 
     def all(self, sources: Sources, bad_durations: str = "fail") -> dict[str, Loaded]:
         return {
