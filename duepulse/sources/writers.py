@@ -60,12 +60,12 @@ def write_database(
     batch_rows: int = 20_000,
     connections: int = 16,
 ) -> Loaded:
-    """Into a database table over at most ``connections`` connections.
+    """Into a database table over ``connections`` connections.
 
-    A retried task inserts its rows again, so load a staging table and move
+    The shuffle before keeps the work behind the rows on all cores. A retried task inserts its rows again, so load a staging table and move
     it over inside the database where that matters.
     """
-    counted, seen = _counted(rows.coalesce(connections))
+    counted, seen = _counted(rows.repartition(connections))
     counted.write.jdbc(
         url, table, mode=save_mode(if_exists), properties={**properties, "batchsize": str(batch_rows)}
     )
