@@ -13,22 +13,29 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_SHUFFLE_PARTITION_BYTES = 192 * 1024 * 1024
+_MB = 1024 * 1024
+_MOST_SCAN_TASKS = 200_000
+_SHUFFLED_SHARE = 0.25
 
 
 def cluster_conf(input_bytes: int, executor_cores: int) -> dict[str, str]:
-    """Settings for a run that reads about ``input_bytes``.
+    """Settings for a run that reads about ``input_bytes`` on ``executor_cores`` cores in all.
 
-    Shuffles start with one partition per 192 MB of input, and at least two
-    per core, and the adaptive planner merges what turns out small.
+    The largest shuffle, of the loan aggregate, moves about a quarter of the
+    input. It starts with 512 MB per partition, and at least two partitions
+    per core; the adaptive planner merges what turns out small. Scan splits grow
+    with the input, so that scan tasks times shuffle partitions, the number of
+    shuffle blocks, stays within what a shuffle service can serve.
     """
-    partitions = max(2 * executor_cores, -(-input_bytes // _SHUFFLE_PARTITION_BYTES))
+    shuffled = int(input_bytes * _SHUFFLED_SHARE)
+    partitions = max(2 * executor_cores, -(-shuffled // (512 * _MB)))
+    split = max(128 * _MB, -(-input_bytes // _MOST_SCAN_TASKS))
     return {
         **REQUIRED_CONF,
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_SHUFFLE_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
 
 
