@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from duepulse.sources.readers import read_staged
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
+_SPREAD_TASKS = 1000
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,7 @@ def replace_partitions(
     A rebalance brings the rows of a partition together and cuts them into
     several files where they are many. It sizes tasks by bytes, so a result of
     ``many_small`` partitions, such as a report, would be written by one task;
-    that is spread over all shuffle partitions instead.
+    that is spread over up to 1000 tasks instead.
     """
     spark = rows.sparkSession
     nothing = rows.limit(0)
@@ -107,7 +108,7 @@ def replace_partitions(
 
     key = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
     if many_small:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(_SPREAD_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         even = rows.repartition(tasks, *keys)
     else:
         even = rows.hint("rebalance", *[F.col(k) for k in keys])
