@@ -5,14 +5,35 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from . import language, ngram_join, quality, tables, toxicity
+from pyspark.sql import functions as F
+
+from . import (
+    fingerprints,
+    language,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    tables,
+    toxicity,
+    vector_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def ship(spark: SparkSession) -> None:
+    """Python workers on this machine find the package where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return tables.read(spark, sf_dir, "documents")
 
 
@@ -20,10 +41,36 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_documents(spark, sf_dir), tables.read(spark, sf_dir, "labels"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), tokenizer_path=public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_documents(spark, sf_dir))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_report(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text_left", 256).alias("text_sha256"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_documents(spark, sf_dir)).drop("source")
+
+
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vector_dedup.find_near_vectors(tables.read(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_documents(spark, sf_dir), tables.read(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(_documents(spark, sf_dir))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(_documents(spark, sf_dir), width=3, percent=90)
 
@@ -32,20 +79,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(_documents(spark, sf_dir))
 
 
-def _with_path(query: Query) -> Query:
-    """Python workers on this machine find the package where the driver found it."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
-        return query(spark, sf_dir)
-
-    return run
-
-
 def queries() -> dict[str, Query]:
-    named = [op1_quality, op7_toxicity, op9_ngram_join, op10_language]
-    return {q.__name__: _with_path(q) for q in named}
+    named = [
+        op1_quality, op2_best_fit_packing, op3_personal_data, op4_line_dedup, op5_source_mixing,
+        op6_vector_dedup, op7_toxicity, op8_fingerprints, op9_ngram_join, op10_language,
+    ]
+    return {q.__name__: q for q in named}
 
 
 def oracle_sql() -> dict[str, str]:
