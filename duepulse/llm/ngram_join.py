@@ -32,7 +32,7 @@ CHUNK = 512
 #: Candidates (two longs each) are broadcast up to this count, else joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 #: Keys that are combined in a task before they are sent.
-HELD_KEYS = 1 << 20
+HELD_KEYS = 1 << 19
 _CLASS_RATIO = 1.5
 
 
@@ -101,46 +101,52 @@ class Scheme:
         return np.unique(np.concatenate(out))
 
 
-def _combined(keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
-    """One row per key with its smallest document, and that document's pairs with the others."""
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
-    first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
+def _combined(keys: np.ndarray, marks: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    """One row per key and mark with its smallest document, and at their mark, its pairs with the others.
+
+    A document's mark is its smallest key. Documents with equal marks meet in that key's list,
+    so no other list needs more than one of them.
+    """
+    order = np.lexsort((docs, marks, keys))
+    keys, marks, docs = keys[order], marks[order], docs[order]
+    first = np.concatenate(([True], (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1]))) if len(keys) else np.zeros(0, bool)
     heads = docs[first][np.cumsum(first) - 1] if len(keys) else docs
-    pairs = np.unique(np.column_stack((heads, docs))[heads != docs], axis=0)
+    pairs = np.unique(np.column_stack((heads, docs))[(heads != docs) & (keys == marks)], axis=0)
     links = shingles.mixed(pairs[:, 0].astype(np.uint64) * np.uint64(31) + pairs[:, 1].astype(np.uint64)).view(np.int64)
-    n = int(first.sum())
+    n, m = int(first.sum()), len(pairs)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate((keys[first].view(np.int64), links))),
+            pa.array(np.concatenate((marks[first].view(np.int64), links))),
             pa.array(np.concatenate((docs[first], pairs[:, 0]))),
-            pa.array(np.concatenate((np.zeros(n, np.int64), pairs[:, 1])), mask=np.arange(n + len(pairs)) < n),
+            pa.array(np.concatenate((np.zeros(n, np.int64), pairs[:, 1])), mask=np.arange(n + m) < n),
         ],
-        names=["key", "low", "high"],
+        names=["key", "mark", "low", "high"],
     )
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: the pairs that come with them, and each key's smallest with the others."""
-    last_key, last_low = None, 0
+    """Rows sorted by key and mark: the pairs that come with them, and each key's first document
+    with the first of its other marks; at a key's own mark, with all."""
+    last_key, last_mark, head = None, None, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        paired = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-        keys, low = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        pairs = [np.column_stack((low[paired], batch.column(2).filter(pa.array(paired)).to_numpy()))]
-        keys, low = keys[~paired], low[~paired]
+        paired = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+        keys, marks, low = (batch.column(i).to_numpy() for i in range(3))
+        pairs = [np.column_stack((low[paired], batch.column(3).filter(pa.array(paired)).to_numpy()))]
+        keys, marks, low = keys[~paired], marks[~paired], low[~paired]
         if len(keys):
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            heads = np.minimum.reduceat(low, first)
-            if last_key == keys[0]:
-                before, heads[0] = last_low, min(last_low, heads[0])
-                pairs.append(np.array([[heads[0], before]]))
-            spread = np.repeat(heads, np.diff(np.append(first, len(keys))))
-            pairs.append(np.column_stack((spread, low)))
-            last_key, last_low = keys[-1], heads[-1]
+            new_key = np.concatenate(([keys[0] != last_key], keys[1:] != keys[:-1]))
+            new_mark = new_key | np.concatenate(([marks[0] != last_mark], marks[1:] != marks[:-1]))
+            # The first row of a key leads it; without one here, the key goes on from the last batch.
+            led = np.cumsum(new_key)
+            heads = np.concatenate(([head], low[new_key]))[led]
+            meets = ~new_key & (new_mark | (keys == marks))
+            pairs.append(np.column_stack((heads, low))[meets])
+            last_key, last_mark, head = keys[-1], marks[-1], heads[-1]
         both = np.concatenate(pairs).astype(np.int64)
-        both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+        both = np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
@@ -218,39 +224,38 @@ def join_ngrams(documents: DataFrame, *, width: int = 3, percent: int = 90) -> D
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, size = [], [], 0
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for doc, h in zip(ids, shingles.sets(batch.column(1).to_pylist(), width), strict=True):
+        keys, marks, docs, size = [], [], [], 0
+        for ids, part in tables.slices(batches):
+            for doc, h in zip(ids.to_pylist(), shingles.sets(part.to_pylist(), width), strict=True):
                 k = scheme.keys(h)
                 keys.append(k)
+                marks.append(np.full(len(k), k[0] if len(k) else 0, dtype=np.uint64))
                 docs.append(np.full(len(k), doc, dtype=np.int64))
                 size += len(k)
                 if size >= HELD_KEYS:
-                    yield _combined(np.concatenate(keys), np.concatenate(docs))
-                    keys, docs, size = [], [], 0
+                    yield _combined(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs))
+                    keys, marks, docs, size = [], [], [], 0
         if size:
-            yield _combined(np.concatenate(keys), np.concatenate(docs))
+            yield _combined(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs))
 
     proposed = (
-        texts.where("doc_id is not null").mapInArrow(keyed, "key long, low long, high long")
-        .repartition("key").sortWithinPartitions("key").mapInArrow(_stars, "a long, b long")
+        texts.where("doc_id is not null").mapInArrow(keyed, "key long, mark long, low long, high long")
+        .repartition("key").sortWithinPartitions("key", "mark").mapInArrow(_stars, "a long, b long")
     )
     groups = components(proposed)
     few = groups.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for ids, part, of in tables.slices(batches):
             sizes, prints, blobs = [], [], []
-            groups_here = batch.column(2).to_pylist()
-            for group, h in zip(groups_here, shingles.sets(batch.column(1).to_pylist(), width), strict=True):
+            for group, h in zip(of.to_pylist(), shingles.sets(part.to_pylist(), width), strict=True):
                 sizes.append(len(h))
                 some = group is not None
                 blobs.append(h.tobytes() if some else None)
                 prints.append(int(shingles.mixed(h).sum(dtype=np.uint64).view(np.int64)) if some else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(blobs, pa.binary())],
+                [ids, of, pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["doc_id", "grp", "n_shingles", "print", "elements"],
             )
 

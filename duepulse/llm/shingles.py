@@ -10,7 +10,7 @@ _RATIO = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 #: Bytes of text that are put through the arrays at once; a longer text goes alone.
-SPAN = 1 << 20
+SPAN = 1 << 19
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -68,8 +68,9 @@ def sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
                 yield np.unique(rolled[low : high - width + 1])
             elif high > low:
                 whole = np.uint64(high - low)
-                for w in words[low:high]:
-                    whole = mixed(np.array([whole * _RATIO + w]))[0]
-                yield np.array([whole], dtype=np.uint64)
+                whole = np.array([whole])
+                for w in range(low, high):
+                    whole = mixed(whole * _RATIO + words[w])
+                yield whole
             else:
                 yield np.zeros(0, dtype=np.uint64)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,13 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[list[pa.Array]]:
+    """The columns of the batches, some rows at a time, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows).columns
+
+
 def fold(key: Column) -> Column:
     """Fold of a document: crc32 of its id as text, modulo 4. Null for a null id."""
     return F.crc32(key.cast("string").cast("binary")) % 4
