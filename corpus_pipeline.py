@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likelier toxic than not go. The model learns from labels of docs' ids."""
     queries.ship(spark)
     scored = toxicity.with_severity(docs, docs, tables.read(spark, sf_dir, "labels"))
-    return scored.where(~scored[len(docs.columns) + 2]).select(*[scored[i] for i in range(len(docs.columns))])
+    return scored.where(~F.col(toxicity.ADDED[2])).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

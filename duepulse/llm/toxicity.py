@@ -20,6 +20,10 @@ from . import samples, subwords, tables
 from .samples import Sample
 
 
+#: Names that the operator adds to a table's own; its own can be severity and so on.
+ADDED = ("toxicity_severity", "toxicity_grade", "toxicity_rejected")
+
+
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 18
@@ -117,7 +121,8 @@ def score_toxicity(
     """
     kept = documents.select("doc_id", "text")
     return with_severity(kept, documents, labels, limit, most_labelled, settings).select(
-        "doc_id", tables.held_out(F.col("doc_id")).alias("held_out"), "severity", "grade", "rejected"
+        "doc_id", tables.held_out(F.col("doc_id")).alias("held_out"),
+        *[F.col(a).alias(n) for a, n in zip(ADDED, ("severity", "grade", "rejected"), strict=True)],
     )
 
 
@@ -125,7 +130,7 @@ def with_severity(
     rows: DataFrame, documents: DataFrame, labels: DataFrame, limit: float = 0.5,
     most_labelled: int = 4096, settings: Settings = Settings(),
 ) -> DataFrame:
-    """The rows, which have a text, with severity, grade and rejected added (these names are taken)."""
+    """The rows, which have a text, with the columns ADDED."""
     usable = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~tables.held_out(F.col("doc_id")))
     shares = dict(usable.groupBy("toxic").count().collect())
     s = settings
@@ -139,7 +144,7 @@ def with_severity(
     used = np.flatnonzero(model.weights)
     sent = rows.sparkSession.sparkContext.broadcast((used, model.weights[used], model.thresholds))
     at = rows.columns.index("text")
-    names = [*rows.columns, "severity", "grade", "rejected"]
+    names = [*rows.columns, *ADDED]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, weights, thresholds = sent.value
