@@ -29,12 +29,15 @@ def _flag(condition: Column) -> Column:
 
 
 def call_seconds(call_duration: Column, bad_durations: str = "fail") -> Column:
-    """Duration as an integer. ``bad_durations='null'`` treats unreadable text as missing."""
-    if bad_durations == "fail":
-        return call_duration.cast("int")
+    """Duration as an integer. Unreadable text stops the job, whatever the session's settings;
+    ``bad_durations='null'`` treats it as missing."""
+    if bad_durations not in ("fail", "null"):
+        raise ValueError(f"bad_durations must be 'fail' or 'null', not {bad_durations!r}")
+    seconds = call_duration.try_cast("int")
     if bad_durations == "null":
-        return call_duration.try_cast("int")
-    raise ValueError(f"bad_durations must be 'fail' or 'null', not {bad_durations!r}")
+        return seconds
+    told = F.raise_error(F.concat(F.lit("call_duration is not a whole number: "), call_duration))
+    return F.when(call_duration.isNotNull() & seconds.isNull(), told.cast("int")).otherwise(seconds)
 
 
 def call_picked(seconds: Column) -> Column:

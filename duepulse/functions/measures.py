@@ -24,5 +24,5 @@ def hour_of(moment: Column) -> Column:
 
 
 def month_number(month: Column) -> Column:
-    """Month of the year, 1 to 12; the year plays no part."""
-    return F.month(month.cast("date"))
+    """Month of the year, 1 to 12; the year plays no part. A blank month has none."""
+    return F.month(F.nullif(month, F.lit("")).cast("date"))

@@ -83,6 +83,40 @@ def aggregate_ivr(
     )
 
 
+def aggregate_both(
+    facts: DataFrame,
+    scope: Scope = EVERYTHING,
+    channel_label: str = IVR_CHANNEL,
+    bad_durations: str = "fail",
+) -> DataFrame:
+    """Rows of ``extract_both`` per message group and distinct call, with one shuffle for both.
+
+    Has the columns of either aggregate that the reports read; those of the other kind are NULL.
+    A call's group counts as errored, picked up and so on once, as in ``aggregate_ivr``.
+    """
+    is_call = F.col("is_call")
+    rows = facts.where(~is_call | scope.days(day_of(F.col("start_time"))))
+    channel = F.when(is_call, F.col("type_of_comm")).otherwise(F.lower("type_of_comm"))
+    grouped = rows.withColumn("type_of_comm", channel).groupBy("is_call", *_IVR_GROUP).agg(
+        F.sum(messages.present(F.col("delivery_status"))).alias("delivery_flag"),
+        F.sum(messages.present(F.col("opened_status"))).alias("opened_flag"),
+        F.count("type_of_comm").alias("trigger_count"),
+        F.sum("click_count").alias("click_count"),
+    )
+    # A message's call_duration is NULL, and so are its seconds.
+    seconds = calls.call_seconds(F.col("call_duration"), bad_durations)
+    return grouped.withColumns(
+        {
+            "call_pick": calls.call_picked(seconds),
+            "call_resp": calls.call_responded(seconds),
+            "end_of_message_rate": calls.end_of_message(F.col("collectedDtmfs")),
+            "ivr_resp_state": calls.response_state(F.col("collectedMappedDtmfs")),
+            "error_flag": calls.error_flag(F.col("error_nm")),
+            "type_of_comm": F.when(is_call, F.lit(channel_label)).otherwise(F.col("type_of_comm")),
+        }
+    )
+
+
 def rejected_durations(ivr_data: DataFrame, scope: Scope = EVERYTHING) -> DataFrame:
     """One row: how many calls have a duration that is not a whole number."""
     unreadable = F.col("call_duration").isNotNull() & F.col("call_duration").try_cast("int").isNull()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from duepulse.functions import messages
 from duepulse.operators.joins import left_join_splitting_both_sides
@@ -28,12 +28,12 @@ _MESSAGE_JSON = (
     "sms_language string, template_name string, delivered_time string, opened_time string, "
     "sms_verification_link_clicked_count string"
 )
-_IVR_JSON = (
+_CALL_JSON = (
     "dtmf_ivr_mobile string, start_time string, end_time string, call_duration string, "
-    "template_name string, "
     "ivr_response struct<scenarioName: string, collectedDtmfs: string, collectedMappedDtmfs: string>, "
     "error struct<groupName: string>"
 )
+_IVR_JSON = f"template_name string, {_CALL_JSON}"
 
 
 def _with_json(rows: DataFrame, fields: str) -> DataFrame:
@@ -92,6 +92,44 @@ def extract_ivr(
     )
 
 
+_BOTH_JSON = f"{_MESSAGE_JSON}, {_CALL_JSON}"
+
+
+def extract_both(
+    communication: DataFrame,
+    scope: Scope = EVERYTHING,
+    channels: Sequence[str] = MESSAGE_CHANNELS,
+    ivr_channel: str = IVR_CHANNEL,
+) -> DataFrame:
+    """Messages and calls out of one scan, in one shape, with what the reports read of them.
+
+    Fields of the other kind are NULL. ``is_call`` tells them apart.
+    """
+    rows = of_channels(scope.of_company(_as_text(communication, "company_id")), [*channels, ivr_channel])
+    is_call = F.lower("type_of_comm") == ivr_channel.lower()
+    rows = rows.where(scope.days(F.to_date("created")))
+    rows = rows.where(~is_call | (F.col("allocation_month") != "")).withColumn("is_call", is_call)
+    json = _with_json(rows, _BOTH_JSON)
+
+    def of_call(field: str, name: str) -> Column:
+        return F.when(F.col("is_call"), F.col(field)).alias(name)
+
+    def of_message(value: Column, name: str) -> Column:
+        return F.when(~F.col("is_call"), value).alias(name)
+
+    return json.select(
+        "is_call", "company_id", "loan_id", "created", "type_of_comm",
+        of_message(messages.blank_to_null(F.col("json.delivered_time")), "delivery_status"),
+        of_message(messages.blank_to_null(F.col("json.opened_time")), "opened_status"),
+        of_message(F.col("json.sms_verification_link_clicked_count").cast("bigint"), "click_count"),
+        of_call("json.start_time", "start_time"),
+        of_call("json.call_duration", "call_duration"),
+        of_call("json.error.groupName", "error_nm"),
+        of_call("json.ivr_response.collectedDtmfs", "collectedDtmfs"),
+        of_call("json.ivr_response.collectedMappedDtmfs", "collectedMappedDtmfs"),
+    )
+
+
 def _as_text(rows: DataFrame, name: str) -> DataFrame:
     """The column as text: JSON for a nested type. A text column stays as it is, without even
     an alias, so that two readers of the rows have the same plan and share its shuffle."""

@@ -31,8 +31,8 @@ MEASURES = ("triggered", "delivered", "opened", "responded", "ended", "clicked",
 _COMBINE: dict[str, Callable[[Column], Column]] = {"max": F.max, "sum": F.sum}
 
 
-def _by_loan(rows: DataFrame, by_hour: bool, measures: dict[str, Column]) -> DataFrame:
-    keys = ["company_id", "loan_id", "type_of_comm", "date", *(["hours"] if by_hour else [])]
+def _by_loan(rows: DataFrame, by_hour: bool, measures: dict[str, Column], *more: str) -> DataFrame:
+    keys = ["company_id", "loan_id", "type_of_comm", "date", *(["hours"] if by_hour else []), *more]
     return rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
 
 
@@ -85,28 +85,134 @@ def call_loan_days(
     )
 
 
-def message_overview_days(msg_agg: DataFrame, scope: Scope) -> DataFrame:
+def message_overview_days(msg_agg: DataFrame, scope: Scope, by_created_day: bool = False) -> DataFrame:
     """Rows, triggered and delivered messages per loan and day."""
     rows = scope.of_company(msg_agg).where(scope.days(F.to_date("created")))
-    return _overview(rows.withColumn("date", day_of(F.col("created"))), "delivery_flag")
+    return _overview(rows.withColumn("date", day_of(F.col("created"))), "delivery_flag", by_created_day)
 
 
-def call_overview_days(ivr_agg: DataFrame, scope: Scope) -> DataFrame:
+def call_overview_days(ivr_agg: DataFrame, scope: Scope, by_created_day: bool = False) -> DataFrame:
     """Rows, calls made and picked up per loan and day. The range applies to the day a call
     was created, the bucket is the day it started."""
     rows = scope.of_company(ivr_agg).where(
         F.col("start_time").isNotNull() & scope.days(F.to_date("created"))
     )
-    return _overview(rows.withColumn("date", day_of(F.col("start_time"))), "call_pick")
+    return _overview(rows.withColumn("date", day_of(F.col("start_time"))), "call_pick", by_created_day)
 
 
-def _overview(rows: DataFrame, delivered: str) -> DataFrame:
-    return _by_loan(
+def _overview(rows: DataFrame, delivered: str, by_created_day: bool) -> DataFrame:
+    measures = {
+        "loan_rows": F.count(F.lit(1)),
+        "triggered": F.sum("trigger_count"),
+        "delivered": F.sum(delivered),
+    }
+    if not by_created_day:
+        return _by_loan(rows, False, measures)
+    return _by_loan(rows.withColumn("created_day", F.to_date("created")), False, measures, "created_day")
+
+
+# What the measures of both branches are combined from. Errors are always summed and taken off
+# ``delivered``; a message has none.
+RAW = ("triggered", "delivered", "opened", "responded", "ended", "clicked", "explicit", "errors")
+_HOUR = ("company_id", "loan_id", "type_of_comm", "date", "hours")
+
+
+def _raw(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    return rows.select(*_HOUR, *[measures[name].cast("bigint").alias(name) for name in RAW])
+
+
+def message_rows(msg_agg: DataFrame, scope: Scope) -> DataFrame:
+    """Raw measures of each message aggregate row."""
+    rows = scope.of_company(msg_agg).where(scope.days(F.to_date("created")))
+    rows = rows.withColumns({"date": day_of(F.col("created")), "hours": hour_of(F.col("created"))})
+    zero = F.lit(0)
+    return _raw(
         rows,
-        False,
         {
-            "loan_rows": F.count(F.lit(1)),
-            "triggered": F.sum("trigger_count"),
-            "delivered": F.sum(delivered),
+            "triggered": F.col("trigger_count"),
+            "delivered": F.col("delivery_flag"),
+            "opened": F.col("opened_flag"),
+            "responded": zero,
+            "ended": zero,
+            "clicked": F.col("click_count"),
+            "explicit": F.col("click_count"),
+            "errors": zero,
         },
     )
+
+
+def call_rows(ivr_agg: DataFrame, scope: Scope) -> DataFrame:
+    """Raw measures of each call aggregate row."""
+    started = F.col("start_time")
+    rows = scope.of_company(ivr_agg).where(started.isNotNull() & scope.days(day_of(started)))
+    rows = rows.withColumns({"date": day_of(started), "hours": hour_of(started)})
+    return _raw(
+        rows,
+        {
+            "triggered": F.col("trigger_count"),
+            "delivered": F.col("trigger_count"),
+            "opened": F.col("call_pick"),
+            "responded": F.col("call_resp"),
+            "ended": F.col("end_of_message_rate"),
+            "clicked": F.lit(0),
+            "explicit": (F.col("ivr_resp_state") == STATE_YES).cast("int"),
+            "errors": F.col("error_flag"),
+        },
+    )
+
+
+def both_rows(aggregate: DataFrame, scope: Scope) -> DataFrame:
+    """Raw measures of each row of ``aggregate_both``: those of its own kind."""
+    is_call = F.col("is_call")
+    moment = F.when(is_call, F.col("start_time").cast("timestamp_ntz")).otherwise(F.col("created"))
+    rows = scope.of_company(aggregate).withColumns({"date": day_of(moment), "hours": hour_of(moment)})
+
+    def either(call: Column | str, message: Column | str) -> Column:
+        as_column = lambda c: F.col(c) if isinstance(c, str) else c
+        return F.when(is_call, as_column(call)).otherwise(as_column(message))
+
+    zero, yes = F.lit(0), (F.col("ivr_resp_state") == STATE_YES).cast("int")
+    return _raw(
+        rows.where(scope.days(F.col("date"))),
+        {
+            "triggered": F.col("trigger_count"),
+            "delivered": either("trigger_count", "delivery_flag"),
+            "opened": either("call_pick", "opened_flag"),
+            "responded": either("call_resp", zero),
+            "ended": either("end_of_message_rate", zero),
+            "clicked": either(zero, "click_count"),
+            "explicit": either(yes, "click_count"),
+            "errors": either("error_flag", zero),
+        },
+    )
+
+
+def of_rows(rows: DataFrame, combine: str = "sum", by_hour: bool = False) -> DataFrame:
+    """Measures per loan and day (or hour) from raw rows, in one aggregate."""
+    pick = _COMBINE[combine]
+    made = {name: pick(F.col(name)) for name in MEASURES}
+    made["delivered"] = made["delivered"] - F.sum("errors")
+    return _by_loan(rows, by_hour, made)
+
+
+def both_overview_days(aggregate: DataFrame, scope: Scope) -> DataFrame:
+    """Rows, triggered and delivered of either kind per loan and day, from ``aggregate_both``."""
+    is_call = F.col("is_call")
+    date = F.when(is_call, day_of(F.col("start_time"))).otherwise(F.to_date("created"))
+    rows = scope.of_company(aggregate).where(scope.days(F.to_date("created"))).where(date.isNotNull())
+    made = F.when(is_call, F.col("call_pick").cast("bigint")).otherwise(F.col("delivery_flag"))
+    return _overview(rows.withColumn("date", date).withColumn("made", made), "made", False)
+
+
+def loan_hours(rows: DataFrame) -> DataFrame:
+    """Sums and largest values of the raw measures per loan and hour, for every report at once."""
+    both = [pick(F.col(name)).alias(f"{name}_{how}") for name in RAW for how, pick in _COMBINE.items()]
+    return rows.groupBy(*_HOUR).agg(*both)
+
+
+def of_hours(hours: DataFrame, combine: str = "sum", by_hour: bool = False) -> DataFrame:
+    """Measures per loan and day (or hour) from ``loan_hours``."""
+    pick = _COMBINE[combine]
+    made = {name: pick(F.col(f"{name}_{combine}")) for name in MEASURES}
+    made["delivered"] = made["delivered"] - F.sum("errors_sum")
+    return _by_loan(hours, by_hour, made)

@@ -16,16 +16,29 @@ def _weighted(measure: str) -> Column:
     return F.sum(F.col(measure) * F.col("weight"))
 
 
-def overview_rollup(tagged_days: DataFrame) -> DataFrame:
-    sums = tagged_days.groupBy(*GROUP).agg(
+def overview_sums(tagged_days: DataFrame, *more: str) -> DataFrame:
+    return tagged_days.groupBy(*GROUP, *more).agg(
         _weighted("triggered").alias("total_comms_triggered"),
         _weighted("delivered").alias("total_comms_delivered"),
         _weighted("loan_rows").alias("loan_id_count"),
     )
+
+
+def _with_share(sums: DataFrame) -> DataFrame:
     delivered = share(F.col("total_comms_delivered"), F.col("total_comms_triggered"))
     return sums.withColumn("delivery_percentage", delivered).select(*CHANNEL_AGG_OVERVIEW.names)
 
 
+def overview_rollup(tagged_days: DataFrame) -> DataFrame:
+    return _with_share(overview_sums(tagged_days))
+
+
+def overview_totals(by_created_day: DataFrame) -> DataFrame:
+    """The overview over all days that its sums were stored by."""
+    counts = ("total_comms_triggered", "total_comms_delivered", "loan_id_count")
+    return _with_share(by_created_day.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in counts]))
+
+
 def response_rollup(tagged_days: DataFrame, population: DataFrame, by_hour: bool) -> DataFrame:
     """Sums and shares per tag, day [and hour] and channel.
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,15 +42,10 @@ EVERYTHING = Scope()
 def of_channels(rows: DataFrame, channels: Sequence[str]) -> DataFrame:
     """Rows of the named channels, whatever the case of the stored name.
 
-    A comparison of ``lower(...)`` cannot be pushed to a scan, a prefix can. So
-    the first letter, in either case, goes along: a database then sends only
-    the rows that may match, and Parquet skips groups of other channels.
+    A comparison of ``lower(...)`` can't be pushed to a scan; staged tables have a folder level
+    for the channel instead.
     """
-    names = [c.lower() for c in channels]
-    column = F.col("type_of_comm")
-    initials = sorted({letter for name in names for letter in (name[0], name[0].upper())})
-    may_match = reduce(or_, [column.startswith(letter) for letter in initials])
-    return rows.where(may_match & F.lower(column).isin(*names))
+    return rows.where(F.lower("type_of_comm").isin(*[c.lower() for c in channels]))
 
 
 def in_month(rows: DataFrame, allocation_month: str | None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from duepulse.operators import loan_days, rollup, tagging
 from duepulse.operators.scope import EVERYTHING, Scope
+from duepulse.schemas import OVERVIEW_BY_CREATED_DAY
 
 
 def _united(branches: list[DataFrame | None]) -> DataFrame:
@@ -26,18 +27,47 @@ def channel_overview(
     ivr_agg: DataFrame | None,
     tag_data: DataFrame,
     scope: Scope = EVERYTHING,
+    by_created_day: bool = False,
 ) -> DataFrame:
-    """Triggered and delivered counts of tagged loans per tag, day and channel."""
+    """Triggered and delivered counts of tagged loans per tag, day and channel.
+
+    With ``by_created_day`` the sums alone, apart for each day a message or call was created.
+    """
     days = _united(
         [
-            None if msg_agg is None else loan_days.message_overview_days(msg_agg, scope),
-            None if ivr_agg is None else loan_days.call_overview_days(ivr_agg, scope),
+            None if msg_agg is None else loan_days.message_overview_days(msg_agg, scope, by_created_day),
+            None if ivr_agg is None else loan_days.call_overview_days(ivr_agg, scope, by_created_day),
         ]
     )
+    tagged = tagging.tagged(days, tagging.tag_copies(scope.of_company(tag_data)), "inner")
+    if by_created_day:
+        return rollup.overview_sums(tagged, "created_day").select(*OVERVIEW_BY_CREATED_DAY.names)
+    return rollup.overview_rollup(tagged)
+
+
+def overview(days: DataFrame, tag_data: DataFrame, scope: Scope = EVERYTHING) -> DataFrame:
+    """The overview of counts per loan and day."""
     tags = tagging.tag_copies(scope.of_company(tag_data))
     return rollup.overview_rollup(tagging.tagged(days, tags, "inner"))
 
 
+def response(
+    days: DataFrame,
+    tag_data: DataFrame,
+    scope: Scope = EVERYTHING,
+    by_hour: bool = False,
+    click_data: DataFrame | None = None,
+) -> DataFrame:
+    """The response report of loan measures per day, or per hour."""
+    copies = tagging.tag_copies(scope.of_company(tag_data))
+    tags = copies
+    if click_data is not None:
+        tags = tagging.with_clicks(copies, scope.of_company(click_data))
+    return rollup.response_rollup(
+        tagging.tagged(days, tags, "left"), tagging.population_of_copies(copies), by_hour
+    )
+
+
 def _response(
     msg_agg: DataFrame | None,
     ivr_agg: DataFrame | None,
@@ -53,13 +83,7 @@ def _response(
             None if ivr_agg is None else loan_days.call_loan_days(ivr_agg, scope, combine, by_hour),
         ]
     )
-    copies = tagging.tag_copies(scope.of_company(tag_data))
-    tags = copies
-    if click_data is not None:
-        tags = tagging.with_clicks(copies, scope.of_company(click_data))
-    return rollup.response_rollup(
-        tagging.tagged(days, tags, "left"), tagging.population_of_copies(copies), by_hour
-    )
+    return response(days, tag_data, scope, by_hour, click_data)
 
 
 def channel_connectivity(

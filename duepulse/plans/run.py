@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from duepulse import schemas
+from duepulse import schemas, session
 from duepulse.functions.measures import day_of
 from duepulse.operators.aggregate import aggregate_ivr, aggregate_messages
 from duepulse.operators.extract import (
@@ -23,10 +23,11 @@ from duepulse.operators.extract import (
     extract_messages,
     extract_tags,
 )
-from duepulse.operators.scope import IVR_CHANNEL, MESSAGE_CHANNELS, Scope
+from duepulse.operators import loan_days, rollup
+from duepulse.operators.scope import IVR_CHANNEL, Scope
 from duepulse.plans import reports
 from duepulse.sources.readers import read_staged
-from duepulse.sources.writers import Loaded, replace_partitions
+from duepulse.sources.writers import Covered, Loaded, encoded, encoded_value, replace_covered
 
 
 @dataclass(frozen=True)
@@ -40,82 +41,58 @@ class Sources:
 
 @dataclass(frozen=True)
 class Table:
-    """A table of the run: its columns, and the partition keys a run replaces.
+    """A table of the run: its columns, and the folder levels its files are in.
 
-    Helpers are further columns in a form that prunes files: a day in place of
-    a timestamp or a text.
+    Parts are columns beside the table's own, in a form that prunes files: a day in place of a
+    timestamp or a text, an encoded text that is never empty. The first level is a day or month,
+    so a run finds what it covers by the names of few folders.
     """
 
     name: str
-    keys: tuple[str, ...]
+    parts: tuple[str, ...]
     schema: StructType | None
-    helpers: tuple[str, ...] = ()
-    is_report: bool = False
 
     def stored_schema(self) -> StructType | None:
         if self.schema is None:
             return None
         schema = StructType(list(self.schema.fields))
-        for helper in self.helpers:
-            schema = schema.add(helper, HELPERS[helper][0])
+        for part in self.parts:
+            schema = schema.add(part, PARTS[part][0])
         return schema
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.name}"
 
 
-# Helper columns: type and definition. ``run_days`` is the day range of a run.
-HELPERS: dict[str, tuple[str, Callable[[Scope], Column]]] = {
-    "channel": ("string", lambda _: F.lower("type_of_comm")),
-    "created_day": ("date", lambda _: F.to_date("created")),
-    "started_day": ("date", lambda _: day_of(F.col("start_time"))),
-    "run_days": ("string", lambda scope: F.lit(f"{scope.start}_{scope.end}")),
+# Folder levels: type and definition.
+PARTS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "part_company": ("string", lambda: encoded(F.col("company_id"))),
+    "part_month": ("string", lambda: encoded(F.col("allocation_month"))),
+    "part_channel": ("string", lambda: encoded(F.lower("type_of_comm"))),
+    "part_created": ("date", lambda: F.to_date("created")),
+    "part_started": ("date", lambda: day_of(F.col("start_time"))),
+    "part_date": ("date", lambda: F.col("date")),
+    "part_created_day": ("date", lambda: F.col("created_day")),
 }
 
-_MONTHLY = ("company_id", "allocation_month")
+_MONTHLY = ("part_month", "part_company")
 ALLOCATION_DATA = Table("allocation_data", _MONTHLY, None)
 TAG_DATA = Table("tag_data", _MONTHLY, schemas.TAG_DATA)
-MSG_DATA = Table(
-    "msg_data",
-    ("company_id", "channel", "created_day"),
-    schemas.MSG_DATA,
-    ("channel", "created_day"),
-)
-IVR_DATA = Table(
-    "ivr_data",
-    ("company_id", "created_day"),
-    schemas.IVR_DATA,
-    ("created_day", "started_day"),
-)
-MSG_AGG_DATA = Table(
-    "msg_agg_data",
-    ("company_id", "type_of_comm", "created_day"),
-    schemas.MSG_AGG_DATA,
-    ("created_day",),
-)
-IVR_AGG_DATA = Table(
-    "ivr_agg_data",
-    ("company_id", "started_day"),
-    schemas.IVR_AGG_DATA,
-    ("started_day",),
-)
+MSG_DATA = Table("msg_data", ("part_created", "part_company", "part_channel"), schemas.MSG_DATA)
+IVR_DATA = Table("ivr_data", ("part_created", "part_company", "part_started"), schemas.IVR_DATA)
+MSG_AGG_DATA = Table("msg_agg_data", ("part_created", "part_company"), schemas.MSG_AGG_DATA)
+IVR_AGG_DATA = Table("ivr_agg_data", ("part_started", "part_company", "part_created"), schemas.IVR_AGG_DATA)
+# Loan measures by hour, which three reports are made from.
+LOAN_HOURS = Table("loan_hours", ("part_date", "part_company"), schemas.LOAN_HOURS)
+# One row per day a message or call was created, whatever the day it is reported under, so that
+# runs over overlapping days replace each other's.
 CHANNEL_AGG_OVERVIEW = Table(
-    "channel_agg_overview",
-    ("company_id", "run_days"),
-    schemas.CHANNEL_AGG_OVERVIEW,
-    ("run_days",),
-    is_report=True,
-)
-_DAILY = ("company_id", "date")
-CHANNEL_CONNECTIVITY_RESPONSE = Table(
-    "channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE, is_report=True
-)
-DATEWISE_CHANNEL_RESPONSE = Table(
-    "datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE, is_report=True
-)
-HOURWISE_CHANNEL_RESPONSE = Table(
-    "hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE, is_report=True
+    "channel_agg_overview", ("part_created_day", "part_company"), schemas.OVERVIEW_BY_CREATED_DAY
 )
+_DAILY = ("part_date", "part_company")
+CHANNEL_CONNECTIVITY_RESPONSE = Table("channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE)
+DATEWISE_CHANNEL_RESPONSE = Table("datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE)
+HOURWISE_CHANNEL_RESPONSE = Table("hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE)
 TABLES = (
     ALLOCATION_DATA,
     TAG_DATA,
@@ -139,35 +116,50 @@ class Run:
     scope: Scope
     allocation_month: str | None = None
 
+    def __post_init__(self) -> None:
+        session.require(self.spark)
+
     def _stored(self, table: Table) -> DataFrame:
-        return read_staged(self.spark, table.path(self.root), table.stored_schema(), table.keys)
+        return read_staged(self.spark, table.path(self.root), table.stored_schema())
 
     def read(self, table: Table) -> DataFrame:
         """The whole table as it was declared, all runs included."""
         stored = self._stored(table)
-        return stored if table.schema is None else stored.select(*table.schema.names)
-
-    def read_days(self, table: Table) -> DataFrame:
-        """The days of this run only, picked by partition or by a typed column."""
-        day = "started_day" if "started_day" in table.helpers else "created_day"
-        return self._stored(table).where(self.scope.days(F.col(day))).select(*table.schema.names)
-
-    def write(self, table: Table, rows: DataFrame, covered: Column) -> Loaded:
-        if table.helpers:
-            rows = rows.withColumns({name: HELPERS[name][1](self.scope) for name in table.helpers})
-        return replace_partitions(
-            rows, table.path(self.root), table.keys, covered, many_small=table.is_report
-        )
-
-    def _company(self) -> Column:
-        company = F.col("company_id")
-        return company.isNotNull() if self.scope.company_id is None else company == self.scope.company_id
-
-    def _month(self) -> Column:
-        month = F.col("allocation_month")
-        return month.isNotNull() if self.allocation_month is None else month == self.allocation_month
-
-    def _write_all(self, steps: list[tuple[Table, DataFrame, Column]]) -> dict[str, Loaded]:
+        if table.schema is None:
+            return stored.drop(*table.parts)
+        rows = stored.select(*table.schema.names)
+        return rollup.overview_totals(rows) if table is CHANNEL_AGG_OVERVIEW else rows
+
+    def read_days(self, table: Table, part: str | None = None, every_company: bool = False) -> DataFrame:
+        """The days of this run, and its company, picked by folder."""
+        rows = self._stored(table).where(self.scope.days(F.col(part or table.parts[0])))
+        if self.scope.company_id is not None and not every_company:
+            rows = rows.where(F.col("part_company") == encoded_value(self.scope.company_id))
+        return rows.select(*table.schema.names)
+
+    def write(self, table: Table, rows: DataFrame, covered: Covered) -> Loaded:
+        parts = {name: PARTS[name][1]() for name in table.parts}
+        return replace_covered(rows, table.path(self.root), parts, covered)
+
+    def _company(self) -> str | None:
+        company = self.scope.company_id
+        return None if company is None else encoded_value(company)
+
+    def _days(self, every_company: bool = False) -> Covered:
+        scope = self.scope
+        if scope.start is None and scope.end is None:
+            first = None
+        else:
+            def first(day: str) -> bool:
+                return (scope.start or "") <= day <= (scope.end or "9999-12-31")
+        return Covered(first, None if every_company else self._company())
+
+    def _month(self) -> Covered:
+        month = self.allocation_month
+        wanted = None if month is None else (lambda value: value == encoded_value(month))
+        return Covered(wanted, self._company())
+
+    def _write_all(self, steps: list[tuple[Table, DataFrame, Covered]]) -> dict[str, Loaded]:
         """Independent tables at the same time, so that one's last tasks leave no core idle."""
         with ThreadPoolExecutor(len(steps)) as pool:
             write = inheritable_thread_target(self.spark)(self.write)
@@ -177,15 +169,12 @@ class Run:
     def extract(self, sources: Sources) -> dict[str, Loaded]:
         scope, month = self.scope, self.allocation_month
         defaults, details = sources.lending_default_details, sources.lending_loan_details
-        monthly = self._company() & self._month()
-        created = self._company() & scope.days(F.col("created_day"))
-        channels = F.col("channel").isin(*MESSAGE_CHANNELS)
         return self._write_all(
             [
-                (ALLOCATION_DATA, extract_allocation(defaults, details, scope, month), monthly),
-                (TAG_DATA, extract_tags(sources.tags, scope, month), monthly),
-                (IVR_DATA, extract_ivr(sources.communication, scope), created),
-                (MSG_DATA, extract_messages(sources.communication, scope), created & channels),
+                (ALLOCATION_DATA, extract_allocation(defaults, details, scope, month), self._month()),
+                (TAG_DATA, extract_tags(sources.tags, scope, month), self._month()),
+                (IVR_DATA, extract_ivr(sources.communication, scope), self._days()),
+                (MSG_DATA, extract_messages(sources.communication, scope), self._days()),
             ]
         )
 
@@ -193,33 +182,35 @@ class Run:
         """Messages of the run's companies; calls of every company loaded."""
         scope = self.scope
         messages = aggregate_messages(self.read_days(MSG_DATA), scope)
-        calls = aggregate_ivr(self.read_days(IVR_DATA), scope, IVR_CHANNEL, bad_durations)
-        channels = F.col("type_of_comm").isin(*MESSAGE_CHANNELS)
-        created = self._company() & scope.days(F.col("created_day"))
+        started = self.read_days(IVR_DATA, "part_started", every_company=True)
+        calls = aggregate_ivr(started, scope, IVR_CHANNEL, bad_durations)
         return self._write_all(
             [
-                (MSG_AGG_DATA, messages, created & channels),
-                (IVR_AGG_DATA, calls, scope.days(F.col("started_day"))),
+                (MSG_AGG_DATA, messages, self._days()),
+                (IVR_AGG_DATA, calls, self._days(every_company=True)),
             ]
         )
 
     def report(self, click_data: DataFrame) -> dict[str, Loaded]:
-        scope = self.scope
-        # The overview picks calls by the day they were created.
+        """The overview from the aggregates; the other three from one table of loan hours."""
+        scope, tags = self.scope, self.read(TAG_DATA)
         messages, calls = self.read_days(MSG_AGG_DATA), self.read_days(IVR_AGG_DATA)
-        every_call, tags = self.read(IVR_AGG_DATA), self.read(TAG_DATA)
-        overview = reports.channel_overview(messages, every_call, tags, scope)
-        connectivity = reports.channel_connectivity(messages, calls, tags, scope)
-        datewise = reports.datewise_response(messages, calls, tags, click_data, scope)
-        hourwise = reports.hourwise_response(messages, calls, tags, scope)
-        same_run = self._company() & (F.col("run_days") == HELPERS["run_days"][1](scope))
-        dated = self._company() & scope.days(F.col("date"))
-        return self._write_all(
+        # The overview picks calls by the day they were created.
+        created = self.read_days(IVR_AGG_DATA, "part_created")
+        overview = reports.channel_overview(messages, created, tags, scope, by_created_day=True)
+        hours = loan_days.loan_hours(
+            loan_days.message_rows(messages, scope).unionByName(loan_days.call_rows(calls, scope))
+        )
+        first = self._write_all([(CHANNEL_AGG_OVERVIEW, overview, self._days()), (LOAN_HOURS, hours, self._days())])
+        first.pop(LOAN_HOURS.name)
+        hours = self.read_days(LOAN_HOURS)
+        largest, summed = loan_days.of_hours(hours, "max"), loan_days.of_hours(hours, "sum")
+        hourly = loan_days.of_hours(hours, "sum", by_hour=True)
+        return first | self._write_all(
             [
-                (CHANNEL_AGG_OVERVIEW, overview, same_run),
-                (CHANNEL_CONNECTIVITY_RESPONSE, connectivity, dated),
-                (DATEWISE_CHANNEL_RESPONSE, datewise, dated),
-                (HOURWISE_CHANNEL_RESPONSE, hourwise, dated),
+                (CHANNEL_CONNECTIVITY_RESPONSE, reports.response(largest, tags, scope), self._days()),
+                (DATEWISE_CHANNEL_RESPONSE, reports.response(summed, tags, scope, click_data=click_data), self._days()),
+                (HOURWISE_CHANNEL_RESPONSE, reports.response(hourly, tags, scope, by_hour=True), self._days()),
             ]
         )
 

@@ -63,3 +63,16 @@ CHANNEL_RESPONSE = _schema(f"company_id string, allocation_month string, date da
 HOURWISE_CHANNEL_RESPONSE = _schema(
     f"company_id string, allocation_month string, date date, hours integer, {_MEASURES}"
 )
+# The overview as a run stores it: sums for each day the message or call was created.
+OVERVIEW_BY_CREATED_DAY = _schema(
+    "company_id string, allocation_month string, type_of_comm string, date date, tag_name string, "
+    "total_comms_triggered long, total_comms_delivered long, loan_id_count long, created_day date"
+)
+# Measures per loan and hour, summed and largest.
+LOAN_HOURS = _schema(
+    "company_id string, loan_id string, type_of_comm string, date date, hours integer, "
+    + ", ".join(
+        f"{name}_sum long, {name}_max long"
+        for name in ("triggered", "delivered", "opened", "responded", "ended", "clicked", "explicit", "errors")
+    )
+)

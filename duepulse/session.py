@@ -14,22 +14,30 @@ REQUIRED_CONF = {
 }
 
 _MB = 1024 * 1024
-_MOST_SCAN_TASKS = 200_000
 _SHUFFLED_SHARE = 0.25
+_LEAST_BLOCK = 256 * 1024
+_MOST_PARTITION = 2048 * _MB
+
+
+def require(spark: SparkSession) -> None:
+    """Raises unless a value that does not parse stops a job of this session."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true; see session.REQUIRED_CONF")
 
 
 def cluster_conf(input_bytes: int, executor_cores: int) -> dict[str, str]:
     """Settings for a run that reads about ``input_bytes`` on ``executor_cores`` cores in all.
 
-    The largest shuffle, of the loan aggregate, moves about a quarter of the
-    input. It starts with 512 MB per partition, and at least two partitions
-    per core; the adaptive planner merges what turns out small. Scan splits grow
-    with the input, so that scan tasks times shuffle partitions, the number of
-    shuffle blocks, stays within what a shuffle service can serve.
+    The largest shuffle, of the loan aggregate, moves about a quarter of the input. It has at
+    least two partitions per core and at most 2 GB in each, which the aggregate can spill; the
+    adaptive planner merges what turns out small. Every scan task writes a block for every
+    partition, and many small blocks are random reads; so scan tasks are as few as keep the mean
+    block at 256 KB, yet two for each core.
     """
     shuffled = int(input_bytes * _SHUFFLED_SHARE)
-    partitions = max(2 * executor_cores, -(-shuffled // (512 * _MB)))
-    split = max(128 * _MB, -(-input_bytes // _MOST_SCAN_TASKS))
+    partitions = max(2 * executor_cores, -(-shuffled // _MOST_PARTITION))
+    scan_tasks = max(2 * executor_cores, shuffled // (partitions * _LEAST_BLOCK))
+    split = max(128 * _MB, -(-input_bytes // scan_tasks))
     return {
         **REQUIRED_CONF,
         "spark.sql.shuffle.partitions": str(partitions),

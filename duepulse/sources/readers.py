@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -18,21 +18,9 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_staged(
-    spark: SparkSession, path: str, schema: StructType | None = None, keys: tuple[str, ...] = ()
-) -> DataFrame:
-    """A table written by ``replace_partitions``.
-
-    Text partition keys keep their text: a month such as ``2024-01-01`` or an
-    id such as ``007`` would otherwise come back as a date or a number. Give
-    the declared schema, or ``keys`` for a table that has none.
-    """
-    if schema is None:
-        found = spark.read.parquet(path).schema
-        schema = StructType(
-            [StructField(f.name, StringType()) if f.name in keys else f for f in found.fields]
-        )
-    return spark.read.schema(schema).parquet(path)
+def read_staged(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table written by ``replace_covered``, with its folder levels as columns."""
+    return read_parquet(spark, path, schema)
 
 
 def time_slices(column: str, start: str, end: str, slices_per_day: int = 1) -> list[str]:
@@ -47,6 +35,28 @@ def time_slices(column: str, start: str, end: str, slices_per_day: int = 1) -> l
     ]
 
 
+def key_slices(key: str, slices: int) -> list[str]:
+    """Disjoint conditions on a whole-number key or expression, for tables without a time column.
+
+    The expression is the database's: a hash function over a text key will do. Rows whose key is
+    NULL come with the first slice.
+    """
+    conditions = [f"mod(abs({key}), {slices}) = {i}" for i in range(slices)]
+    return [f"({conditions[0]} OR {key} IS NULL)", *conditions[1:]]
+
+
+def conformed(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The rows with the declared columns in their declared types, by name.
+
+    Other columns stay. A missing column or a type that can't be cast is an error at once.
+    """
+    missing = [f.name for f in schema.fields if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
+    wrong = [f for f in schema.fields if rows.schema[f.name].dataType != f.dataType]
+    return rows.withColumns({f.name: rows[f.name].cast(f.dataType) for f in wrong}) if wrong else rows
+
+
 def read_database(
     spark: SparkSession,
     url: str,
@@ -59,9 +69,9 @@ def read_database(
 
     Each slice is one task with its own connection. Equality filters on plain
     columns and the column list go to the database. Connection settings come
-    from the caller.
+    from the caller. Timestamps without a zone stay without one.
     """
-    options = {**properties, "fetchsize": str(fetch_rows)}
+    options = {"preferTimestampNTZ": "true", **properties, "fetchsize": str(fetch_rows)}
     if slices:
         return spark.read.jdbc(url, table, predicates=slices, properties=options)
     return spark.read.jdbc(url, table, properties=options)

@@ -30,9 +30,9 @@ _PAYLOAD = (
     """ '","opened_time":', if(event_id % 3 = 0, 'null', '"x"') """,
     """ ',"sms_verification_link_clicked_count":', if(event_id % 4 = 0, 'null', string(event_id % 4)) """,
     """ ',"dtmf_ivr_mobile":"9', lpad(user_id, 9, '0') """,
-    """ '","start_time":', if(event_id % 13 = 0, 'null', concat('"', day, ' ', hh, ':15:00"')) """,
-    """ ',"end_time":"', day, ' ', hh, ':45:00' """,
-    """ '","call_duration":"', event_id % 25 """,
+    """ '","start_time":', if(event_id % 13 = 0, 'null', concat('"', started, ' ', hh, ':15:00"')) """,
+    """ ',"end_time":"', started, ' ', hh, ':45:00' """,
+    """ '","call_duration":"', if(event_id % 41 = 0, 'n/a', string(event_id % 25)) """,
     """ '","ivr_response":{"scenarioName":"s1","collectedDtmfs":',
         CASE event_id % 6 WHEN 0 THEN '{}' WHEN 1 THEN 'null' ELSE '{"1":"1"}' END """,
     """ ',"collectedMappedDtmfs":', element_at(array('{}', '"0"', '{"1":"Yes"}', '{"1":"NO"}',
@@ -43,7 +43,10 @@ _PAYLOAD = (
 
 
 def communication(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as messages and calls; an event of value 150 or more was sent twice."""
+    """Events as messages and calls; an event of value 150 or more was sent twice.
+
+    Some calls start the day after they were created, have no readable duration, or no loan.
+    """
     return (
         _table(spark, sf_dir, "events")
         .selectExpr(
@@ -54,9 +57,11 @@ def communication(spark: SparkSession, sf_dir: str) -> DataFrame:
             "string(date(ts)) AS day",
             "hour(ts) AS hour",
             "lpad(hour(ts), 2, '0') AS hh",
+            "string(date(ts) + int(event_id % 10 = 7)) AS started",
         )
         .selectExpr(
-            *_loan("user_id"),
+            _loan("user_id")[0],
+            "if(event_id % 43 = 0, NULL, concat('L', user_id)) AS loan_id",
             """CASE WHEN event_type IN ('click', 'signup') THEN if(event_id % 11 = 0, 'WhatsApp', 'whatsapp')
                     WHEN event_type = 'view' THEN if(event_id % 11 = 0, 'SMS', 'sms')
                     ELSE 'dtmf_ivr' END AS type_of_comm""",
@@ -80,6 +85,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
             """inline(array(
                 named_struct('least', 0, 'tag', string(NULL), 'month', '2024-1-01'),
                 named_struct('least', 6000, 'tag', 'RETARGET', 'month', '2024-1-01'),
+                named_struct('least', 7000, 'tag', 'UNSORTED', 'month', ''),
                 named_struct('least', 8000, 'tag', 'RETARGET', 'month', '2024-2-01'),
                 named_struct('least', 9000, 'tag', 'RETARGET', 'month', '2024-1-01')))""",
         )
@@ -91,13 +97,13 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click events; a quarter of the links belongs to no message channel."""
+    """Click events; a quarter of the links belongs to no message channel, a sixth is a year later."""
     return (
         _table(spark, sf_dir, "events")
         .where("event_type = 'click'")
         .selectExpr(
             *_loan("user_id"),
-            "ts AS created",
+            "if(event_id % 6 = 5, ts + INTERVAL 1 YEAR, ts) AS created",
             """element_at(array('x_predue_1_wa_a', 'predue_sms', 'predue_z_sms_b', 'postdue_wa'),
                           int(event_id % 4 + 1)) AS link_tag""",
         )

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
-
-from duepulse.sources.readers import read_staged
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
-_SPREAD_TASKS = 1000
 
 
 @dataclass(frozen=True)
@@ -32,11 +27,10 @@ def save_mode(if_exists: str) -> str:
     return _MODES[if_exists]
 
 
-def _counted(rows: DataFrame, **more: Column) -> tuple[DataFrame, Observation]:
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
     """The rows with a count taken during the write, so no second scan is needed."""
     seen = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]]
-    return rows.observe(seen, *metrics), seen
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def write_parquet(rows: DataFrame, path: str, if_exists: str = "append") -> Loaded:
@@ -73,55 +67,60 @@ def write_database(
     return Loaded(seen.get["rows"])
 
 
-def _folders(rows: DataFrame, keys: tuple[str, ...]) -> dict[tuple[str, ...], set[str]]:
-    """Folders per partition. One row per partition reaches the driver."""
-    folder = F.regexp_replace(F.input_file_name(), "/[^/]+$", "")
-    found = rows.select(*[F.col(k).cast("string").alias(k) for k in keys], folder.alias("folder"))
-    result: dict[tuple[str, ...], set[str]] = defaultdict(set)
-    for row in found.distinct().toLocalIterator():
-        result[tuple(row[k] for k in keys)].add(unquote(row["folder"]))
-    return result
+def encoded(text: Column) -> Column:
+    """A text as a folder name: never empty, no special characters, NULL and '' apart."""
+    return F.coalesce(F.concat(F.lit("v"), F.hex(F.encode(text, "utf-8"))), F.lit("n"))
 
 
-def replace_partitions(
-    rows: DataFrame,
-    path: str,
-    keys: tuple[str, ...],
-    covered: Column,
-    many_small: bool = False,
-) -> Loaded:
-    """Replace what the table holds for a run, so that a second run changes nothing.
+def encoded_value(text: str | None) -> str:
+    """What ``encoded`` gives for this text."""
+    return "n" if text is None else f"v{text.encode().hex().upper()}"
 
-    Partitions with new rows are overwritten as a whole. Partitions that
-    satisfy ``covered``, the condition on ``keys`` the run stands for, and got
-    no rows this time are emptied.
 
-    A rebalance brings the rows of a partition together and cuts them into
-    several files where they are many. It sizes tasks by bytes, so a result of
-    ``many_small`` partitions, such as a report, would be written by one task;
-    that is spread over up to 1000 tasks instead.
+@dataclass(frozen=True)
+class Covered:
+    """The part of a table that a run stands for, by the first two folder levels.
+
+    ``first`` tells of a folder's value whether it is covered, ``second`` is the one covered
+    value; None covers all.
     """
-    spark = rows.sparkSession
-    nothing = rows.limit(0)
-    nothing.write.mode("ignore").partitionBy(*keys).parquet(path)
-    before = _folders(read_staged(spark, path, rows.schema).where(covered), keys)
-
-    key = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
-    if many_small:
-        tasks = min(_SPREAD_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        even = rows.repartition(tasks, *keys)
-    else:
-        even = rows.hint("rebalance", *[F.col(k) for k in keys])
-    counted, seen = _counted(even, partitions=F.collect_set(key))
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-    written = {tuple(p[k] for k in keys) for p in seen.get["partitions"]}
 
-    for partition in before.keys() - written:
-        for folder in before[partition]:
-            nothing.drop(*keys).write.mode("overwrite").parquet(folder)
+    first: Callable[[str], bool] | None = None
+    second: str | None = None
+
+
+def _remove(spark: SparkSession, path: str, parts: tuple[str, ...], covered: Covered) -> None:
+    """Removes the covered folders. Lists the first level only, whose values are days or months."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf)
+    if covered.first is None and covered.second is None:
+        files.delete(root, True)
+    elif files.exists(root):
+        for status in files.listStatus(root):
+            name, _, value = status.getPath().getName().partition("=")
+            if name != parts[0] or not (covered.first is None or covered.first(value)):
+                continue
+            folder = status.getPath()
+            if covered.second is not None:
+                folder = jvm.org.apache.hadoop.fs.Path(folder, f"{parts[1]}={covered.second}")
+            files.delete(folder, True)
+    files.mkdirs(root)
+
+
+def replace_covered(rows: DataFrame, path: str, parts: dict[str, Column], covered: Covered) -> Loaded:
+    """Replaces what the table holds for a run, so that a second run changes nothing.
+
+    ``parts`` are the folder levels, as columns beside the table's own, which stay in the files as
+    they are. All rows must lie in the covered part. It is removed, then the rows are appended: one
+    job whatever the number of partitions, and nothing about them is gathered on the driver. A run
+    that dies half-way is repaired by repeating it.
+
+    A rebalance brings the rows of a partition together and cuts them into several files where
+    they are many.
+    """
+    _remove(rows.sparkSession, path, tuple(parts), covered)
+    even = rows.withColumns(parts).hint("rebalance", *[F.col(p) for p in parts])
+    counted, seen = _counted(even)
+    counted.write.mode("append").partitionBy(*parts).parquet(path)
     return Loaded(seen.get["rows"])

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 _COMMUNICATION = """
 SELECT 'co-' || (user_id % 3) AS company_id,
-       'L' || user_id AS loan_id,
+       if(event_id % 43 = 0, NULL, 'L' || user_id) AS loan_id,
        CASE WHEN event_type IN ('click', 'signup') THEN if(event_id % 11 = 0, 'WhatsApp', 'whatsapp')
             WHEN event_type = 'view' THEN if(event_id % 11 = 0, 'SMS', 'sms')
             ELSE 'dtmf_ivr' END AS type_of_comm,
@@ -29,9 +29,9 @@ SELECT 'co-' || (user_id % 3) AS company_id,
        || ',"sms_verification_link_clicked_count":'
        || if(event_id % 4 = 0, 'null', CAST(event_id % 4 AS VARCHAR))
        || ',"dtmf_ivr_mobile":"9' || lpad(CAST(user_id AS VARCHAR), 9, '0')
-       || '","start_time":' || if(event_id % 13 = 0, 'null', strftime(ts, '"%Y-%m-%d %H:15:00"'))
-       || ',"end_time":' || strftime(ts, '"%Y-%m-%d %H:45:00"')
-       || ',"call_duration":"' || (event_id % 25)
+       || '","start_time":' || if(event_id % 13 = 0, 'null', strftime(started, '"%Y-%m-%d %H:15:00"'))
+       || ',"end_time":' || strftime(started, '"%Y-%m-%d %H:45:00"')
+       || ',"call_duration":"' || if(event_id % 41 = 0, 'n/a', CAST(event_id % 25 AS VARCHAR))
        || '","ivr_response":{"scenarioName":"s1","collectedDtmfs":'
        || CASE event_id % 6 WHEN 0 THEN '{}' WHEN 1 THEN 'null' ELSE '{"1":"1"}' END
        || ',"collectedMappedDtmfs":'
@@ -40,7 +40,8 @@ SELECT 'co-' || (user_id % 3) AS company_id,
        || '},"error":{"groupName":'
        || CASE event_id % 9 WHEN 0 THEN '"SYSTEM"' WHEN 1 THEN '"USER_ERRORS"' ELSE 'null' END
        || '}}' AS comm_dict
-FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE value >= 150)
+FROM (SELECT *, ts + to_days(CAST(event_id % 10 = 7 AS INTEGER)) AS started
+      FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE value >= 150))
 """
 
 _TAGS = """
@@ -48,12 +49,13 @@ SELECT 'co-' || (c_custkey % 3) AS company_id, 'L' || c_custkey AS loan_id,
        coalesce(k.tag, c_mktsegment) AS tag_name, k.month AS allocation_month
 FROM customer
 JOIN (VALUES (0, NULL, '2024-1-01'), (6000, 'RETARGET', '2024-1-01'),
-             (8000, 'RETARGET', '2024-2-01'), (9000, 'RETARGET', '2024-1-01')) k(least, tag, month)
+             (7000, 'UNSORTED', ''), (8000, 'RETARGET', '2024-2-01'), (9000, 'RETARGET', '2024-1-01')) k(least, tag, month)
   ON c_acctbal >= k.least
 """
 
 _CLICK_DATA = """
-SELECT 'co-' || (user_id % 3) AS company_id, 'L' || user_id AS loan_id, ts AS created,
+SELECT 'co-' || (user_id % 3) AS company_id, 'L' || user_id AS loan_id,
+       if(event_id % 6 = 5, ts + INTERVAL 1 YEAR, ts) AS created,
        ['x_predue_1_wa_a', 'predue_sms', 'predue_z_sms_b', 'postdue_wa'][event_id % 4 + 1] AS link_tag
 FROM events WHERE event_type = 'click'
 """
@@ -168,7 +170,7 @@ SELECT loan_id, if(coalesce(secs, 0) > 0, 1, 0) AS call_pick, if(coalesce(secs,
        trigger_count, created, company_id, start_time, 'dtmf_ivr' AS type_of_comm,
        if(coalesce(lower(error_nm), 'user_errors') = 'user_errors', 0, 1) AS error_flag
 FROM (
-  SELECT *, CAST(call_duration AS INTEGER) AS secs,
+  SELECT *, TRY_CAST(call_duration AS INTEGER) AS secs,
          CASE WHEN "collectedMappedDtmfs" IN ('{{}}', '0') THEN -1
               WHEN "collectedMappedDtmfs" ILIKE '%yes%' THEN 1
               WHEN "collectedMappedDtmfs" ILIKE '%no%' THEN 2 ELSE 0 END AS state
@@ -230,7 +232,7 @@ def _response(w: Window, days: str, by_hour: bool, clicks: bool) -> str:
     click_join = """
   LEFT JOIN channel_clicks c
     ON c.company_id = d.company_id AND c.loan_id = d.loan_id AND c.type_of_comm = d.type_of_comm
-   AND month(c.created) = month(CAST(t.allocation_month AS DATE))"""
+   AND month(c.created) = month(CAST(nullif(t.allocation_month, '') AS DATE))"""
     triggered = "trigger_count_sum"
     hours = _HOUR[by_hour]
     return f"""

@@ -25,13 +25,13 @@ def test_reader_gives_each_slice_its_own_task():
     read_database(SimpleNamespace(read=reader), "jdbc:x", "communication", {"user": "u"}, slices)
     ((args, kwargs),) = reader.calls
     assert args == ("jdbc:x", "communication")
-    assert kwargs == {"predicates": slices, "properties": {"user": "u", "fetchsize": "50000"}}
+    assert kwargs == {"predicates": slices, "properties": {"preferTimestampNTZ": "true", "user": "u", "fetchsize": "50000"}}
 
 
 def test_reader_without_slices():
     reader = Recorder()
     read_database(SimpleNamespace(read=reader), "jdbc:x", "tags", {}, fetch_rows=10)
-    assert reader.calls == [(("jdbc:x", "tags"), {"properties": {"fetchsize": "10"}})]
+    assert reader.calls == [(("jdbc:x", "tags"), {"properties": {"preferTimestampNTZ": "true", "fetchsize": "10"}})]
 
 
 def test_writer_sets_mode_batches_and_connections(spark, monkeypatch):
@@ -57,8 +57,12 @@ def test_writer_sets_mode_batches_and_connections(spark, monkeypatch):
 def test_cluster_conf_follows_input_and_cores():
     terabyte = 1024**4
     large, small = cluster_conf(100 * terabyte, 4000), cluster_conf(1, 4000)
-    assert large["spark.sql.shuffle.partitions"] == str(100 * terabyte // 4 // (512 * 1024**2))
-    assert 100 * terabyte / int(large["spark.sql.files.maxPartitionBytes"]) <= 200_000
+    partitions = int(large["spark.sql.shuffle.partitions"])
+    scans = 100 * terabyte / int(large["spark.sql.files.maxPartitionBytes"])
+    block = 25 * terabyte / scans / partitions
+    assert 200 * 1024 <= block <= 1024 * 1024
+    assert 25 * terabyte / partitions <= 2 * 1024**3
+    assert scans >= 2 * 4000
     assert small["spark.sql.shuffle.partitions"] == "8000"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024**2)
     assert REQUIRED_CONF.items() <= large.items()

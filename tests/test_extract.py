@@ -13,7 +13,7 @@ from duepulse.operators.extract import (
     extract_tags,
 )
 from duepulse.operators.joins import left_join_splitting_both_sides
-from duepulse.operators.scope import Scope
+from duepulse.operators.scope import Scope, of_channels
 
 
 def test_messages(spark):
@@ -201,3 +201,11 @@ def test_tags(spark):
     )
     assert sorted(str(r.tag_name) for r in extract_tags(df, Scope("c"), "2024-1-01").collect()) == ["None", "a"]
     assert extract_tags(df).count() == 4
+
+
+def test_a_channel_matches_whatever_lower_makes_equal(spark):
+    # The Kelvin sign is lower-cased to k, but is not its upper case.
+    names = ["kaleyra", "KALEYRA", "Kaleyra", "aleyra", "", None]
+    rows = spark.createDataFrame([(n,) for n in names], "type_of_comm string")
+    assert of_channels(rows, ["Kaleyra"]).count() == 3
+    assert of_channels(rows, [""]).count() == 1

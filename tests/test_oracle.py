@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+import oracle_queries
 from conftest import SF_SMALL
 
 TABLES = (
@@ -24,13 +25,13 @@ def duck():
 
 
 def test_each_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert registered.report_queries().keys() == oracle_queries.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.report_queries())
 def test_query_equals_sql(spark, duck, name, tmp_path):
-    found = registered.queries()[name](spark, SF_SMALL)
-    cursor = duck.execute(registered.oracle_sql()[name])
+    found = registered.report_queries()[name](spark, SF_SMALL)
+    cursor = duck.execute(oracle_queries.oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     order = sorted(found.columns)
     assert sorted(names) == order

@@ -12,7 +12,7 @@ from duepulse.operators.aggregate import aggregate_messages
 from duepulse.operators.extract import extract_allocation, extract_ivr, extract_messages
 from duepulse.operators.scope import Scope
 from duepulse.plans import reports, run
-from duepulse.sources import sample
+from duepulse.sources import sample, writers
 
 RUN = Scope("co-1", "2024-01-03", "2024-01-20")
 
@@ -35,9 +35,9 @@ def staged(spark, tmp_path_factory):
     return tables
 
 
-@pytest.mark.parametrize("name", [n for n in registered.queries() if "full_run" not in n])
+@pytest.mark.parametrize("name", [n for n in registered.report_queries() if "full_run" not in n])
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(registered.queries()[name](spark, SF_SMALL))
+    text = plan(registered.report_queries()[name](spark, SF_SMALL))
     for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert node not in text, node
 
@@ -53,13 +53,8 @@ def test_extracts_push_company_and_days_and_shuffle_nothing(staged):
         assert text.count("from_json") == 1
 
 
-def test_channel_reaches_the_scan_as_a_prefix(staged):
-    text = details(extract_ivr(staged["communication"]))
-    assert "Or(StringStartsWith(type_of_comm,D),StringStartsWith(type_of_comm,d))" in text
-
-
 def test_calls_are_parsed_once_under_a_filter_on_a_parsed_value(spark):
-    text = plan(registered.queries()["ivr_loan_aggregate"](spark, SF_SMALL))
+    text = plan(registered.report_queries()["ivr_loan_aggregate"](spark, SF_SMALL))
     assert text.count("from_json(") == 1
 
 
@@ -101,10 +96,16 @@ def test_allocation_shuffles_the_loans_once(spark, staged):
 
 
 def test_run_reads_only_its_days(spark, tmp_path):
-    run.Run(spark, str(tmp_path), Scope(None, None, None)).extract(sample.sources(spark, SF_SMALL))
+    whole = run.Run(spark, str(tmp_path), Scope(None, None, None))
+    whole.extract(sample.sources(spark, SF_SMALL))
+    whole.aggregate("null")
     job = run.Run(spark, str(tmp_path), RUN)
-    text = details(job.read_days(run.MSG_DATA))
-    assert "PartitionFilters: [isnotnull(created_day" in text
-    assert ">= 2024-01-03" in text
-    text = details(job.read_days(run.IVR_DATA))
-    assert "GreaterThanOrEqual(started_day,2024-01-03)" in text
+    company = writers.encoded_value("co-1")
+    for table, part in (
+        (run.MSG_DATA, "part_created"), (run.IVR_DATA, "part_started"), (run.MSG_AGG_DATA, "part_created"),
+        (run.IVR_AGG_DATA, "part_started"), (run.IVR_AGG_DATA, "part_created"),
+    ):
+        text = details(job.read_days(table, part))
+        (pruned,) = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+        assert f"isnotnull({part}" in pruned and ">= 2024-01-03" in pruned, pruned
+        assert company in pruned
