@@ -52,8 +52,8 @@ def identify_language(
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, rest = sent.value
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+        for ids, held, part in tables.slices(batches):
+            texts = [t or "" for t in part.to_pylist()]
             letters = np.array([bool(rest and _LETTER.search(t)) for t in texts], dtype=bool)
             if rest:
                 p = em.softmax((subwords.mean_weights(texts, weights, s.widths, s.lower, s.pairs, s.prior) + rest[0]) / rest[1])
@@ -63,7 +63,7 @@ def identify_language(
             else:
                 score, lang = np.zeros(len(texts)), [UNDETERMINED] * len(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(score < least)],
+                [ids, held, pa.array(lang, pa.string()), pa.array(score), pa.array(score < least)],
                 names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
             )
 

@@ -32,7 +32,7 @@ CHUNK = 512
 #: Candidates (two longs each) are broadcast up to this count, else joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 #: Keys that are combined in a task before they are sent.
-HELD_KEYS = 1 << 19
+HELD_KEYS = 1 << 18
 _CLASS_RATIO = 1.5
 
 

@@ -75,17 +75,17 @@ def tokenized(documents: DataFrame, tokenizer_path: str, tokens: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer_path)
-        for batch in batches:
+        for numbers, part in tables.slices(batches):
             docs, pieces, lengths, sums = [], [], [], []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), words.ids(texts), strict=True):
+            texts = [t or "" for t in part.to_pylist()]
+            for doc, ids in zip(numbers.to_pylist(), words.ids(texts), strict=True):
                 ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * tokens)):
-                    part = ids[at : at + 4 * tokens]
+                    cut = ids[at : at + 4 * tokens]
                     docs.append(doc)
                     pieces.append(piece)
-                    lengths.append(len(part) // 4)
-                    sums.append(zlib.crc32(part))
+                    lengths.append(len(cut) // 4)
+                    sums.append(zlib.crc32(cut))
             piece = np.array(pieces, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs, pa.int64()), pa.array(piece.astype(np.int32)), pa.array(piece * tokens), pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],

@@ -44,12 +44,12 @@ def score_quality(
     s = settings
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+        for ids, held, part in tables.slices(batches):
+            texts = [t or "" for t in part.to_pylist()]
             means = subwords.mean_weights(texts, sent.value, s.widths, s.lower, s.pairs, s.prior)[:, 0]
             score = 1 / (1 + np.exp(-np.clip(means + bias, -60, 60)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
+                [ids, held, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import subwords
+from . import subwords, tables
 
 
 @dataclass
@@ -50,9 +50,9 @@ def gather(
     """Features of the chosen rows' whole texts. ``chosen`` is a bounded sample (key, label)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for columns in tables.slices(batches):
             out = []
-            for k, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k, text, y in zip(*(c.to_pylist() for c in columns), strict=True):
                 b, n = subwords.counted(text or "", buckets, widths, lower, pairs)
                 out.append((k, y, b.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]

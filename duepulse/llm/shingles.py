@@ -10,7 +10,7 @@ _RATIO = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 #: Bytes of text that are put through the arrays at once; a longer text goes alone.
-SPAN = 1 << 19
+SPAN = 1 << 17
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Code points that are put through the arrays at once.
-SPAN = 1 << 19
+SPAN = 1 << 17
 _RATIO = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.uint32(32)
 

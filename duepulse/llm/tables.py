@@ -37,7 +37,7 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[list[pa.Array]]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[pa.Array]]:
     """The columns of the batches, some rows at a time, so that few texts are Python objects at once."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

@@ -151,13 +151,13 @@ def with_severity(
         dense = np.zeros(s.buckets)
         dense[held] = weights
         known = Model(dense, thresholds)
-        for batch in batches:
-            raw = _raw([t or "" for t in batch.column(at).to_pylist()], dense, s)
+        for columns in tables.slices(batches):
+            raw = _raw([t or "" for t in columns[at].to_pylist()], dense, s)
             above = known.at_least(raw)
             severity = above.sum(axis=1)
             chance = -np.diff(np.column_stack((np.ones(len(raw)), above, np.zeros(len(raw)))), axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(severity), pa.array(chance.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= limit)],
+                [*columns, pa.array(severity), pa.array(chance.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= limit)],
                 names=names,
             )
 
