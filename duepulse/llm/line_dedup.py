@@ -27,57 +27,78 @@ MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
 
 
-def lines(documents: DataFrame) -> DataFrame:
-    """Each line that takes part: its place, a hash pair of its words, and its words.
-
-    Lines end at line feeds. Words are runs without white space, in lower case.
-    """
-    place = documents.select(
+def _places(documents: DataFrame) -> DataFrame:
+    """Every line of every text with its place. Lines end at line feeds."""
+    rows = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
     )
-    words = F.regexp_extract_all(F.lower("line"), F.lit(tables.WORD), F.lit(0))
-    return place.select("doc_id", "line_no", words.alias("w")).where(F.size("w") >= LEAST_WORDS).select(
-        F.struct("doc_id", "line_no").alias("at"), F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "w"
-    )
+    return rows.select(F.struct("doc_id", "line_no").alias("at"), "line")
+
+
+def _worded(places: DataFrame, *keep: str) -> DataFrame:
+    """The lines that take part, as arrays of their words in lower case (runs without white space).
+
+    Blanks part nearly all words, and parting at one character needs no pattern. As the element of
+    an exploded array the words are made once, not again for each use.
+    """
+    line = F.lower("line")
+    odd = [F.contains("line", F.lit(c)) for c in "\t\x0b\x0c\r"]
+    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    words = F.array_remove(F.split(plain, " "), "")
+    return places.select(*keep, "at", F.explode(F.array(words)).alias("w")).where(F.size("w") >= LEAST_WORDS)
 
 
 def _halves(w: Column) -> Column:
     """Keys of the halves that a line shares with any line within one edit.
 
     For a partner with n words, the shorter of the two, the edit is in the first n div 2 words or
-    behind them; so these words are equal, or the last n - n div 2 are.
+    behind them; so these words are equal, or the last n - n div 2 are. ``longer`` tells that the
+    line itself has n + 1 words, ``side`` which half the key is of.
     """
 
-    def of(n: Column) -> list[Column]:
+    def of(longer: int) -> list[Column]:
+        n = F.size(w) - longer
         first = F.floor(n / 2).cast("int")
         rest = n - first
+        keys = [F.slice(w, F.lit(1), first), F.slice(w, F.size(w) - rest + 1, rest)]
         return [
-            F.xxhash64(n, F.lit(0), F.slice(w, F.lit(1), first)),
-            F.xxhash64(n, F.lit(1), F.slice(w, F.size(w) - rest + 1, rest)),
+            F.struct(F.xxhash64(n, F.lit(side), key).alias("half"), F.lit(longer).alias("longer"), F.lit(side).alias("side"))
+            for side, key in enumerate(keys)
         ]
 
-    return F.array(*of(F.size(w)), *of(F.size(w) - 1))
+    return F.array(*of(0), *of(1))
 
 
-def _variants(w: Column) -> Column:
+def _variants(w: Column, needs: Column) -> Column:
     """Hashed keys with roles: C for a word changed (place and length count), S for the line
-    without a word, F for the full line that such a variant may equal."""
+    without a word, F for the full line that such a variant may equal.
+
+    ``needs`` has what the line's shared halves leave open: C or S and the side that is equal, so
+    that the edit is on the other, or F.
+    """
     n = F.size(w)
-    hashed = F.transform(w, lambda x: F.xxhash64(x))
 
     def without(h: Column) -> Column:
-        def one(i: Column) -> Column:
-            before, after = F.slice(h, F.lit(1), i - 1), F.slice(h, i + 1, n)
-            return F.array(
-                F.struct(F.lit("C").alias("role"), F.xxhash64(F.lit(1), n, i, before, after).alias("key")),
-                F.struct(F.lit("S").alias("role"), F.xxhash64(F.lit(2), F.concat(before, after)).alias("key")),
-            )
+        def cut(i: Column) -> tuple[Column, Column]:
+            return F.slice(h, F.lit(1), i - 1), F.slice(h, i + 1, n)
+
+        def key(role: str, value: Column) -> Column:
+            return F.struct(F.lit(role).alias("role"), value.alias("key"))
 
-        whole = F.struct(F.lit("F").alias("role"), F.xxhash64(F.lit(2), h).alias("key"))
-        return F.concat(F.flatten(F.transform(F.sequence(F.lit(1), n), one)), F.array(whole))
+        def places(role: str, longer: int) -> Column:
+            half = F.floor((n - longer) / 2).cast("int")  # words of the first half
+            low = F.when(F.array_contains(needs, f"{role}1"), F.lit(1)).otherwise(half + 1)
+            high = F.when(F.array_contains(needs, f"{role}0"), n).otherwise(half + longer)
+            wanted = F.array_contains(needs, f"{role}0") | F.array_contains(needs, f"{role}1")
+            return F.when(wanted & (low <= high), F.sequence(low, high)).otherwise(F.expr("array()").cast("array<int>"))
 
-    return F.flatten(F.transform(F.array(hashed), without))
+        changed = F.transform(places("C", 0), lambda i: key("C", F.xxhash64(F.lit(1), n, i, *cut(i))))
+        shorter = F.transform(places("S", 1), lambda i: key("S", F.xxhash64(F.lit(2), F.concat(*cut(i)))))
+        whole = F.when(F.array_contains(needs, "F"), F.array(key("F", F.xxhash64(F.lit(2), h))))
+        return F.concat(changed, shorter, F.coalesce(whole, F.expr("array()").cast("array<struct<role:string,key:bigint>>")))
+
+    return F.flatten(F.transform(F.array(F.transform(w, lambda x: F.xxhash64(x))), without))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -100,23 +121,31 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     Earlier is by doc_id, then line number; a null doc_id (here the largest long) is last. Lines of
     rows with the same doc_id and number are as early as one another, so neither goes for the other.
     """
-    found = lines(documents)
+    found = _worded(_places(documents))
     halves = F.when(F.size("w") >= LEAST_NEAR_WORDS, _halves(F.col("w")))
-    small = tables.stored(found.select("at", "h", "g", halves.alias("halves")))
+    small = tables.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
     first = tables.stored(
         small.groupBy("h", "g").agg(F.min("at").alias("at"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
     )
-    near = first.where("halves is not null").select("h", "g", "at", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = near.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    maybe = near.join(shared, "half").select("h", "g", "at").distinct()
-    maybe = tables.stored(maybe)
+    near = first.where("halves is not null").select("at", F.explode("halves").alias("k")).select("at", "k.*")
+    shared = near.groupBy("half").agg(
+        F.count_if(F.col("longer") == 0).alias("own"), F.count_if(F.col("longer") == 1).alias("more")
+    ).where("own > 1 or own > 0 and more > 0")
+    side = F.col("side").cast("string")
+    need = F.when(F.col("longer") == 1, F.array(F.concat(F.lit("S"), side))).otherwise(
+        F.array(F.when(F.col("own") > 1, F.concat(F.lit("C"), side)), F.when(F.col("more") > 0, F.lit("F")))
+    )
+    open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
+    maybe = tables.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    wanted = maybe.select(F.col("at").alias("wanted_at"))
-    texts = found.join(F.broadcast(wanted) if few else wanted, found["at"] == wanted["wanted_at"])
+    places = _places(documents)
+    wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), "needs")
     # Rows with equal ids can put several lines in one place.
-    words = tables.stored(texts.select("h", "g", "at", "w").dropDuplicates(["h", "g"]))
+    words = tables.stored(
+        wanted.select(F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "at", "w", "needs").dropDuplicates(["h", "g"])
+    )
 
-    keys = words.select("h", "g", "at", F.explode(_variants(F.col("w"))).alias("v")).select("h", "g", "at", "v.role", "v.key")
+    keys = words.select("h", "g", "at", F.explode(_variants(F.col("w"), F.col("needs"))).alias("v")).select("h", "g", "at", "v.role", "v.key")
     role = lambda r: F.min(F.when(F.col("role") == r, F.struct("at", "h", "g")))
     earliest = keys.groupBy("key").agg(
         role("C").alias("c"), role("S").alias("s"), role("F").alias("f"), F.count(F.lit(1)).alias("n")
