@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,11 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="duepulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        return _own_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _own_folder() -> str:
+    """One temporary folder for this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="duepulse-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and reads them again, which cuts the lineage."""
     spark = df.sparkSession

@@ -1,0 +1,172 @@
+"""The n-gram join and the vector join against all pairs."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from conftest import texts
+from duepulse.llm import components, ngram_join, shingles, vector_dedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingle_set(text, width):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(w) >= width:
+        return frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1))
+    return frozenset([tuple(w)]) if w else frozenset()
+
+
+def components_of(nodes, linked):
+    parent = {n: n for n in nodes}
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in linked:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def near_copies(rng, n, sizes):
+    """Texts in families: a base and copies with some words changed, left out or added."""
+    rows, i = [], 0
+    while i < n:
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice(sizes))]
+        for _ in range(rng.choice((1, 2, 8))):
+            w = list(base)
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 3))):
+                at = rng.randrange(len(w))
+                kind = rng.randrange(3)
+                w[at : at + (kind != 1)] = [] if kind == 2 and len(w) > 1 else [f"v{rng.randrange(400)}"]
+            rows.append((i, " ".join(w)))
+            i += 1
+    return rows
+
+
+@pytest.mark.parametrize(("width", "percent", "chunk"), [(3, 90, 512), (5, 80, 512), (2, 60, 512), (3, 90, 3), (5, 80, 2)])
+def test_ngram_join_against_all_pairs(spark, monkeypatch, width, percent, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    rng = random.Random(width * percent)
+    rows = near_copies(rng, 250, (1, 2, 5, 12, 20, 21, 22, 24, 30, 60, 200))
+    rng.shuffle(rows)
+    rows += [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "A b"), (1004, "a  B\n"), (1005, "z " * 30_000), (1006, "z " * 20_000)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_ngrams(texts(spark, *rows), width=width, percent=percent).collect()}
+    sets = {i: shingle_set(t, width) for i, t in rows}
+    linked = [
+        (a, b) for (a, x), (b, y) in itertools.combinations(sets.items(), 2)
+        if x and y and 100 * (o := len(x & y)) >= percent * (len(x) + len(y) - o)
+    ]
+    want = components_of(sets, linked)
+    assert got == {i: (len(sets[i]), want[i]) for i in sets}
+    assert len(linked) > 50
+
+
+def test_ngram_join_of_odd_tables(spark):
+    assert ngram_join.join_ngrams(texts(spark, (1, "")).limit(0)).collect() == []
+    got = ngram_join.join_ngrams(texts(spark, (None, "a b c d"), (7, "a b c d"), (7, "p q r s"), (9, "p q r s"))).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted([(None, None), (7, 7), (7, 7), (9, 7)], key=repr)
+
+
+def test_keys_meet_for_every_linked_pair_of_sizes():
+    """Sets as far apart as the threshold allows, of all sizes around the boundary, share a key."""
+    rng = np.random.default_rng(6)
+    for percent in (70, 80, 90):
+        scheme = ngram_join.Scheme(percent)
+        for size in [*range(1, 40), 100, 333, 1000]:
+            for _ in range(6):
+                union = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+                apart = (100 - percent) * len(union) // 100
+                out = rng.permutation(len(union))[: rng.integers(0, apart + 1)]
+                cut = rng.integers(0, len(out) + 1)
+                a, b = np.delete(union, out[:cut]), np.delete(union, out[cut:])
+                assert len(np.intersect1d(scheme.keys(a), scheme.keys(b))), (percent, size)
+
+
+def test_boundary_is_where_costs_cross():
+    for percent in (80, 90):
+        s = ngram_join.Scheme(percent)
+        assert s.subset_cost(s.boundary) <= s.block_cost(s.boundary)
+        assert s.subset_cost(s.boundary + 1) > s.block_cost(s.boundary + 1)
+
+
+def test_shingle_hashes_equal_sets():
+    rng = random.Random(4)
+    many = [" ".join(rng.choices(["a", "B", "c\xe9", "😀", "dd"], k=rng.randint(0, 8))) for _ in range(80)] + [None, "\x0b", "x" * 5000]
+    for width in (1, 3):
+        hashed = list(shingles.sets(many, width))
+        plain = [shingle_set(t, width) for t in many]
+        assert [len(h) for h in hashed] == [len(p) for p in plain]
+        for i, j in itertools.combinations(range(len(many)), 2):
+            assert len(np.intersect1d(hashed[i], hashed[j])) == len(plain[i] & plain[j])
+
+
+def test_components(spark):
+    rng = random.Random(12)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(300, x) for x in range(301, 500)]
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + chain + star + chain[:5]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    got = {r.node: r.component for r in components.components(df).collect()}
+    want = components_of({x for e in edges for x in e}, edges)
+    assert got == {n: c for n, c in want.items() if n in got}
+    assert {n for a, b in edges if a != b for n in (a, b)} <= got.keys()
+    assert components.components(df.limit(0)).collect() == []
+
+
+def plain_vectors(rows, least):
+    usable = {}
+    for i, v, label in rows:
+        if i is None or label is None or not v or None in v:
+            continue
+        x = np.array(v, dtype=float)
+        if np.isfinite(x).all() and np.abs(x).max() > 0:
+            x = x / np.abs(x).max()
+            usable[i] = (label, x / np.linalg.norm(x))
+    links = [
+        (a, b) for (a, (p, x)), (b, (q, y)) in itertools.combinations(usable.items(), 2)
+        if p == q and len(x) == len(y) and x @ y >= least
+    ]
+    ids = [r[0] for r in rows if r[0] is not None]
+    count = {i: 0 for i in ids}
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    return count, components_of(ids, links)
+
+
+@pytest.mark.parametrize("cell", [8, 64, 1024])
+def test_vectors_against_all_pairs(spark, monkeypatch, cell):
+    monkeypatch.setattr(vector_dedup, "CELL", cell)
+    rng = np.random.default_rng(cell)
+    rows = []
+    for i in range(300):
+        base = rng.normal(size=6)
+        rows += [(4 * i + k, (base * rng.uniform(0.5, 2) + rng.normal(size=6) * 0.25 * (k > 0)).tolist(), int(rng.integers(0, 3))) for k in range(rng.integers(1, 4))]
+    rows += [(5000 + k, rows[0][1], rows[0][2]) for k in range(40)]
+    rows += [(6000, None, 1), (6001, [], 1), (6002, [0.0] * 6, 1), (6003, [1.0, None, 2.0], 1), (6004, [float("nan")] * 6, 1),
+             (6005, [float("inf"), 1.0], 1), (6006, rows[0][1], None), (6007, [1.0, 2.0], 0), (6008, [2.0, 4.0], 0), (6009, [1e300, 2e300], 0)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, unit string, m int").repartition(5)
+    got = {r.vec_id: r for r in vector_dedup.find_near_vectors(df).collect()}
+    count, component = plain_vectors(rows, 0.93)
+    assert {i: r.n_links for i, r in got.items()} == count
+    assert {i: r.component_id for i, r in got.items()} == component
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+    assert sum(count.values()) > 1000
+
+
+def test_vectors_of_odd_tables(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    assert vector_dedup.find_near_vectors(spark.createDataFrame([], schema)).collect() == []
+    rows = spark.createDataFrame([(None, [1.0], 1), (2, [1.0], 1), (2, [3.0], 1)], schema)
+    got = sorted(map(tuple, vector_dedup.find_near_vectors(rows).collect()), key=repr)
+    assert got == sorted([(None, 0, None, True), (2, 1, 2, True), (2, 1, 2, True)], key=repr)

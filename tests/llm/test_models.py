@@ -1,0 +1,165 @@
+"""Quality, language and toxicity: held-out accuracy, and odd rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from conftest import SF_SMALL, documents, texts
+from duepulse.llm import embeddings_model, language, quality, subwords, tables, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def fold(i):
+    return zlib.crc32(str(i).encode()) % 4
+
+
+def words(rng, n, syllables):
+    return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(n))
+
+
+def made(spark, n=400):
+    """Documents whose quality, toxicity and language are plain to see."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(n):
+        lang = ("en", "de")[i % 2]
+        text = words(rng, rng.randint(20, 60), (("the", "ing", "er"), ("sch", "ung", "ei"))[i % 2])
+        good, toxic = int(rng.random() < 0.7), int(rng.random() < 0.4)
+        if not good:
+            text = text.replace(" ", "%%% ")
+        if toxic:
+            parts = text.split(" ")
+            for _ in range(rng.randint(1, 6)):
+                parts.insert(rng.randrange(len(parts)), "dreadfool")
+            text = " ".join(parts)
+        docs.append((i, text, lang, "s"))
+        labels.append((i, good, toxic))
+    return documents(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+ODD = [(9001, None, "en", "s"), (9002, "", "en", "s"), (9003, "1 2 3", None, "s"), (None, "the er ing", "en", None),
+       (9004, "the er " * 40_000, "en", "s"), (9005, "x" * 300_000, "en", "s"), (9005, "same id", "de", "s")]
+
+
+def test_subwords_do_not_depend_on_neighbours_or_cuts(monkeypatch):
+    rng = random.Random(2)
+    many = [words(rng, rng.randint(0, 30), ("ab", "Ç", "é", "x1", "😀")) for _ in range(50)] + ["", " ", "a", "\t b\n\n c "]
+    table = np.random.default_rng(1).normal(size=(1 << 12, 2))
+    for pairs in (False, True):
+        whole = subwords.mean_weights(many, table, (2, 3), True, pairs, 3.0)
+        alone = np.concatenate([subwords.mean_weights([t], table, (2, 3), True, pairs, 3.0) for t in many])
+        assert np.allclose(whole, alone)
+        for t, mean in zip(many, whole, strict=True):
+            at, n = subwords.counted(t, 1 << 12, (2, 3), True, pairs)
+            assert np.allclose((n[:, None] * table[at]).sum(axis=0) / max(1, n.sum() + 3.0), mean)
+    monkeypatch.setattr(subwords, "SPAN", 40)
+    assert np.allclose(subwords.mean_weights(many, table, (2, 3), True), subwords.mean_weights(many, table, (2, 3), True))
+
+
+def test_quality(spark):
+    docs, labels = made(spark)
+    docs = docs.unionByName(documents(spark, ODD))
+    got = quality.score_quality(docs, labels).collect()
+    assert len(got) == 400 + len(ODD)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    tested = [r for r in got if r.doc_id in truth and r.held_out]
+    assert all(r.held_out == (fold(r.doc_id) == 2) for r in got if r.doc_id is not None)
+    assert sum(r.predicted == truth[r.doc_id] for r in tested) > 0.97 * len(tested) > 50
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    empty = [r.score for r in got if r.doc_id in (9001, 9002)]
+    assert empty[0] == empty[1]
+
+
+def test_quality_without_labels_or_rows(spark):
+    docs, labels = made(spark, 20)
+    assert {r.score for r in quality.score_quality(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.score_quality(docs.limit(0), labels).collect() == []
+    one_class = labels.where("quality = 1")
+    assert all(r.predicted == 1 for r in quality.score_quality(docs, one_class).collect())
+
+
+def test_held_out_rows_teach_nothing(spark):
+    docs, labels = made(spark, 200)
+    from pyspark.sql import functions as F
+
+    other = labels.withColumn("quality", F.when(tables.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    one = sorted(map(tuple, quality.score_quality(docs, labels).collect()))
+    assert one == sorted(map(tuple, quality.score_quality(docs, other).collect()))
+
+
+def test_language(spark):
+    docs, _ = made(spark)
+    docs = docs.unionByName(documents(spark, ODD))
+    got = language.identify_language(docs).collect()
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    tested = [r for r in got if r.held_out and r.doc_id < 9000]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in tested) > 0.98 * len(tested) > 50
+    odd = {r.doc_id: r for r in got if r.doc_id in (9001, 9002, 9003)}
+    assert all(r.lang_pred == "und" and r.score == 0 and r.rejected for r in odd.values()) and len(odd) == 3
+    assert all(0 <= r.score <= 1 for r in got) and len(got) == 400 + len(ODD)
+    nothing = language.identify_language(docs.withColumn("lang", docs.lang.substr(100, 1).cast("int").cast("string"))).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+
+
+def test_rejection_keeps_to_the_error_asked_for():
+    rng = np.random.default_rng(3)
+    p = rng.uniform(0.5, 1, 4000)
+    wrong = rng.uniform(size=4000) > p
+    seen = np.column_stack((p, 1 - p))
+    least = language._least_score(seen, wrong.astype(int), 0.1)
+    assert wrong[p >= least].mean() <= 0.1 < wrong.mean()
+
+
+def test_toxicity(spark):
+    docs, labels = made(spark)
+    docs = docs.unionByName(documents(spark, ODD))
+    got = toxicity.score_toxicity(docs, labels).collect()
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    tested = [r for r in got if r.doc_id in truth and r.held_out]
+    assert sum(r.rejected == bool(truth[r.doc_id]) for r in tested) > 0.97 * len(tested) > 50
+    assert all(0 <= r.severity <= 3 and 0 <= r.grade <= 3 for r in got)
+    # More of it is more severe.
+    counts = {r.doc_id: r.text.count("dreadfool") for r in docs.collect() if r.text}
+    low = [r.severity for r in got if r.held_out and counts.get(r.doc_id) == 1]
+    high = [r.severity for r in got if r.held_out and counts.get(r.doc_id, 0) >= 5]
+    assert np.mean(high) > np.mean(low) + 0.5
+    assert not any(r.rejected for r in got if r.doc_id in (9001, 9002, 9004, 9005))
+    assert not any(r.rejected for r in toxicity.score_toxicity(docs, labels.where("toxic = 0")).collect())
+    assert toxicity.score_toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_ordinal_thresholds_are_ordered_and_probabilities_add_up():
+    rng = np.random.default_rng(0)
+    sample = toxicity.Sample([np.array([0, 1 + int(g)]) for g in rng.integers(0, 4, 400)], [np.array([1, 1])] * 400, np.zeros(400), np.arange(400))
+    grade = np.array([b[1] - 1 for b in sample.buckets])
+    s = toxicity.Settings(buckets=8, least_rows=1, penalty=1e-5, steps=400)
+    model = toxicity.fit(sample, grade, np.ones(400), s)
+    assert (np.diff(model.thresholds) > 0).all()
+    raw = np.array([np.log1p(1) * (model.weights[0] + model.weights[1 + g]) for g in range(4)])
+    above = model.at_least(raw)
+    assert (np.diff(above, axis=1) <= 0).all()
+    assert (np.diff(above.sum(axis=1)) > 0.5).all()
+
+
+@pytest.mark.parametrize("kind", ["quality", "toxic"])
+def test_on_the_given_labels(spark, kind):
+    docs, labels = tables.read(spark, SF, "documents"), tables.read(spark, SF, "labels")
+    truth = {r.doc_id: r[kind] for r in labels.collect()}
+    score = quality.score_quality if kind == "quality" else toxicity.score_toxicity
+    column = "predicted" if kind == "quality" else "rejected"
+    tested = [r for r in score(docs, labels).collect() if r.held_out and r.doc_id in truth]
+    assert sum(int(r[column]) == truth[r.doc_id] for r in tested) > 0.975 * len(tested) > 500
+
+
+def test_embeddings_learn_a_plain_rule():
+    rng = np.random.default_rng(4)
+    b = [np.unique(rng.integers(0, 50, 20)) + 50 * (i % 3) for i in range(300)]
+    sample = embeddings_model.Sample(b, [np.ones(len(x)) for x in b], np.arange(300) % 3, np.arange(300))
+    model, seen, truth = embeddings_model.train(sample, embeddings_model.Settings(buckets=150))
+    assert (seen.argmax(axis=1) == truth).mean() > 0.97
+    assert 0.05 <= model.temperature <= 20
