@@ -7,19 +7,24 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tables
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Characters for which lower case, white space and normal form are those of Python's str.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ž]*")
 
+#: How the tokenizer parts a text before its merges (fixed value; white space parts too).
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
 
 @dataclass(frozen=True)
 class Capacity:
@@ -31,34 +36,62 @@ class Capacity:
 
 
 class Words:
-    """Ids of texts, word by word: a word's ids don't depend on its neighbours."""
+    """Ids of texts, word by word: a word's ids don't depend on its neighbours.
+
+    Plain words are parted as the tokenizer parts them and go straight to its merges; any other
+    text goes through the whole tokenizer. What was used lately is remembered, for words and for
+    their parts: the generation in use, and the one before it.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.words: list[dict[str, bytes]] = [{}, {}]
+        self.parts: list[dict[str, bytes]] = [{}, {}]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        out = []
-        for text in texts:
-            if not _PLAIN.fullmatch(text) or "<|" in text:
-                out.append(self._encoded([text])[0])
-                continue
-            words = text.split()
-            new = list(set(words).difference(self.known))
-            if new:
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known.clear()
-                    new = list(set(words))
-                self.known.update(zip(new, self._encoded(new), strict=True))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+        parted = [t.lower().split() if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        known, before = self.words
+        for word in set().union(*(words for words in parted if words)).difference(known):
+            known[word] = before[word] if word in before else self._word(word)
+        out = [self._whole(t) if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, parted, strict=True)]
+        for held in (self.words, self.parts):
+            if len(held[0]) > REMEMBERED:
+                held[:] = {}, held[0]
         return out
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        encode = self.tokenizer.encode_batch_fast
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._part(word) if word.isalpha() else b"".join(map(self._part, _PARTS.findall(word)))
+
+    def _part(self, part: str) -> bytes:
+        known, before = self.parts
+        found = known.get(part) or before.get(part)
+        if not found:
+            ids = [token.id for token in self.merge(part if part.isascii() else part.translate(_BYTE_LETTERS))]
+            found = pack_ids(f"<{len(ids)}I", *ids)
+        known[part] = found
+        return found
+
+
+def _byte_letters() -> dict[int, str]:
+    """For each plain character above ASCII, the letters that stand for its UTF-8 bytes.
+
+    Byte-level vocabularies write a printable byte as the character of that number and the others
+    as characters from 256 on, in order.
+    """
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xA1, 0x180)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 @lru_cache(maxsize=2)
