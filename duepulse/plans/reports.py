@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from duepulse.operators import loan_days, rollup, tagging
+from duepulse.operators.aggregate import aggregate_both
+from duepulse.operators.extract import extract_both
 from duepulse.operators.scope import EVERYTHING, Scope
 from duepulse.schemas import OVERVIEW_BY_CREATED_DAY
 
@@ -115,3 +117,21 @@ def hourwise_response(
 ) -> DataFrame:
     """Response per tag, day, hour and channel."""
     return _response(msg_agg, ivr_agg, tag_data, scope, "sum", by_hour=True)
+
+
+def from_communication(
+    name: str,
+    communication: DataFrame,
+    tag_data: DataFrame,
+    click_data: DataFrame | None = None,
+    scope: Scope = EVERYTHING,
+    bad_durations: str = "fail",
+) -> DataFrame:
+    """The named report straight from the events: one scan and one aggregate for both branches."""
+    both = aggregate_both(extract_both(communication, scope), scope, bad_durations=bad_durations)
+    if name == "channel_overview":
+        return overview(loan_days.both_overview_days(both, scope), tag_data, scope)
+    combine = "max" if name == "channel_connectivity" else "sum"
+    by_hour = name == "hourwise_response"
+    days = loan_days.of_rows(loan_days.both_rows(both, scope), combine, by_hour)
+    return response(days, tag_data, scope, by_hour, click_data if name == "datewise_response" else None)

@@ -58,6 +58,13 @@ def test_calls_are_parsed_once_under_a_filter_on_a_parsed_value(spark):
     assert text.count("from_json(") == 1
 
 
+@pytest.mark.parametrize("name", ["channel_overview", "channel_connectivity", "datewise_response", "hourwise_response"])
+def test_reports_scan_the_events_once(staged, name):
+    text = details(reports.from_communication(name, staged["communication"], staged["tags"], staged["click_data"], RUN))
+    assert text.count("comm_dict:string") == 1
+    assert text.count("from_json(") == 1
+
+
 def test_message_scan_reads_needed_columns_only(staged):
     text = details(extract_messages(staged["communication"], RUN))
     schema = [line for line in text.splitlines() if line.startswith("ReadSchema")][0]
