@@ -170,10 +170,10 @@ def mixed_documents(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     A document taken whole comes once for each time; words taken once more, by blocks, come as one
     further row that has these words, each with the white space before it. Documents that nothing
-    is taken of are gone. n_chars, where there is one, is that of the new text.
+    is taken of, such as those without words, are gone. n_chars, where there is one, is that of the new text.
     """
     keep = [c for c in documents.columns if c not in ("doc_id", "source")]
-    plan = _plan(documents, mix, keep)
+    plan = _plan(documents, mix, keep).where("size > 0")
     whole = F.array_repeat(F.col("kept_text"), F.col("every").cast("int"))
     parts = F.regexp_extract_all("kept_text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     spans = _overlaps()

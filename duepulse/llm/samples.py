@@ -38,7 +38,7 @@ def bounded(rows: DataFrame, key: str, most: int, by: str | None = None) -> Data
     place = F.xxhash64(F.lit(17), F.col(key)).cast("double") / 2.0**64 + 0.5
     cut = F.lit(0.0)
     for value, count in classes:
-        part = F.lit(min(1.0, share / count))
+        part = F.lit(min(1.0, share / max(1, count)))
         cut = F.when(F.col(by) == value, part).otherwise(cut) if by else part
     return rows.where(place < cut).orderBy(place, F.col(key)).limit(most)
 
