@@ -30,10 +30,11 @@ class Settings:
     widths: tuple[int, ...] = (5, 6)
     #: Grades above 0 that toxic rows are parted into.
     levels: int = 3
-    #: A feature needs to be in so many training rows.
+    #: A feature needs to be in so many training rows, and so much oftener in those graded above 0.
     least_rows: int = 5
-    penalty: float = 1e-3
-    steps: int = 100
+    least_ratio: float = 2.0
+    penalty: float = 5e-5
+    steps: int = 500
     rate: float = 0.3
 
 
@@ -76,8 +77,12 @@ def fit(sample: Sample, grade: np.ndarray, row_weights: np.ndarray, settings: Se
     row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     column = np.concatenate(sample.buckets) if len(row) else np.zeros(0, np.int64)
     value = np.log1p(np.concatenate(sample.counts), dtype=np.float32) if len(row) else np.zeros(0)
-    common = np.bincount(column, minlength=s.buckets)[column] >= s.least_rows
-    row, column, value = row[common], column[common], value[common]
+    seen = np.bincount(column, minlength=s.buckets)
+    in_graded = np.bincount(column, weights=(grade > 0)[row], minlength=s.buckets)
+    graded = max(1, int((grade > 0).sum()))
+    rate = (in_graded + 0.5) / (graded + 1), (seen - in_graded + 0.5) / (max(1, len(grade) - graded) + 1)
+    used = ((seen >= s.least_rows) & (rate[0] > s.least_ratio * rate[1]))[column]
+    row, column, value = row[used], column[used], value[used]
     share = row_weights / row_weights.sum()
     w, gaps = np.zeros(s.buckets), np.zeros(levels)
     first = np.average(grade == 0, weights=row_weights)
@@ -105,7 +110,7 @@ def fit(sample: Sample, grade: np.ndarray, row_weights: np.ndarray, settings: Se
 
 
 def score_toxicity(
-    documents: DataFrame, labels: DataFrame, *, limit: float = 0.5,
+    documents: DataFrame, labels: DataFrame, *, limit: float = 0.25,
     most_labelled: int = 4096, settings: Settings = Settings(),
 ) -> DataFrame:
     """doc_id, held_out, severity (expected grade), grade (likeliest) and rejected of every document.
@@ -127,7 +132,7 @@ def score_toxicity(
 
 
 def with_severity(
-    rows: DataFrame, documents: DataFrame, labels: DataFrame, limit: float = 0.5,
+    rows: DataFrame, documents: DataFrame, labels: DataFrame, limit: float = 0.25,
     most_labelled: int = 4096, settings: Settings = Settings(),
 ) -> DataFrame:
     """The rows, which have a text, with the columns ADDED."""
