@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -35,49 +35,47 @@ class Capacity:
     attention: int = 2048 * 2048
 
 
-class Words:
+class Words(dict[str, bytes]):
     """Ids of texts, word by word: a word's ids don't depend on its neighbours.
 
     Plain words are parted as the tokenizer parts them and go straight to its merges; any other
-    text goes through the whole tokenizer. What was used lately is remembered, for words and for
-    their parts: the generation in use, and the one before it.
+    text goes through the whole tokenizer. What was used lately is remembered: the generation in
+    use, and the one before it.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
-        self.words: list[dict[str, bytes]] = [{}, {}]
-        self.parts: list[dict[str, bytes]] = [{}, {}]
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.before.get(word)
+        if found is None:
+            parts = [word] if word.isalpha() else _PARTS.findall(word)
+            if len(parts) == 1:
+                ids = [token.id for token in self.merge(word if word.isascii() else word.translate(_BYTE_LETTERS))]
+                found = array("I", ids).tobytes()
+            else:
+                found = b"".join(map(self.__getitem__, parts))
+        self[word] = found
+        return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        parted = [t.lower().split() if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        known, before = self.words
-        for word in set().union(*(words for words in parted if words)).difference(known):
-            known[word] = before[word] if word in before else self._word(word)
-        out = [self._whole(t) if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, parted, strict=True)]
-        for held in (self.words, self.parts):
-            if len(held[0]) > REMEMBERED:
-                held[:] = {}, held[0]
+        """The ids of each text as unsigned 32-bit numbers, little-endian as the machine is."""
+        out = []
+        for text in texts:
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                out.append(b"".join(map(self.__getitem__, text.lower().split())))
+            else:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
+            if len(self) > REMEMBERED:
+                self.before = dict(self)
+                self.clear()
         return out
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        return self._part(word) if word.isalpha() else b"".join(map(self._part, _PARTS.findall(word)))
-
-    def _part(self, part: str) -> bytes:
-        known, before = self.parts
-        found = known.get(part) or before.get(part)
-        if not found:
-            ids = [token.id for token in self.merge(part if part.isascii() else part.translate(_BYTE_LETTERS))]
-            found = pack_ids(f"<{len(ids)}I", *ids)
-        known[part] = found
-        return found
-
 
 def _byte_letters() -> dict[int, str]:
     """For each plain character above ASCII, the letters that stand for its UTF-8 bytes.
