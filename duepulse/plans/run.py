@@ -24,9 +24,9 @@ from duepulse.operators.extract import (
     extract_tags,
 )
 from duepulse.operators import loan_days, rollup
-from duepulse.operators.scope import IVR_CHANNEL, Scope
+from duepulse.operators.scope import IVR_CHANNEL, MESSAGE_CHANNELS, Scope
 from duepulse.plans import reports
-from duepulse.sources.readers import read_staged
+from duepulse.sources.readers import conformed, read_staged
 from duepulse.sources.writers import Covered, Loaded, encoded, encoded_value, replace_covered
 
 
@@ -139,7 +139,10 @@ class Run:
 
     def write(self, table: Table, rows: DataFrame, covered: Covered) -> Loaded:
         parts = {name: PARTS[name][1]() for name in table.parts}
-        return replace_covered(rows, table.path(self.root), parts, covered)
+        named = {}
+        if table is MSG_DATA:  # whether messages came is told for each channel
+            named = {channel: F.lower("type_of_comm") == channel for channel in MESSAGE_CHANNELS}
+        return replace_covered(rows, table.path(self.root), parts, covered, **named)
 
     def _company(self) -> str | None:
         company = self.scope.company_id
@@ -169,12 +172,14 @@ class Run:
     def extract(self, sources: Sources) -> dict[str, Loaded]:
         scope, month = self.scope, self.allocation_month
         defaults, details = sources.lending_default_details, sources.lending_loan_details
+        communication = conformed(sources.communication, schemas.COMMUNICATION)
+        tags = conformed(sources.tags, schemas.TAGS)
         return self._write_all(
             [
                 (ALLOCATION_DATA, extract_allocation(defaults, details, scope, month), self._month()),
-                (TAG_DATA, extract_tags(sources.tags, scope, month), self._month()),
-                (IVR_DATA, extract_ivr(sources.communication, scope), self._days()),
-                (MSG_DATA, extract_messages(sources.communication, scope), self._days()),
+                (TAG_DATA, extract_tags(tags, scope, month), self._month()),
+                (IVR_DATA, extract_ivr(communication, scope), self._days()),
+                (MSG_DATA, extract_messages(communication, scope), self._days()),
             ]
         )
 
@@ -193,6 +198,7 @@ class Run:
 
     def report(self, click_data: DataFrame) -> dict[str, Loaded]:
         """The overview from the aggregates; the other three from one table of loan hours."""
+        click_data = conformed(click_data, schemas.CLICK_DATA)
         scope, tags = self.scope, self.read(TAG_DATA)
         messages, calls = self.read_days(MSG_AGG_DATA), self.read_days(IVR_AGG_DATA)
         # The overview picks calls by the day they were created.

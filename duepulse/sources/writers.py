@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -12,9 +12,10 @@ _MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
 
 @dataclass(frozen=True)
 class Loaded:
-    """What a write did."""
+    """What a write did: its rows, and how many of them each named condition holds for."""
 
     rows: int
+    by_name: dict[str, int] = field(default_factory=dict)
 
     @property
     def any_rows(self) -> bool:
@@ -27,10 +28,11 @@ def save_mode(if_exists: str) -> str:
     return _MODES[if_exists]
 
 
-def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
-    """The rows with a count taken during the write, so no second scan is needed."""
+def _counted(rows: DataFrame, **named: Column) -> tuple[DataFrame, Observation]:
+    """The rows with counts taken during the write, so no second scan is needed."""
     seen = Observation()
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in named.items()]]
+    return rows.observe(seen, *counts), seen
 
 
 def write_parquet(rows: DataFrame, path: str, if_exists: str = "append") -> Loaded:
@@ -108,7 +110,9 @@ def _remove(spark: SparkSession, path: str, parts: tuple[str, ...], covered: Cov
     files.mkdirs(root)
 
 
-def replace_covered(rows: DataFrame, path: str, parts: dict[str, Column], covered: Covered) -> Loaded:
+def replace_covered(
+    rows: DataFrame, path: str, parts: dict[str, Column], covered: Covered, **named: Column
+) -> Loaded:
     """Replaces what the table holds for a run, so that a second run changes nothing.
 
     ``parts`` are the folder levels, as columns beside the table's own, which stay in the files as
@@ -117,10 +121,11 @@ def replace_covered(rows: DataFrame, path: str, parts: dict[str, Column], covere
     that dies half-way is repaired by repeating it.
 
     A rebalance brings the rows of a partition together and cuts them into several files where
-    they are many.
+    they are many. ``named`` conditions are counted along.
     """
     _remove(rows.sparkSession, path, tuple(parts), covered)
     even = rows.withColumns(parts).hint("rebalance", *[F.col(p) for p in parts])
-    counted, seen = _counted(even)
+    counted, seen = _counted(even, **named)
     counted.write.mode("append").partitionBy(*parts).parquet(path)
-    return Loaded(seen.get["rows"])
+    counts = dict(seen.get)
+    return Loaded(counts.pop("rows"), counts)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql.types import StructType
 
 from duepulse.session import REQUIRED_CONF, cluster_conf
-from duepulse.sources.readers import read_database, time_slices
+from duepulse.sources.readers import conformed, key_slices, read_database, time_slices
 from duepulse.sources.writers import write_database
 
 
@@ -66,3 +68,19 @@ def test_cluster_conf_follows_input_and_cores():
     assert small["spark.sql.shuffle.partitions"] == "8000"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024**2)
     assert REQUIRED_CONF.items() <= large.items()
+
+
+def test_key_slices_cover_each_row_once(spark):
+    rows = spark.range(-50, 50).selectExpr("if(id % 7 = 0, NULL, id) AS k")
+    counts = [rows.where(c).count() for c in key_slices("k", 4)]
+    assert sum(counts) == 100 and all(counts)
+
+
+def test_declared_types_are_enforced(spark):
+    schema = StructType().add("a", "long").add("t", "timestamp_ntz")
+    rows = spark.sql("SELECT 1 AS a, timestamp_ntz'2024-01-05 10:00:00' AS t, 'x' AS more")
+    got = conformed(rows, schema)
+    assert [f.dataType for f in got.schema.fields[:2]] == [f.dataType for f in schema.fields]
+    assert got.columns == ["a", "t", "more"]
+    with pytest.raises(ValueError, match="columns missing: t"):
+        conformed(rows.drop("t"), schema)

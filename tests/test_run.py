@@ -135,4 +135,7 @@ def test_calls_of_a_company_loaded_earlier_are_aggregated_again(spark, tmp_path)
 def test_every_day_and_company(spark, sources, tmp_path):
     job = run.Run(spark, str(tmp_path), EVERYTHING)
     loaded = job.all(sources, "null")
-    assert loaded["msg_data"].rows == extract_messages(sources.communication).count()
+    messages = extract_messages(sources.communication)
+    assert loaded["msg_data"].rows == messages.count()
+    by_channel = {r[0]: r[1] for r in messages.groupBy(F.lower("type_of_comm")).count().collect()}
+    assert loaded["msg_data"].by_name == by_channel
