@@ -58,12 +58,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     with very many neighbours is pre-aggregated before each shuffle, and its join can be split.
     """
     now = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_contracted, "a long, b long")
-    now = tables.stored(now.distinct())
+    scratch = tables.Scratch(edges.sparkSession)
+    now = scratch.stored(now.distinct())
     for _ in range(most_rounds):
-        after = tables.stored(_small_star(_large_star(now)))
+        after = scratch.stored(_small_star(_large_star(now)))
         if _same(now, after):
             nodes = after.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return nodes.unionByName(after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            roots = after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return scratch.settled(nodes.unionByName(roots))
         now = after
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 

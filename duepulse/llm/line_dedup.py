@@ -22,7 +22,7 @@ from . import tables
 LEAST_WORDS = 4
 #: Lines with fewer words are only compared whole: one edit would change too much of them.
 LEAST_NEAR_WORDS = 12
-#: Marked lines are broadcast up to this many documents, else joined by a shuffle.
+#: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
 MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
 
@@ -115,16 +115,17 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
-def repeated_lines(documents: DataFrame) -> DataFrame:
+def repeated_lines(documents: DataFrame, scratch: tables.Scratch) -> DataFrame:
     """(doc_id, line_no) of every line that has an earlier line equal or within one edit.
 
     Earlier is by doc_id, then line number; a null doc_id (here the largest long) is last. Lines of
     rows with the same doc_id and number are as early as one another, so neither goes for the other.
+    The result reads tables in the scratch folder.
     """
     found = _worded(_places(documents))
     halves = F.when(F.size("w") >= LEAST_NEAR_WORDS, _halves(F.col("w")))
-    small = tables.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
-    first = tables.stored(
+    small = scratch.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
+    first = scratch.stored(
         small.groupBy("h", "g").agg(F.min("at").alias("at"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
     )
     near = first.where("halves is not null").select("at", F.explode("halves").alias("k")).select("at", "k.*")
@@ -136,12 +137,12 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
         F.array(F.when(F.col("own") > 1, F.concat(F.lit("C"), side)), F.when(F.col("more") > 0, F.lit("F")))
     )
     open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
-    maybe = tables.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
+    maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     places = _places(documents)
     wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), "needs")
     # Rows with equal ids can put several lines in one place.
-    words = tables.stored(
+    words = scratch.stored(
         wanted.select(F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "at", "w", "needs").dropDuplicates(["h", "g"])
     )
 
@@ -167,9 +168,11 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
 
 def _with_marks(documents: DataFrame) -> tuple[DataFrame, Column]:
     """The documents joined with the line numbers that go, and that column (null: none go)."""
-    marks = repeated_lines(documents).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
-    marks = tables.stored(marks.select(F.col("doc_id").alias("marked_doc"), F.col("gone").alias("marked_lines")))
-    few = marks.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    scratch = tables.Scratch(documents.sparkSession)
+    marks = repeated_lines(documents, scratch).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    marks = scratch.settled(marks.select(F.col("doc_id").alias("marked_doc"), F.col("gone").alias("marked_lines")))
+    rows, numbers = marks.agg(F.count(F.lit(1)), F.sum(F.size("marked_lines"))).first()
+    few = rows <= MOST_BROADCAST and (numbers or 0) <= 4 * MOST_BROADCAST
     key = F.coalesce(documents["doc_id"].cast("long"), F.lit(_LAST))
     return documents.join(F.broadcast(marks) if few else marks, key == marks["marked_doc"], "left"), marks["marked_lines"]
 

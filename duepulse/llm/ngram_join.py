@@ -259,15 +259,20 @@ def join_ngrams(documents: DataFrame, *, width: int = 3, percent: int = 90) -> D
                 names=["doc_id", "grp", "n_shingles", "print", "elements"],
             )
 
-    rows = tables.stored(
+    scratch = tables.Scratch(documents.sparkSession)
+    rows = scratch.stored(
         texts.join(F.broadcast(groups) if few else groups, "doc_id", "left").select("doc_id", "text", "grp")
         .mapInArrow(sized, "doc_id long, grp long, n_shingles long, print long, elements binary")
     )
     candidates = rows.where("grp is not null")
     same = ["grp", "n_shingles", "print"]
-    distinct = candidates.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("elements").alias("elements"))
-    copies = candidates.select("doc_id", *same).join(candidates.groupBy(*same).agg(F.min("doc_id").alias("rep")), same)
+    distinct = candidates.groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    copies = candidates.select("doc_id", *same).join(distinct, same)
     copies = copies.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    dealt = scratch.stored(_dealt(distinct, percent))
+    dealt_few = dealt.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    sets = candidates.select(F.col("doc_id").alias("rep"), "n_shingles", "print", "elements")
+    parts = sets.join(F.broadcast(dealt) if dealt_few else dealt, ["rep", "n_shingles", "print"]).select("part", "rep", "elements")
 
     def verified(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array([row[1] for row in held], dtype=np.int64)
@@ -278,11 +283,12 @@ def join_ngrams(documents: DataFrame, *, width: int = 3, percent: int = 90) -> D
         return ids[moved], ids[label[moved]]
 
     links = (
-        _dealt(distinct, percent).repartition("part").sortWithinPartitions("part")
+        parts.repartition("part").sortWithinPartitions("part")
         .mapInArrow(streamed_groups(["part", "rep", "elements"], verified), "a long, b long")
     )
     found = components(links.unionByName(copies)).select(F.col("node").alias("doc_id"), "component")
-    return rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    result = rows.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    return scratch.settled(result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
 def _dealt(distinct: DataFrame, percent: int) -> DataFrame:
@@ -293,7 +299,7 @@ def _dealt(distinct: DataFrame, percent: int) -> DataFrame:
     gathered by group.
     """
     ratio = 100 / (percent - 0.1)
-    sizes = distinct.select("grp", "rep", "elements", F.floor(F.log("n_shingles") / log(ratio)).cast("int").alias("cls"))
+    sizes = distinct.select("grp", "rep", "n_shingles", "print", F.floor(F.log("n_shingles") / log(ratio)).cast("int").alias("cls"))
     counted = sizes.groupBy("grp", "cls").agg(F.count(F.lit(1)).alias("n"))
     parts = counted.groupBy("grp").agg(
         F.sum("n").alias("members"),
@@ -318,4 +324,4 @@ def _dealt(distinct: DataFrame, percent: int) -> DataFrame:
         pairs(-1, lambda x: (F.col("cls") - 1, x, F.lit(1), mine)),
     )
     in_parts = F.when(F.col("parts").isNull(), F.array(F.xxhash64("grp"))).otherwise(several)
-    return cut.select(F.explode(in_parts).alias("part"), "rep", "elements")
+    return cut.select(F.explode(in_parts).alias("part"), "rep", "n_shingles", "print")

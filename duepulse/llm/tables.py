@@ -39,14 +39,32 @@ def _own_folder() -> str:
     return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes the rows to the shared folder and reads them again, which cuts the lineage."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that are removed once a result made from them is written itself."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        return stored(df, self.folder)
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        """The rows, written outside the scratch folder, which goes."""
+        result = stored(df)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return result
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[pa.Array]]:
     """The columns of the batches, some rows at a time, so that few texts are Python objects at once."""
     for batch in batches:

@@ -93,9 +93,10 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
     that share a component. Extra columns are ignored; no rows give no rows.
     """
     radius = float(np.sqrt(2 - 2 * least_cosine))
-    units = tables.stored(_units(embeddings))
+    scratch = tables.Scratch(embeddings.sparkSession)
+    units = scratch.stored(_units(embeddings))
     usable = units.where("unit is not null")
-    classes = tables.stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")))
+    classes = scratch.stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")))
     context = embeddings.sparkSession.sparkContext
     pivots = context.broadcast(_pivots(classes))
 
@@ -137,9 +138,9 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
                 names=["cell", "guest", "rep", "m", "unit"],
             )
 
-    visits = tables.stored(classes.mapInArrow(placed, "cell string, guest boolean, rep long, m long, unit binary"))
+    visits = scratch.stored(classes.mapInArrow(placed, "cell string, guest boolean, rep long, m long, unit binary"))
     found = _blocked(visits).repartition("block").sortWithinPartitions("block").mapInArrow(_paired(least_cosine), "a long, b long, n long")
-    found = tables.stored(found)
+    found = scratch.stored(found)
     counted = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     joined = components(found.where("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "component")
     known = classes.join(counted, "rep", "left").join(joined, "rep", "left").select(
@@ -148,10 +149,11 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
     )
     on = (units.label == known.of_label) & (units.unit == known.of_unit)
     component = F.coalesce("component", "vec_id")
-    return units.join(known, on, "left").select(
+    result = units.join(known, on, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"),
     )
+    return scratch.settled(result)
 
 
 def _blocked(visits: DataFrame) -> DataFrame:
