@@ -27,9 +27,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def ship(spark: SparkSession) -> None:
-    """Python workers on this machine find the package where the driver found it."""
+    """Python workers find the package where the driver found it, and get batches of bounded size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    # Documents are long: batches of 10000 rows, twice over in the JVM and in Python, are large.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
