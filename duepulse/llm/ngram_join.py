@@ -28,7 +28,7 @@ from . import shingles, tables
 from .components import components
 
 #: Sets of one candidate group and size class that are verified together.
-CHUNK = 512
+CHUNK = 1024
 #: Candidates (two longs each) are broadcast up to this count, else joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 #: Keys that are combined in a task before they are sent.
@@ -168,12 +168,15 @@ def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
         part = np.zeros((n, min(width, int(shared.sum()) - start)), dtype=np.float32)
         part[row[at], column[at] - start] = 1
         overlap += part @ part.T
-    overlap = overlap.astype(np.int64)
-    links = 100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap)
+    links = np.empty((n, n), dtype=bool)
+    rows = [slice(i, i + 128) for i in range(0, n, 128)]  # few wide numbers at once
+    for r in rows:
+        common = overlap[r].astype(np.int64)
+        links[r] = 100 * common >= percent * (sizes[r, None] + sizes[None, :] - common)
     np.fill_diagonal(links, True)
     label = np.arange(n)
     while True:
-        after = np.where(links, label[None, :], n).min(axis=1)
+        after = np.concatenate([np.where(links[r], label[None, :], n).min(axis=1) for r in rows])
         after = after[after]
         if (after == label).all():
             return label
