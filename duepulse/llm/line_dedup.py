@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from . import tables
 
-#: Lines with fewer words stay: brackets, rules, numbers and headings repeat rightly.
-LEAST_WORDS = 4
+#: Lines with fewer words stay, whatever they repeat: by default only those without a word.
+LEAST_WORDS = 1
 #: Lines with fewer words are only compared whole: one edit would change too much of them.
 LEAST_NEAR_WORDS = 12
 #: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
@@ -36,7 +36,7 @@ def _places(documents: DataFrame) -> DataFrame:
     return rows.select(F.struct("doc_id", "line_no").alias("at"), "line")
 
 
-def _worded(places: DataFrame, *keep: str) -> DataFrame:
+def _worded(places: DataFrame, least: int, *keep: str) -> DataFrame:
     """The lines that take part, as arrays of their words in lower case (runs without white space).
 
     Blanks part nearly all words, and parting at one character needs no pattern. As the element of
@@ -46,7 +46,7 @@ def _worded(places: DataFrame, *keep: str) -> DataFrame:
     odd = [F.contains("line", F.lit(c)) for c in "\t\x0b\x0c\r"]
     plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
     words = F.array_remove(F.split(plain, " "), "")
-    return places.select(*keep, "at", F.explode(F.array(words)).alias("w")).where(F.size("w") >= LEAST_WORDS)
+    return places.select(*keep, "at", F.explode(F.array(words)).alias("w")).where(F.size("w") >= least)
 
 
 def _halves(w: Column) -> Column:
@@ -115,14 +115,15 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
-def repeated_lines(documents: DataFrame, scratch: tables.Scratch) -> DataFrame:
-    """(doc_id, line_no) of every line that has an earlier line equal or within one edit.
+def repeated_lines(documents: DataFrame, scratch: tables.Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, line_no) of every line of ``least_words`` words that has an earlier line equal or within one edit.
 
     Earlier is by doc_id, then line number; a null doc_id (here the largest long) is last. Lines of
     rows with the same doc_id and number are as early as one another, so neither goes for the other.
     The result reads tables in the scratch folder.
     """
-    found = _worded(_places(documents))
+    least = max(1, least_words)
+    found = _worded(_places(documents), least)
     halves = F.when(F.size("w") >= LEAST_NEAR_WORDS, _halves(F.col("w")))
     small = scratch.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
     first = scratch.stored(
@@ -140,7 +141,7 @@ def repeated_lines(documents: DataFrame, scratch: tables.Scratch) -> DataFrame:
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     places = _places(documents)
-    wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), "needs")
+    wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs")
     # Rows with equal ids can put several lines in one place.
     words = scratch.stored(
         wanted.select(F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "at", "w", "needs").dropDuplicates(["h", "g"])
@@ -166,10 +167,10 @@ def repeated_lines(documents: DataFrame, scratch: tables.Scratch) -> DataFrame:
     return marked.select("at.doc_id", "at.line_no")
 
 
-def _with_marks(documents: DataFrame) -> tuple[DataFrame, Column]:
+def _with_marks(documents: DataFrame, least_words: int) -> tuple[DataFrame, Column]:
     """The documents joined with the line numbers that go, and that column (null: none go)."""
     scratch = tables.Scratch(documents.sparkSession)
-    marks = repeated_lines(documents, scratch).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    marks = repeated_lines(documents, scratch, least_words).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
     marks = scratch.settled(marks.select(F.col("doc_id").alias("marked_doc"), F.col("gone").alias("marked_lines")))
     rows, numbers = marks.agg(F.count(F.lit(1)), F.sum(F.size("marked_lines"))).first()
     few = rows <= MOST_BROADCAST and (numbers or 0) <= 4 * MOST_BROADCAST
@@ -182,16 +183,17 @@ def _left(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
-def dedup_lines(documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
+def dedup_lines(documents: DataFrame, drop_emptied: bool = False, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without the lines that :func:`repeated_lines` names; order and columns stay.
 
     n_chars, where there is one, becomes the new text's length. A text that loses no line stays
     as it is, to the byte. With ``drop_emptied``, documents that lost lines and have no word left
-    go. Null texts stay null, empty ones empty; blank and short lines stay. Rows with the same
+    go. Null texts stay null, empty ones empty; lines without a
+    word stay, and so do those of fewer than ``least_words``. Rows with the same
     doc_id lose the line numbers that are named for that id. Null doc_ids are one such id. Extra
     columns are kept, whatever their names.
     """
-    joined, gone = _with_marks(documents)
+    joined, gone = _with_marks(documents, least_words)
     text = _left(documents["text"], gone)
     if drop_emptied:
         joined = joined.where(gone.isNull() | text.rlike(tables.WORD))
@@ -201,9 +203,9 @@ def dedup_lines(documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
     return joined.select(*[new.get(c, documents[c]).alias(c) for c in documents.columns])
 
 
-def line_report(documents: DataFrame) -> DataFrame:
+def line_report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed and text_left for every document, as :func:`dedup_lines` leaves it."""
-    joined, gone = _with_marks(documents.select("doc_id", "text"))
+    joined, gone = _with_marks(documents.select("doc_id", "text"), least_words)
     text = F.col("text")
     return joined.select(
         "doc_id", F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
