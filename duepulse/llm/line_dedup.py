@@ -27,13 +27,32 @@ MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
 
 
-def _places(documents: DataFrame) -> DataFrame:
+def _keyed(documents: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a key that tells rows of one id apart, and its column's name.
+
+    The key is a hash of the text. Rows without an id are numbered, in a table that is written so
+    that the numbers stay.
+    """
+    name = "row_key"
+    while name in map(str.lower, documents.columns):
+        name += "_"
+    known = documents.where(documents["doc_id"].isNotNull())
+    alone = documents.where(documents["doc_id"].isNull())
+    numbered = tables.stored(alone.withColumn(name, F.monotonically_increasing_id()))
+    return known.withColumn(name, F.xxhash64(known["text"])).union(numbered), name
+
+
+def _order(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(_LAST))
+
+
+def _places(rows: DataFrame, key: str) -> DataFrame:
     """Every line of every text with its place. Lines end at line feeds."""
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"),
+    lines = rows.select(
+        _order(F.col("doc_id")).alias("doc_id"), F.col(key).alias("row"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
     )
-    return rows.select(F.struct("doc_id", "line_no").alias("at"), "line")
+    return lines.select(F.struct("doc_id", "row", "line_no").alias("at"), "line")
 
 
 def _worded(places: DataFrame, least: int, *keep: str) -> DataFrame:
@@ -115,15 +134,16 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
-def repeated_lines(documents: DataFrame, scratch: tables.Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, line_no) of every line of ``least_words`` words that has an earlier line equal or within one edit.
+def repeated_lines(rows: DataFrame, key: str, scratch: tables.Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, row, line_no) of every line of ``least_words`` words that has an earlier line equal or within one edit.
 
-    Earlier is by doc_id, then line number; a null doc_id (here the largest long) is last. Lines of
-    rows with the same doc_id and number are as early as one another, so neither goes for the other.
+    Earlier is by doc_id, then the row's key (``row``), then line number; a null doc_id (here the
+    largest long) is last. Rows with equal id and key are one row that is given several times, so
+    neither's lines go for the other's.
     The result reads tables in the scratch folder.
     """
     least = max(1, least_words)
-    found = _worded(_places(documents), least)
+    found = _worded(_places(rows, key), least)
     halves = F.when(F.size("w") >= LEAST_NEAR_WORDS, _halves(F.col("w")))
     small = scratch.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
     first = scratch.stored(
@@ -140,9 +160,9 @@ def repeated_lines(documents: DataFrame, scratch: tables.Scratch, least_words: i
     open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    places = _places(documents)
+    places = _places(rows, key)
     wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs")
-    # Rows with equal ids can put several lines in one place.
+    # A row that is given several times puts its lines in one place.
     words = scratch.stored(
         wanted.select(F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "at", "w", "needs").dropDuplicates(["h", "g"])
     )
@@ -164,18 +184,19 @@ def repeated_lines(documents: DataFrame, scratch: tables.Scratch, least_words: i
     several = first.select("h", "g", F.col("at").alias("first_at"), "n")
     judged = several.join(gone, ["h", "g"], "left").where("n > 1 or near")
     marked = small.select("at", "h", "g").join(judged, ["h", "g"]).where("near or at > first_at")
-    return marked.select("at.doc_id", "at.line_no")
+    return marked.select("at.doc_id", "at.row", "at.line_no")
 
 
 def _with_marks(documents: DataFrame, least_words: int) -> tuple[DataFrame, Column]:
     """The documents joined with the line numbers that go, and that column (null: none go)."""
     scratch = tables.Scratch(documents.sparkSession)
-    marks = repeated_lines(documents, scratch, least_words).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
-    marks = scratch.settled(marks.select(F.col("doc_id").alias("marked_doc"), F.col("gone").alias("marked_lines")))
-    rows, numbers = marks.agg(F.count(F.lit(1)), F.sum(F.size("marked_lines"))).first()
-    few = rows <= MOST_BROADCAST and (numbers or 0) <= 4 * MOST_BROADCAST
-    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(_LAST))
-    return documents.join(F.broadcast(marks) if few else marks, key == marks["marked_doc"], "left"), marks["marked_lines"]
+    rows, key = _keyed(documents)
+    marks = repeated_lines(rows, key, scratch, least_words).groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
+    marks = scratch.settled(marks.toDF("marked_doc", "marked_row", "marked_lines"))
+    count, numbers = marks.agg(F.count(F.lit(1)), F.sum(F.size("marked_lines"))).first()
+    few = count <= MOST_BROADCAST and (numbers or 0) <= 4 * MOST_BROADCAST
+    same = (_order(rows["doc_id"]) == marks["marked_doc"]) & (rows[key] == marks["marked_row"])
+    return rows.join(F.broadcast(marks) if few else marks, same, "left"), marks["marked_lines"]
 
 
 def _left(text: Column, gone: Column) -> Column:
@@ -189,18 +210,19 @@ def dedup_lines(documents: DataFrame, drop_emptied: bool = False, least_words: i
     n_chars, where there is one, becomes the new text's length. A text that loses no line stays
     as it is, to the byte. With ``drop_emptied``, documents that lost lines and have no word left
     go. Null texts stay null, empty ones empty; lines without a
-    word stay, and so do those of fewer than ``least_words``. Rows with the same
-    doc_id lose the line numbers that are named for that id. Null doc_ids are one such id. Extra
+    word stay, and so do those of fewer than ``least_words``. Rows with the
+    same doc_id and different texts, and rows without one, are rows of their own; rows with equal
+    doc_id and text are left alike. Extra
     columns are kept, whatever their names.
     """
     joined, gone = _with_marks(documents, least_words)
-    text = _left(documents["text"], gone)
+    text = _left(joined["text"], gone)
     if drop_emptied:
         joined = joined.where(gone.isNull() | text.rlike(tables.WORD))
     new = {"text": text}
     if "n_chars" in documents.columns:
-        new["n_chars"] = F.when(gone.isNull(), documents["n_chars"]).otherwise(F.length(text).cast("long"))
-    return joined.select(*[new.get(c, documents[c]).alias(c) for c in documents.columns])
+        new["n_chars"] = F.when(gone.isNull(), joined["n_chars"]).otherwise(F.length(text).cast("long"))
+    return joined.select(*[new.get(c, joined[c]).alias(c) for c in documents.columns])
 
 
 def line_report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:

@@ -15,3 +15,16 @@ def test_copies_of_short_lines_go(spark):
     assert left(rows) == {1: "Read more\n}\n\nfirst of all", 2: "\nTop", 3: ""}
     floor = left(rows, least_words=3)
     assert floor == {1: "Read more\n}\n\nfirst of all", 2: "read  MORE\n\n}\nTop", 3: "Top"}
+
+
+def test_rows_that_share_an_id_or_have_none_lose_their_own_lines(spark):
+    again, own = "the same line again", "only here {}"
+    rows = texts(spark, (1, again), (None, f"{again}\n{own.format('a b')}"), (None, f"{own.format('c d')}\nx y z"),
+                 (7, f"{own.format('e f')}\n{own.format('g h')}"), (7, f"{again}\n{own.format('i j')}"), (7, f"{own.format('k l')}\nx y z"),
+                 (None, "twice without id"), (None, "twice without id"))
+    got = sorted(((r.doc_id, r.text) for r in line_dedup.dedup_lines(rows, drop_emptied=True).collect()), key=repr)
+    assert [x for x in got if x[0] is None] == [(None, t) for t in ("only here a b", "only here c d", "twice without id")]
+    assert sorted(x for x in got if x[0]) == [(1, again), (7, own.format("e f") + "\n" + own.format("g h")),
+                                              (7, own.format("i j")), (7, own.format("k l") + "\nx y z")]
+    report = line_dedup.line_report(rows)
+    assert report.count() == 8 and report.agg({"n_removed": "sum"}).first()[0] == 4
