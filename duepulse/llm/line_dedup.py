@@ -1,18 +1,29 @@
 """Near-duplicate lines by a deletion-neighbourhood join; the earliest stays.
 
-DataFrame functions only. The unit of an edit is a word, the bound is one edit: a word changed,
-added or left out. A line's variants are the line without one of its words. Two lines of the same
+DataFrame functions only. The unit of an edit is a word changed, added or left out. The bound is
+one edit or, with ``words_per_edit``, grows with the line: one edit in so many words of the
+shorter line, at least one.
+Words are compared by their 64-bit hashes.
+
+One edit: a line's variants are the line without one of its words. Two lines of the same
 length that differ in one word share the variant without that word's place; a line that lacks a
 word of another is itself a variant of it. Variants are hashed keys, equal keys are joined
-through their earliest line, and the edit distance is verified on the words.
-
-Emitting every variant of every line would cost a key per word of the corpus. Lines within one
-edit have their first or their last half in common, so lines that share neither half with any
-other line are left out first; that loses none.
+through their earliest line, and the edit distance is verified on the words. Emitting every
+variant of every line would cost a key per word of the corpus. Lines within one edit have their
+first or their last half in common, so lines that share neither half with any other line are
+left out first; that loses none.
+
+Several edits: k edits leave at most k + 1 runs of equal words, so the longest has a length that
+all lines with a bound of two or more edits can count on. Of every window of that length each
+line emits a run as a key, at the word with the smallest hash: equal windows give equal keys,
+wherever they stand. Lines are first verified against the earliest line of each of their keys,
+and those that stay against all earlier lines of their keys that can be within the bound.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +32,12 @@ from . import tables
 #: Lines with fewer words stay, whatever they repeat: by default only those without a word.
 LEAST_WORDS = 1
 #: Lines with fewer words are only compared whole: one edit would change too much of them.
-LEAST_NEAR_WORDS = 12
+LEAST_NEAR_WORDS = 4
+#: Words of a line for each edit that it may be from an earlier one, in op4_line_dedup.
+WORDS_PER_EDIT = 16
+#: Words of a run that is a key for several edits, and bits of a key that hold its place.
+RUN_WORDS = 4
+PLACE_BITS = 20
 #: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
 MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
@@ -68,12 +84,17 @@ def _worded(places: DataFrame, least: int, *keep: str) -> DataFrame:
     return places.select(*keep, "at", F.explode(F.array(words)).alias("w")).where(F.size("w") >= least)
 
 
+def _hashed(lines: DataFrame, *keep: str) -> DataFrame:
+    """The lines with hashes for their words."""
+    return lines.select(*keep, "at", F.explode(F.array(F.transform("w", lambda x: F.xxhash64(x)))).alias("w"))
+
+
 def _halves(w: Column) -> Column:
     """Keys of the halves that a line shares with any line within one edit.
 
     For a partner with n words, the shorter of the two, the edit is in the first n div 2 words or
-    behind them; so these words are equal, or the last n - n div 2 are. ``longer`` tells that the
-    line itself has n + 1 words, ``side`` which half the key is of.
+    behind them; so these words are equal, or the last n - n div 2 are. Keys of the first and the
+    last half, for a line with n words itself and for one with n + 1.
     """
 
     def of(longer: int) -> list[Column]:
@@ -81,10 +102,7 @@ def _halves(w: Column) -> Column:
         first = F.floor(n / 2).cast("int")
         rest = n - first
         keys = [F.slice(w, F.lit(1), first), F.slice(w, F.size(w) - rest + 1, rest)]
-        return [
-            F.struct(F.xxhash64(n, F.lit(side), key).alias("half"), F.lit(longer).alias("longer"), F.lit(side).alias("side"))
-            for side, key in enumerate(keys)
-        ]
+        return [F.xxhash64(n, F.lit(side), key) for side, key in enumerate(keys)]
 
     return F.array(*of(0), *of(1))
 
@@ -117,7 +135,7 @@ def _variants(w: Column, needs: Column) -> Column:
         whole = F.when(F.array_contains(needs, "F"), F.array(key("F", F.xxhash64(F.lit(2), h))))
         return F.concat(changed, shorter, F.coalesce(whole, F.expr("array()").cast("array<struct<role:string,key:bigint>>")))
 
-    return F.flatten(F.transform(F.array(F.transform(w, lambda x: F.xxhash64(x))), without))
+    return F.flatten(F.transform(F.array(w), without))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -134,22 +152,104 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
-def repeated_lines(rows: DataFrame, key: str, scratch: tables.Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, row, line_no) of every line of ``least_words`` words that has an earlier line equal or within one edit.
+def _runs(w: Column, words_per_edit: int) -> Column:
+    """Keys with their places that lines share whenever they are within a bound of two or more edits.
+
+    k edits leave n - k of n >= k * words_per_edit words in at most k + 1 runs, the longest of
+    them at least ``window`` words. The upper bits of a key are the run's, the lower its place.
+    """
+    window = ceil(2 * (words_per_edit - 1) / 3)
+    width = min(RUN_WORDS, window)
+    choice = window - width + 1  # words at which a run can begin in one window
+    low = (1 << PLACE_BITS) - 1
+
+    def placed(h: Column, i: Column) -> Column:
+        return h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))
+
+    def chosen(p: Column) -> Column:
+        # One value twice, since least takes two or more.
+        begin = lambda i: F.least(F.get(p, i), *[F.get(p, i + j) for j in range(choice)])
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(p) - window), begin))
+
+    def key(x: Column) -> Column:
+        i = x.bitwiseAND(F.lit(low)).cast("int")
+        return placed(F.xxhash64(*[F.get(w, i + k) for k in range(width)]), i)
+
+    return F.transform(F.flatten(F.transform(F.array(F.transform(w, placed)), chosen)), key)
+
+
+def _edits(a: Column, b: Column, most: Column) -> Column:
+    """Word edits between two arrays, -1 if more than ``most``: each distinct word as a letter."""
+
+    def letter(number: Column) -> Column:
+        """A code point for each number from 1, surrogates left out, as eight hexadecimal digits."""
+        return F.lpad(F.hex(F.when(number <= 0xD7FF, number).otherwise(number + 0x800).cast("long")), 8, "0")
+
+    def told(numbers: Column) -> Column:
+        letters = lambda w: F.decode(F.unhex(F.array_join(F.transform(w, lambda x: letter(F.element_at(numbers, x))), "")), "UTF-32")
+        return F.call_function("levenshtein", letters(a), letters(b), most)
+
+    words = F.array_distinct(F.concat(a, b))
+    numbers = F.map_from_arrays(words, F.sequence(F.lit(1), F.size(words)))
+    return F.element_at(F.transform(F.array(numbers), told), 1)
+
+
+def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, words_per_edit: int) -> DataFrame:
+    """``at`` of the lines that an earlier one is within a bound of two or more edits of.
+
+    ``words`` has their words, ``shared`` the keys (at, n, run, pos) that several lines have.
+    """
+    bound = F.floor(F.least("n", "fn") / words_per_edit).cast("int")
+
+    def verified(pairs: DataFrame, apart: Column) -> DataFrame:
+        able = pairs.where((F.col("fat") < F.col("at")) & (apart <= bound)).select("at", "n", "fat", "fn").distinct()
+        mine = words.select("at", F.col("w").alias("mine"))
+        theirs = words.select(F.col("at").alias("fat"), F.col("w").alias("theirs"))
+        both = able.join(mine, "at").join(theirs, "fat")
+        return both.where(_edits(F.col("mine"), F.col("theirs"), bound) >= 0).select("at").distinct()
+
+    longer = F.abs(F.col("n") - F.col("fn"))
+    least = shared.groupBy("run").agg(F.min(F.struct("at", "n")).alias("first"))
+    led = shared.join(least, "run").where("first.at < at")
+    led = scratch.stored(led.select("run", "at", "n", "pos", F.col("first.at").alias("fat"), F.col("first.n").alias("fn")))
+    settled = scratch.stored(verified(led, longer))
+    rest = led.join(settled, "at", "left_anti").select("run", "at", "n", "pos", F.col("fat").alias("head"))
+    # Words left equal by the edits are at most as many places apart as there are edits.
+    others = shared.select("run", F.col("at").alias("fat"), F.col("n").alias("fn"), F.col("pos").alias("fpos"))
+    aligned = F.when(F.greatest("n", "fn") < 1 << PLACE_BITS, F.abs(F.col("pos") - F.col("fpos"))).otherwise(0)
+    return settled.unionByName(verified(rest.join(others, "run").where("fat > head"), F.greatest(longer, aligned)))
+
+
+def repeated_lines(
+    rows: DataFrame, key: str, scratch: tables.Scratch, *, least_words: int = LEAST_WORDS,
+    least_near_words: int = LEAST_NEAR_WORDS, words_per_edit: int | None = None,
+) -> DataFrame:
+    """(doc_id, row, line_no) of every line of ``least_words`` words that has an earlier line equal or near.
+
+    Near are lines of ``least_near_words`` or more that are at most one edit apart, or with
+    ``words_per_edit`` one in so many words of the shorter if that is more.
 
     Earlier is by doc_id, then the row's key (``row``), then line number; a null doc_id (here the
     largest long) is last. Rows with equal id and key are one row that is given several times, so
     neither's lines go for the other's.
     The result reads tables in the scratch folder.
     """
+    if words_per_edit is not None and words_per_edit < 2:
+        raise ValueError("words_per_edit must be 2 or more")
     least = max(1, least_words)
-    found = _worded(_places(rows, key), least)
-    halves = F.when(F.size("w") >= LEAST_NEAR_WORDS, _halves(F.col("w")))
-    small = scratch.stored(found.select("at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), halves.alias("halves")))
-    first = scratch.stored(
-        small.groupBy("h", "g").agg(F.min("at").alias("at"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
-    )
-    near = first.where("halves is not null").select("at", F.explode("halves").alias("k")).select("at", "k.*")
+    several = max(2 * words_per_edit, least_near_words) if words_per_edit else None
+    found = _hashed(_worded(_places(rows, key), least))
+    n = F.size("w")
+    small = scratch.stored(found.select(
+        "at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), F.when(n >= least_near_words, n).alias("words"),
+        F.when(n.between(least_near_words, several) if several else n >= least_near_words, _halves(F.col("w"))).alias("halves"),
+        *([F.when(n >= several, _runs(F.col("w"), words_per_edit)).alias("runs")] if several else []),
+    ))
+    first = scratch.stored(small.groupBy("h", "g").agg(
+        F.min("at").alias("at"), *[F.first(c).alias(c) for c in ("words", "halves", "runs") if c in small.columns], F.count(F.lit(1)).alias("n")
+    ))
+    near = first.where("halves is not null").select("at", F.posexplode("halves").alias("i", "half"))
+    near = near.select("at", "half", F.floor(F.col("i") / 2).alias("longer"), (F.col("i") % 2).alias("side"))
     shared = near.groupBy("half").agg(
         F.count_if(F.col("longer") == 0).alias("own"), F.count_if(F.col("longer") == 1).alias("more")
     ).where("own > 1 or own > 0 and more > 0")
@@ -158,40 +258,45 @@ def repeated_lines(rows: DataFrame, key: str, scratch: tables.Scratch, least_wor
         F.array(F.when(F.col("own") > 1, F.concat(F.lit("C"), side)), F.when(F.col("more") > 0, F.lit("F")))
     )
     open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
+    if several:
+        runs = first.where("runs is not null").select("at", F.col("words").alias("n"), F.explode("runs").alias("k"))
+        runs = runs.select("at", "n", F.shiftright("k", PLACE_BITS).alias("run"), F.col("k").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("pos"))
+        common = runs.groupBy("run").count().where("count > 1").select("run")
+        runs = scratch.stored(runs.join(common, "run"))
+        open_ends = open_ends.unionByName(runs.select("at", F.lit("R").alias("need")).distinct())
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     places = _places(rows, key)
-    wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs")
+    wanted = _hashed(_worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs"), "needs")
     # A row that is given several times puts its lines in one place.
-    words = scratch.stored(
-        wanted.select(F.xxhash64("w").alias("h"), F.hash("w").alias("g"), "at", "w", "needs").dropDuplicates(["h", "g"])
-    )
+    words = scratch.stored(wanted.dropDuplicates(["at"]))
 
-    keys = words.select("h", "g", "at", F.explode(_variants(F.col("w"), F.col("needs"))).alias("v")).select("h", "g", "at", "v.role", "v.key")
-    role = lambda r: F.min(F.when(F.col("role") == r, F.struct("at", "h", "g")))
+    keys = words.where("size(array_remove(needs, 'R')) > 0").select("at", F.explode(_variants(F.col("w"), F.col("needs"))).alias("v")).select("at", "v.role", "v.key")
+    role = lambda r: F.min(F.when(F.col("role") == r, F.col("at")))
     earliest = keys.groupBy("key").agg(
         role("C").alias("c"), role("S").alias("s"), role("F").alias("f"), F.count(F.lit(1)).alias("n")
     ).where("n > 1").drop("n")
     other = F.when(F.col("role") == "C", F.col("c")).when(F.col("role") == "S", F.col("f")).otherwise(F.col("s"))
-    pairs = keys.join(earliest, "key").withColumn("first", other).where("first is not null and first.at < at")
-    pairs = pairs.select("h", "g", "at", "first.h", "first.g").toDF("h", "g", "at", "fh", "fg").distinct()
-    mine = words.select("h", "g", F.col("w").alias("mine"))
-    theirs = words.select(F.col("h").alias("fh"), F.col("g").alias("fg"), F.col("w").alias("theirs"))
-    edited = pairs.join(mine, ["h", "g"]).join(theirs, ["fh", "fg"]).where(_within_one_edit(F.col("mine"), F.col("theirs")))
-    gone = edited.select("h", "g").distinct().withColumn("near", F.lit(True))
+    pairs = keys.join(earliest, "key").withColumn("fat", other).where("fat is not null and fat < at").select("at", "fat").distinct()
+    mine = words.select("at", F.col("w").alias("mine"))
+    theirs = words.select(F.col("at").alias("fat"), F.col("w").alias("theirs"))
+    edited = pairs.join(mine, "at").join(theirs, "fat").where(_within_one_edit(F.col("mine"), F.col("theirs")))
+    gone = edited.select("at")
+    if several:
+        gone = gone.unionByName(_far_edited(words.where("array_contains(needs, 'R')"), runs, scratch, words_per_edit))
+    gone = gone.distinct().withColumn("near", F.lit(True))
 
     # A line goes if it isn't the first of its equals, or if they all go for an earlier near one.
-    several = first.select("h", "g", F.col("at").alias("first_at"), "n")
-    judged = several.join(gone, ["h", "g"], "left").where("n > 1 or near")
+    judged = first.select("h", "g", "at", "n").join(gone, "at", "left").where("n > 1 or near").withColumnRenamed("at", "first_at")
     marked = small.select("at", "h", "g").join(judged, ["h", "g"]).where("near or at > first_at")
     return marked.select("at.doc_id", "at.row", "at.line_no")
 
 
-def _with_marks(documents: DataFrame, least_words: int) -> tuple[DataFrame, Column]:
+def _with_marks(documents: DataFrame, **bounds: int) -> tuple[DataFrame, Column]:
     """The documents joined with the line numbers that go, and that column (null: none go)."""
     scratch = tables.Scratch(documents.sparkSession)
     rows, key = _keyed(documents)
-    marks = repeated_lines(rows, key, scratch, least_words).groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
+    marks = repeated_lines(rows, key, scratch, **bounds).groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
     marks = scratch.settled(marks.toDF("marked_doc", "marked_row", "marked_lines"))
     count, numbers = marks.agg(F.count(F.lit(1)), F.sum(F.size("marked_lines"))).first()
     few = count <= MOST_BROADCAST and (numbers or 0) <= 4 * MOST_BROADCAST
@@ -204,18 +309,18 @@ def _left(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
-def dedup_lines(documents: DataFrame, drop_emptied: bool = False, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(documents: DataFrame, drop_emptied: bool = False, **bounds: int) -> DataFrame:
     """The documents without the lines that :func:`repeated_lines` names; order and columns stay.
 
     n_chars, where there is one, becomes the new text's length. A text that loses no line stays
     as it is, to the byte. With ``drop_emptied``, documents that lost lines and have no word left
     go. Null texts stay null, empty ones empty; lines without a
-    word stay, and so do those of fewer than ``least_words``. Rows with the
+    word stay, and so do those of fewer than ``least_words``; its other bounds can be given, too. Rows with the
     same doc_id and different texts, and rows without one, are rows of their own; rows with equal
     doc_id and text are left alike. Extra
     columns are kept, whatever their names.
     """
-    joined, gone = _with_marks(documents, least_words)
+    joined, gone = _with_marks(documents, **bounds)
     text = _left(joined["text"], gone)
     if drop_emptied:
         joined = joined.where(gone.isNull() | text.rlike(tables.WORD))
@@ -225,9 +330,9 @@ def dedup_lines(documents: DataFrame, drop_emptied: bool = False, least_words: i
     return joined.select(*[new.get(c, joined[c]).alias(c) for c in documents.columns])
 
 
-def line_report(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def line_report(documents: DataFrame, **bounds: int) -> DataFrame:
     """doc_id, n_lines, n_removed and text_left for every document, as :func:`dedup_lines` leaves it."""
-    joined, gone = _with_marks(documents.select("doc_id", "text"), least_words)
+    joined, gone = _with_marks(documents.select("doc_id", "text"), **bounds)
     text = F.col("text")
     return joined.select(
         "doc_id", F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),

@@ -52,7 +52,7 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.line_report(_documents(spark, sf_dir))
+    found = line_dedup.line_report(_documents(spark, sf_dir), words_per_edit=line_dedup.WORDS_PER_EDIT)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text_left", 256).alias("text_sha256"))
 
 
