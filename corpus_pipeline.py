@@ -33,12 +33,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the row with the smallest id stays; rows without an id are last.
+
+    Every row counts by itself. Where ids are missing or repeated, all rows are numbered in a
+    written table, and of rows with one id the first in it is the smallest.
+    """
     queries.ship(spark)
-    found = ngram_join.join_ngrams(docs, width=WIDTH, percent=PERCENT)
-    gone = tables.stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct())
+    node = "row_node"
+    while node in map(str.lower, docs.columns):
+        node += "_"
+    odd = docs.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count()
+    rows = tables.stored(docs.withColumn(node, F.monotonically_increasing_id())) if odd else docs.withColumn(node, docs["doc_id"].cast("long"))
+    found = ngram_join.join_ngrams(rows.select(F.col(node).alias("doc_id"), "text"), width=WIDTH, percent=PERCENT)
+    members = found.select(F.col("doc_id").alias("gone_node"), "component_id")
+    if odd:
+        rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(node).alias("node"))
+        several = members.groupBy("component_id").count().where("count > 1").select("component_id")
+        ranked = members.join(several, "component_id").join(rows.select(F.col(node).alias("gone_node"), rank.alias("rank")), "gone_node")
+        first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
+        members = ranked.join(first, "component_id").where("gone_node <> first.node")
+    else:
+        members = members.where("component_id <> gone_node")
+    gone = tables.stored(members.select("gone_node"))
     few = gone.limit(ngram_join.MOST_BROADCAST + 1).count() <= ngram_join.MOST_BROADCAST
-    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return rows.join(F.broadcast(gone) if few else gone, rows[node] == gone["gone_node"], "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
