@@ -112,7 +112,10 @@ def _spans(text: Column, order: int, kind: Kind) -> Column:
         def step(acc: Column, p: Column) -> Column:
             begin = acc["at"] + F.length(p["before"])
             end = begin + F.length(p["found"])
-            around = F.lower(F.concat_ws(" ", F.right(p["before"], F.lit(NEAR)), F.left(p["after"], F.lit(NEAR))))
+            # Of the text itself: other matches stand in the context, too.
+            low = F.greatest(begin - NEAR, F.lit(0).cast("long")).cast("int")
+            before = F.substring(text, low + 1, begin.cast("int") - low)
+            around = F.lower(F.concat_ws(" ", before, F.substring(text, end.cast("int") + 1, F.lit(NEAR))))
             near = around.rlike(kind.context)
             score = F.when(near, F.lit(kind.with_context)).otherwise(F.lit(kind.alone))
             ok = _valid(kind, p["found"]) & (F.lit(kind.base) | (score >= 0.5))
@@ -125,10 +128,9 @@ def _spans(text: Column, order: int, kind: Kind) -> Column:
     pieces = F.struct(found.alias("found"), F.split(text, kind.pattern, -1).alias("between"))
 
     def zipped(both: Column) -> Column:
-        after = F.slice(both["between"], 2, F.size(both["found"]))
         return F.transform(
-            F.arrays_zip(F.slice(both["between"], 1, F.size(both["found"])).alias("before"), both["found"].alias("found"), after.alias("after")),
-            lambda z: F.struct(z["before"].alias("before"), z["found"].alias("found"), z["after"].alias("after")),
+            F.arrays_zip(F.slice(both["between"], 1, F.size(both["found"])).alias("before"), both["found"].alias("found")),
+            lambda z: F.struct(z["before"].alias("before"), z["found"].alias("found")),
         )
 
     has = text.rlike(kind.pattern) if not kind.needs else F.contains(text, F.lit(kind.needs)) & text.rlike(kind.pattern)
