@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from . import tables
 
-#: Words of a shingle, and one in how many hashes stays.
+#: Words of a shingle; one in how many hashes stays in a fingerprint, where texts are often short.
 WIDTH = 5
-SCALE = 8
+SCALE = 2
 #: Documents that are ordered in one bucket, and buckets at most (their limits go with the plan).
 BUCKET_ROWS = 2048
 MOST_BUCKETS = 65_536
 
 
-def sketch(text: Column, width: int = WIDTH, scale: int = SCALE) -> Column:
+def sketch(text: Column, width: int = WIDTH, scale: int = 8) -> Column:
     """The sorted distinct hashes of the text's shingles that are below 1/scale of the range.
 
     A text with fewer words than a shingle has its whole sequence as its one shingle.
@@ -85,11 +85,11 @@ def with_next(rows: DataFrame) -> DataFrame:
     placed = (
         ids.withColumn("place", F.explode(F.filter(places, lambda p: p["bucket"].isNotNull())))
         .select("doc_id", "text", "place.bucket", "place.later").repartition("bucket")
-        .withColumn("sketch", sketch(F.col("text")))
+        .withColumn("sketch", sketch(F.col("text"), scale=SCALE))
     )
     order = Window.partitionBy("bucket").orderBy("later", "doc_id", F.xxhash64("text"))
     followed = placed.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
-    alone = rows.where("doc_id is null").withColumn("sketch", sketch(F.col("text")))
+    alone = rows.where("doc_id is null").withColumn("sketch", sketch(F.col("text"), scale=SCALE))
     alone = alone.withColumn("next_text", F.lit("")).withColumn("next_sketch", F.expr("array()").cast("array<bigint>"))
     return followed.where("later = 0").drop("bucket", "later").unionByName(alone)
 
@@ -125,7 +125,7 @@ def fingerprint(documents: DataFrame) -> DataFrame:
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    both = with_next(rows).withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited")))
+    both = with_next(rows).withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited"), scale=SCALE))
     one = F.col("sketch")
     return both.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
