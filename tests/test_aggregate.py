@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 import makers
-from conftest import at, by
+from told import at, by
 from duepulse import schemas
 from duepulse.operators.aggregate import aggregate_ivr, aggregate_messages, rejected_durations
 from duepulse.operators.scope import Scope

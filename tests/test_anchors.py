@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import anchor_sources
-from conftest import SF
+from told import SF
 from duepulse.operators.aggregate import aggregate_ivr, aggregate_messages
 from duepulse.operators.extract import (
     extract_allocation,

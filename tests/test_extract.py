@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import makers
-from conftest import at, by, rows_of
+from told import at, by, rows_of
 from duepulse import schemas
 from duepulse.operators.extract import (
     extract_allocation,

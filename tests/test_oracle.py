@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as registered
 import oracle_queries
-from conftest import SF_SMALL
+from told import SF_SMALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

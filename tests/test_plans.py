@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as registered
 import makers
-from conftest import SF_SMALL
+from told import SF_SMALL
 from duepulse import schemas
 from duepulse.operators.aggregate import aggregate_messages
 from duepulse.operators.extract import extract_allocation, extract_ivr, extract_messages

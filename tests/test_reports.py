@@ -6,7 +6,7 @@ import pytest
 
 import brute_force as bf
 import makers
-from conftest import at, by, day, rows_of
+from told import at, by, day, rows_of
 from duepulse import schemas
 from duepulse.operators.scope import EVERYTHING, Scope
 from duepulse.plans import reports

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import makers
-from conftest import SF_SMALL, at, rows_of
+from told import SF_SMALL, at, rows_of
 from duepulse.operators.extract import extract_messages
 from duepulse.operators.scope import EVERYTHING, Scope
 from duepulse.plans import reports, run

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from conftest import rows_of
+from told import rows_of
 from duepulse.sources.readers import read_catalog, read_parquet, read_staged, time_slices
 from duepulse.sources.writers import (
     Covered,
