@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from conftest import texts
+from corpus_rows import texts
 from duepulse.llm import components, ngram_join, shingles, vector_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

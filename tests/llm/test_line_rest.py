@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import texts
+from corpus_rows import texts
 from duepulse.llm import line_dedup
 
 

@@ -13,7 +13,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import SF_SMALL, documents, texts
+from corpus_rows import SF_SMALL, documents, texts
 from duepulse.llm import mixing, packing, queries, tables
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

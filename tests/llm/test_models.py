@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import documents
+from corpus_rows import documents
 from duepulse.llm import embeddings_model, language, quality, subwords, tables, toxicity
 
 SF = "/root/testdata/sf0.1"

@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from conftest import documents, texts
+from corpus_rows import documents, texts
 from duepulse.llm import fingerprints, line_dedup, pii
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import texts
+from corpus_rows import texts
 from duepulse.llm import pii
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from conftest import SF_SMALL, texts
+from corpus_rows import SF_SMALL, texts
 
 
 def test_one_row_of_each_group_stays(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import texts
+from corpus_rows import texts
 from duepulse.llm import fingerprints
 
 
