@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    corpus_sql,
+    fill_in_middle,
     fingerprints,
     language,
     line_dedup,
@@ -20,7 +22,9 @@ from . import (
     quality,
     tables,
     toxicity,
+    vector_codes,
     vector_dedup,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,13 +85,33 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(_documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vector_codes.compress(tables.read(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_documents(spark, sf_dir))
+    restored = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return warc.through_archives(tables.read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     named = [
         op1_quality, op2_best_fit_packing, op3_personal_data, op4_line_dedup, op5_source_mixing,
         op6_vector_dedup, op7_toxicity, op8_fingerprints, op9_ngram_join, op10_language,
+        op11_vector_codes, op12_fill_in_middle, op13_warc,
     ]
     return {q.__name__: q for q in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return corpus_sql.oracle_sql()

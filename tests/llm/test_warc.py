@@ -1,0 +1,118 @@
+"""Archives: exact round trips, members that stand by themselves, streams in every form."""
+
+from __future__ import annotations
+
+import base64
+import glob
+import gzip
+import hashlib
+import io
+import zlib
+
+import pytest
+
+from duepulse.llm import warc
+
+SCHEMA = "page_id long, url string, html string, payload string, same string, largest long, archive string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "a", "b", 3, "c") for r in rows], SCHEMA)
+
+
+def told(rows, least=0):
+    """What a plain reading of the rule gives for (page_id, url, html) rows."""
+    out = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        ids = [j for j, _, h in rows if (h or "") == (html or "") and j is not None]
+        largest = max(ids) if ids and len(payload) >= least else i
+        revisit = i != largest
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((i, len(payload), digest, "revisit" if revisit else "response", largest if revisit else None))
+    return sorted(out, key=repr)
+
+
+def rows():
+    long = "<p>é😀</p>\r\n\r\nWARC/1.1\r\n" * 20_000
+    made = [(i, f"http://x.example/{i}", f"<html>{i % 23}</html>\r\n\r\n" + "z" * (i % 7)) for i in range(400)]
+    made += [(1000 + i, "u", "one hot page") for i in range(300)]
+    made += [(2000, None, None), (2001, "a\r\nWARC-Type: x", ""), (2002, "é", ""), (2003, "u", long), (2004, "u", long), (5, "u", "same id"),
+             (5, "u", "same id"), (4, "u", "same id"), (6, "u", "other"), (6, "v", "text"), (None, "u", "same id"), (None, None, "only null"),
+             (None, "w", "only null"), (-3, "u", "\n"), (2**62, "u", "\r\n\r")]
+    return made
+
+
+def test_pages_come_back_from_archives(spark):
+    got = warc.through_archives(pages(spark, rows()).repartition(4))
+    assert sorted(map(tuple, got.collect()), key=repr) == told(rows())
+    got = warc.through_archives(pages(spark, rows()), least_bytes=20)
+    assert sorted(map(tuple, got.collect()), key=repr) == told(rows(), 20)
+
+
+def test_no_pages(spark):
+    assert warc.through_archives(pages(spark, [])).collect() == []
+
+
+def test_members_stand_by_themselves(spark, tmp_path):
+    raw, folder = f"{tmp_path}/raw", f"{tmp_path}/out"
+    warc.write_archives(pages(spark, rows()).coalesce(2), raw, records=300)
+    sources = sorted(glob.glob(f"{raw}/*.gz"))
+    assert len(sources) > 2
+    written = warc.normalise(spark, raw, folder).collect()
+    assert sum(r["records"] for r in written) == len(rows())
+    whole = sorted(gzip.open(f).read() for f in sources)
+    assert sorted(gzip.open(r["archive"]).read() for r in written) == whole
+    payloads = {}
+    for row in written:
+        content, end = open(row["archive"], "rb").read(), 0
+        assert len(content) == row["bytes"]
+        for line in open(row["archive"] + ".offsets"):
+            offset, length, kind, name = line.rstrip("\n").split("\t")
+            assert int(offset) == end
+            end += int(length)
+            member = zlib.decompressobj(31)
+            record = member.decompress(content[int(offset) : end])
+            assert member.eof and not member.unused_data and record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            if kind == "response":
+                payloads.setdefault(name, []).append(record.split(b"\r\n\r\n", 2)[2][:-4].decode())
+        assert end == len(content)
+    assert payloads["<urn:page:2004>"] == [rows()[-12][2]]
+    read = {r["page_id"]: bytes(r["payload"]) for r in warc.read_archives(spark, folder, with_payload=True).collect()}
+    assert read[2004].decode() == rows()[-12][2] and read[2003] == b""
+
+
+def test_normalising_again_changes_nothing(spark, tmp_path):
+    raw, one, two = (f"{tmp_path}/{x}" for x in ("raw", "one", "two"))
+    warc.write_archives(pages(spark, rows()).coalesce(1), raw)
+    first = warc.normalise(spark, raw, one).collect()[0]
+    again = warc.normalise(spark, one, two).collect()[0]  # a source of many members
+    assert open(first["archive"], "rb").read() == open(again["archive"], "rb").read()
+    third = warc.normalise(spark, raw, one).collect()[0]  # as a task that runs twice
+    assert third == first and len(glob.glob(f"{one}/*")) == 2
+    assert warc.read_archives(spark, one).count() == len(rows())
+
+
+def test_a_stream_in_any_pieces():
+    record = b"WARC/1.1\r\nContent-Length: 5\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\n\r\n\r\n\r\n!\r\n\r\n"
+    for size in (1, 2, 3, 50, 1000):
+        out = io.BytesIO()
+        stream = record * 3
+        places = list(warc.split_records((stream[i : i + size] for i in range(0, len(stream), size)), warc._Members(out)))
+        assert [gzip.decompress(out.getvalue()[o : o + n]) for o, n, _, _ in places] == [record] * 3
+
+
+@pytest.mark.parametrize("size", [0, 1, warc.CHUNK, 17 * warc.CHUNK, 32 * warc.CHUNK + 5])
+def test_inflating_in_pieces(size):
+    content = b"\0" * size
+    for packed in (gzip.compress(content), gzip.compress(content[:7]) + gzip.compress(content[7:])):
+        assert b"".join(warc._inflated(packed)) == content
+
+
+def test_broken_archives_stop_the_job(spark, tmp_path):
+    record = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for name, content in (("cut", gzip.compress(record)[:-9]), ("short", gzip.compress(record[:-6])), ("other", gzip.compress(b"text\r\n\r\n"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc.gz").write_bytes(content)
+        with pytest.raises(Exception, match="archive ends|not a WARC"):
+            warc.normalise(spark, str(tmp_path / name), f"{tmp_path}/{name}-out").collect()
