@@ -60,9 +60,12 @@ class Scratch:
     def settled(self, df: DataFrame) -> DataFrame:
         """The rows, written outside the scratch folder, which goes."""
         result = stored(df)
+        self.remove()
+        return result
+
+    def remove(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        return result
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[pa.Array]]:

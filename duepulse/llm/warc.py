@@ -32,6 +32,8 @@ RECORDS = 10_000
 #: Compressed bytes that are inflated at once, and bytes of members that one reader takes.
 CHUNK = 1 << 16
 RANGE = 4 << 20
+#: Bytes of members that a task is meant to read, where the session's shuffles have fewer tasks.
+TASK_BYTES = 64 << 20
 #: Responses of repeated payloads are broadcast up to this many; with more, the join shuffles.
 MOST_BROADCAST = 500_000
 #: End of a header, and what follows a record's block.
@@ -51,13 +53,14 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", _BASE32)
 
 
-def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def decided(pages: DataFrame, least_bytes: int = 0, scratch: tables.Scratch | None = None) -> DataFrame:
     """page_id, url, payload, digest, size, record_type and refers_to for every page.
 
     Of pages with equal payloads of ``least_bytes`` or more, the one with the largest page_id is
     the response, and the others revisit it. A page never revisits its own id: rows that repeat the
     response's id and payload are responses, too. Null ids are the smallest; among themselves
-    they are all responses. Null html: an empty payload.
+    they are all responses. Null html: an empty payload. The result reads a table in the scratch
+    folder, or one of its own.
     """
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"))
@@ -66,7 +69,7 @@ def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n")
     )
     repeated = groups.where("n > 1 and largest is not null").select("of", "largest")
-    repeated = tables.stored(repeated)
+    repeated = scratch.stored(repeated) if scratch else tables.stored(repeated)
     few = repeated.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     joined = rows.join(F.broadcast(repeated) if few else repeated, F.col("same") == F.col("of"), "left")
     revisit = F.col("largest").isNotNull() & ~F.col("largest").eqNullSafe(F.col("page_id"))
@@ -102,8 +105,10 @@ def _record(date: str) -> Column:
 
 def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", records: int = RECORDS) -> None:
     """Writes a record for every page to archives in ``folder``, each one gzip stream."""
-    told = decided(pages, least_bytes).select(_record(date).alias("value"))
+    scratch = tables.Scratch(pages.sparkSession)
+    told = decided(pages, least_bytes, scratch).select(_record(date).alias("value"))
     told.write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", records).text(folder)
+    scratch.remove()
 
 
 class _Members:
@@ -257,6 +262,9 @@ def read_archives(spark: SparkSession, folder: str, *, with_payload: bool = Fals
     part = F.floor(F.col("offset") / RANGE)
     # At most RANGE bytes of members begin in a range.
     ranges = entries.groupBy("archive", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("members"))
+    # By their own size the ranges' rows would all go to one task.
+    total = entries.agg(F.sum("length")).first()[0] or 0
+    ranges = ranges.repartition(max(tables.shuffle_width(entries), -(-total // TASK_BYTES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
