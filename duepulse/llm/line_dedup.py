@@ -13,16 +13,19 @@ variant of every line would cost a key per word of the corpus. Lines within one
 first or their last half in common, so lines that share neither half with any other line are
 left out first; that loses none.
 
-Several edits: k edits leave at most k + 1 runs of equal words, so the longest has a length that
-all lines with a bound of two or more edits can count on. Of every window of that length each
-line emits a run as a key, at the word with the smallest hash: equal windows give equal keys,
-wherever they stand. Lines are first verified against the earliest line of each of their keys,
-and those that stay against all earlier lines of their keys that can be within the bound.
+Several edits: all variants of a line without any k of its words would be too many, so a family
+of variants is emitted that meets every choice of edits. A hash deals the words to 2k + 2 classes;
+a variant is the line without all words but those of one class, in their order. An edit takes a
+word and adds one, and so changes two variants at most: lines within the bound have two or more
+variants in common, wherever the edits are and however far words move. A variant has words from
+all over the line, so lines that only share a passage have none in common. Lines are first
+verified against the earliest line of each of their keys; those that stay, against the earlier
+lines of their keys, where of small variants two have to agree.
 """
 
 from __future__ import annotations
 
-from math import ceil
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +38,10 @@ LEAST_WORDS = 1
 LEAST_NEAR_WORDS = 4
 #: Words of a line for each edit that it may be from an earlier one, in op4_line_dedup.
 WORDS_PER_EDIT = 16
-#: Words of a run that is a key for several edits, and bits of a key that hold its place.
-RUN_WORDS = 4
-PLACE_BITS = 20
+#: Ratio of the lengths at which one number of classes of words gives way to the next.
+RATIO = 1.25
+#: Variants of so many words or fewer are small: unlike lines share them, so two of them have to agree.
+SMALL = 3
 #: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
 MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
@@ -63,32 +67,28 @@ def _order(doc_id: Column) -> Column:
 
 
 def _places(rows: DataFrame, key: str) -> DataFrame:
-    """Every line of every text with its place. Lines end at line feeds."""
+    """Every line of every text in lower case, with its place. Lines end at line feeds.
+
+    White space within a line is made blanks: parting at one character needs no pattern.
+    """
+    text = F.lower(F.coalesce("text", F.lit("")))
+    odd = [F.contains(F.col("text"), F.lit(c)) for c in "\t\x0b\x0c\r"]
+    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
     lines = rows.select(
-        _order(F.col("doc_id")).alias("doc_id"), F.col(key).alias("row"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
+        _order(F.col("doc_id")).alias("doc_id"), F.col(key).alias("row"), F.posexplode(F.split(plain, "\n")).alias("line_no", "line")
     )
     return lines.select(F.struct("doc_id", "row", "line_no").alias("at"), "line")
 
 
 def _worded(places: DataFrame, least: int, *keep: str) -> DataFrame:
-    """The lines that take part, as arrays of their words in lower case (runs without white space).
+    """The lines that take part, as arrays of the hashes of their words (runs without white space).
 
-    Blanks part nearly all words, and parting at one character needs no pattern. As the element of
-    an exploded array the words are made once, not again for each use.
+    As the element of an exploded array the hashes are made once, not again for each use.
     """
-    line = F.lower("line")
-    odd = [F.contains("line", F.lit(c)) for c in "\t\x0b\x0c\r"]
-    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
-    words = F.array_remove(F.split(plain, " "), "")
+    words = F.array_remove(F.transform(F.split("line", " "), lambda x: F.xxhash64(x)), F.xxhash64(F.lit("")))
     return places.select(*keep, "at", F.explode(F.array(words)).alias("w")).where(F.size("w") >= least)
 
 
-def _hashed(lines: DataFrame, *keep: str) -> DataFrame:
-    """The lines with hashes for their words."""
-    return lines.select(*keep, "at", F.explode(F.array(F.transform("w", lambda x: F.xxhash64(x)))).alias("w"))
-
-
 def _halves(w: Column) -> Column:
     """Keys of the halves that a line shares with any line within one edit.
 
@@ -152,41 +152,73 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
-def _runs(w: Column, words_per_edit: int) -> Column:
-    """Keys with their places that lines share whenever they are within a bound of two or more edits.
+def _kept_classes(w: Column, words_per_edit: int) -> Column:
+    """Keys of which two lines within a bound of two or more edits have two or more in common.
 
-    k edits leave n - k of n >= k * words_per_edit words in at most k + 1 runs, the longest of
-    them at least ``window`` words. The upper bits of a key are the run's, the lower its place.
+    A key is the hash of a variant with the words of one class; the keys of small variants are even. The number of classes depends on
+    the shorter line, by steps of RATIO; so a line has keys for every step that a shorter line
+    within its bound can be in. Classes are made in two steps, groups and classes within them,
+    so that a line of n words takes n times the root of their number.
     """
-    window = ceil(2 * (words_per_edit - 1) / 3)
-    width = min(RUN_WORDS, window)
-    choice = window - width + 1  # words at which a run can begin in one window
-    low = (1 << PLACE_BITS) - 1
+    n = F.size(w)
+
+    def step(length: Column) -> Column:
+        return F.floor(F.log(length.cast("double")) / log(RATIO)).cast("int")
+
+    def dealt(c: Column) -> Column:
+        longest = F.ceil(F.pow(F.lit(RATIO), c + 1)) - 1
+        classes = 2 * F.floor(longest / words_per_edit) + 2
+        groups = F.ceil(F.sqrt(classes.cast("double"))).cast("long")
+        return F.struct(c.alias("step"), groups.alias("groups"), F.ceil(classes / groups).cast("long").alias("each"))
+
+    def upto(count: Column) -> Column:
+        return F.sequence(F.lit(0).cast("long"), count - 1)
+
+    def keys(s: Column) -> Column:
+        def told(group: Column, number: Column, kept: Column) -> Column:
+            large = F.when(F.size(kept) > SMALL, F.lit(1)).otherwise(F.lit(0)).cast("long")
+            return F.xxhash64(s["step"], group, number, kept).bitwiseAND(F.lit(-2)).bitwiseOR(large)
+
+        def of(group: Column) -> Column:
+            def key(part: Column, number: Column) -> Column:
+                kept = F.filter(part, lambda x: F.pmod(F.shiftright(x, 24), s["each"]) == number)
+                return F.transform(F.array(kept), lambda v: told(group, number, v))
 
-    def placed(h: Column, i: Column) -> Column:
-        return h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))
+            mine = F.filter(w, lambda x: F.pmod(x, s["groups"]) == group)
+            return F.flatten(F.flatten(F.transform(F.array(mine), lambda part: F.transform(upto(s["each"]), lambda i: key(part, i)))))
 
-    def chosen(p: Column) -> Column:
-        # One value twice, since least takes two or more.
-        begin = lambda i: F.least(F.get(p, i), *[F.get(p, i + j) for j in range(choice)])
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(p) - window), begin))
+        return F.flatten(F.transform(upto(s["groups"]), of))
 
-    def key(x: Column) -> Column:
-        i = x.bitwiseAND(F.lit(low)).cast("int")
-        return placed(F.xxhash64(*[F.get(w, i + k) for k in range(width)]), i)
+    shortest = F.greatest(n - F.floor(n / (words_per_edit + 1)).cast("int"), F.lit(2 * words_per_edit))
+    steps = F.transform(F.sequence(step(F.least(shortest, n)), step(n)), dealt)
+    return F.flatten(F.transform(steps, keys))
 
-    return F.transform(F.flatten(F.transform(F.array(F.transform(w, placed)), chosen)), key)
+
+def _sketch(w: Column) -> Column:
+    """64 bits, each the parity of some words: an edit turns two bits at most."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(w, F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
+
+
+def _letter(number: Column) -> Column:
+    """A code point for each number from 1, surrogates left out, as eight hexadecimal digits."""
+    return F.lpad(F.hex(F.when(number <= 0xD7FF, number).otherwise(number + 0x800).cast("long")), 8, "0")
+
+
+def _spelt(letters: Column) -> Column:
+    return F.decode(F.unhex(F.array_join(letters, "")), "UTF-32")
+
+
+def _letters(w: Column) -> Column:
+    """A text with a letter for each word; equal words have equal letters, and few others do."""
+    return _spelt(F.transform(w, lambda x: _letter(F.pmod(x, F.lit(0x10F000)) + 1)))
 
 
 def _edits(a: Column, b: Column, most: Column) -> Column:
     """Word edits between two arrays, -1 if more than ``most``: each distinct word as a letter."""
 
-    def letter(number: Column) -> Column:
-        """A code point for each number from 1, surrogates left out, as eight hexadecimal digits."""
-        return F.lpad(F.hex(F.when(number <= 0xD7FF, number).otherwise(number + 0x800).cast("long")), 8, "0")
-
     def told(numbers: Column) -> Column:
-        letters = lambda w: F.decode(F.unhex(F.array_join(F.transform(w, lambda x: letter(F.element_at(numbers, x))), "")), "UTF-32")
+        letters = lambda w: _spelt(F.transform(w, lambda x: _letter(F.element_at(numbers, x))))
         return F.call_function("levenshtein", letters(a), letters(b), most)
 
     words = F.array_distinct(F.concat(a, b))
@@ -197,27 +229,36 @@ def _edits(a: Column, b: Column, most: Column) -> Column:
 def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, words_per_edit: int) -> DataFrame:
     """``at`` of the lines that an earlier one is within a bound of two or more edits of.
 
-    ``words`` has their words, ``shared`` the keys (at, n, run, pos) that several lines have.
+    ``words`` has their words, ``shared`` the keys (key, at, n, sketch) that several lines have.
     """
     bound = F.floor(F.least("n", "fn") / words_per_edit).cast("int")
-
-    def verified(pairs: DataFrame, apart: Column) -> DataFrame:
-        able = pairs.where((F.col("fat") < F.col("at")) & (apart <= bound)).select("at", "n", "fat", "fn").distinct()
-        mine = words.select("at", F.col("w").alias("mine"))
-        theirs = words.select(F.col("at").alias("fat"), F.col("w").alias("theirs"))
-        both = able.join(mine, "at").join(theirs, "fat")
-        return both.where(_edits(F.col("mine"), F.col("theirs"), bound) >= 0).select("at").distinct()
-
-    longer = F.abs(F.col("n") - F.col("fn"))
-    least = shared.groupBy("run").agg(F.min(F.struct("at", "n")).alias("first"))
-    led = shared.join(least, "run").where("first.at < at")
-    led = scratch.stored(led.select("run", "at", "n", "pos", F.col("first.at").alias("fat"), F.col("first.n").alias("fn")))
-    settled = scratch.stored(verified(led, longer))
-    rest = led.join(settled, "at", "left_anti").select("run", "at", "n", "pos", F.col("fat").alias("head"))
-    # Words left equal by the edits are at most as many places apart as there are edits.
-    others = shared.select("run", F.col("at").alias("fat"), F.col("n").alias("fn"), F.col("pos").alias("fpos"))
-    aligned = F.when(F.greatest("n", "fn") < 1 << PLACE_BITS, F.abs(F.col("pos") - F.col("fpos"))).otherwise(0)
-    return settled.unionByName(verified(rest.join(others, "run").where("fat > head"), F.greatest(longer, aligned)))
+    other = [F.col(c).alias(f"f{c}") for c in ("at", "n", "sketch")]
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        able = (F.abs(F.col("n") - F.col("fn")) <= bound) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("fsketch"))) <= 2 * bound)
+        able = pairs.where((F.col("fat") < F.col("at")) & able).select("at", "n", "fat", "fn").distinct()
+
+        def joined(pairs: DataFrame, column: str) -> DataFrame:
+            mine = words.select("at", F.col(column).alias("mine"))
+            theirs = words.select(F.col("at").alias("fat"), F.col(column).alias("theirs"))
+            return pairs.join(mine, "at").join(theirs, "fat")
+
+        # Letters that two words share can only bring lines nearer to one another.
+        near = joined(able, "letters").where(F.call_function("levenshtein", "mine", "theirs", bound) >= 0)
+        near = joined(near.select("at", "n", "fat", "fn"), "w")
+        return near.where(_edits(F.col("mine"), F.col("theirs"), bound) >= 0).select("at").distinct()
+
+    least = shared.groupBy("key").agg(F.min(F.struct("at", "n", "sketch")).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    first = [F.col(f"first.{c}").alias(f"f{c}") for c in ("at", "n", "sketch")]
+    led = scratch.stored(shared.join(least, "key").select("key", "at", "n", "sketch", "members", *first))
+    settled = scratch.stored(verified(led))
+    several = led.where("members > 2").select("key", "at", "n", "sketch")
+    # A small variant doesn't count alone: lines without a larger one in common have two of them.
+    large, small = F.col("key").bitwiseAND(F.lit(1)) == 1, several.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
+    two = small.join(small.select("at", F.col("key").alias("more")), "at").where("key < more")
+    index = several.where(large).unionByName(two.select(F.xxhash64("key", "more").alias("key"), "at", "n", "sketch"))
+    open_ = index.join(settled, "at", "left_anti")
+    return settled.unionByName(verified(open_.join(index.select("key", *other), "key")))
 
 
 def repeated_lines(
@@ -238,15 +279,15 @@ def repeated_lines(
         raise ValueError("words_per_edit must be 2 or more")
     least = max(1, least_words)
     several = max(2 * words_per_edit, least_near_words) if words_per_edit else None
-    found = _hashed(_worded(_places(rows, key), least))
-    n = F.size("w")
+    found = _worded(_places(rows, key), least)
+    n, w = F.size("w"), F.col("w")
+    far = [F.when(n >= several, _sketch(w)).alias("sketch"), F.when(n >= several, _kept_classes(w, words_per_edit)).alias("kept")] if several else []
     small = scratch.stored(found.select(
         "at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), F.when(n >= least_near_words, n).alias("words"),
-        F.when(n.between(least_near_words, several) if several else n >= least_near_words, _halves(F.col("w"))).alias("halves"),
-        *([F.when(n >= several, _runs(F.col("w"), words_per_edit)).alias("runs")] if several else []),
+        F.when(n.between(least_near_words, several) if several else n >= least_near_words, _halves(w)).alias("halves"), *far,
     ))
     first = scratch.stored(small.groupBy("h", "g").agg(
-        F.min("at").alias("at"), *[F.first(c).alias(c) for c in ("words", "halves", "runs") if c in small.columns], F.count(F.lit(1)).alias("n")
+        F.min("at").alias("at"), F.first("words").alias("words"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n")
     ))
     near = first.where("halves is not null").select("at", F.posexplode("halves").alias("i", "half"))
     near = near.select("at", "half", F.floor(F.col("i") / 2).alias("longer"), (F.col("i") % 2).alias("side"))
@@ -259,17 +300,24 @@ def repeated_lines(
     )
     open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
     if several:
-        runs = first.where("runs is not null").select("at", F.col("words").alias("n"), F.explode("runs").alias("k"))
-        runs = runs.select("at", "n", F.shiftright("k", PLACE_BITS).alias("run"), F.col("k").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("pos"))
-        common = runs.groupBy("run").count().where("count > 1").select("run")
-        runs = scratch.stored(runs.join(common, "run"))
-        open_ends = open_ends.unionByName(runs.select("at", F.lit("R").alias("need")).distinct())
+        lines = small.where("kept is not null")
+        keys = lines.select("h", F.explode("kept").alias("key"))
+        common = scratch.stored(keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key"))
+        few = common.limit(4 * MOST_BROADCAST + 1).count() <= 4 * MOST_BROADCAST
+        keys = lines.select("h", "g", "at", "words", "sketch", F.explode("kept").alias("key")).join(F.broadcast(common) if few else common, "key")
+        far_keys = scratch.stored(keys.groupBy("key", "h", "g").agg(
+            F.min("at").alias("at"), F.first("words").alias("n"), F.first("sketch").alias("sketch")
+        ).drop("h", "g"))
+        open_ends = open_ends.unionByName(far_keys.groupBy("at").count().where("count > 1").select("at", F.lit("R").alias("need")))
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     places = _places(rows, key)
-    wanted = _hashed(_worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs"), "needs")
+    wanted = _worded(places.join(F.broadcast(maybe) if few else maybe, "at"), least, "needs")
     # A row that is given several times puts its lines in one place.
-    words = scratch.stored(wanted.dropDuplicates(["at"]))
+    wanted = wanted.dropDuplicates(["at"])
+    if several:
+        wanted = wanted.withColumn("letters", F.when(F.array_contains("needs", "R"), _letters(F.col("w"))))
+    words = scratch.stored(wanted)
 
     keys = words.where("size(array_remove(needs, 'R')) > 0").select("at", F.explode(_variants(F.col("w"), F.col("needs"))).alias("v")).select("at", "v.role", "v.key")
     role = lambda r: F.min(F.when(F.col("role") == r, F.col("at")))
@@ -283,7 +331,7 @@ def repeated_lines(
     edited = pairs.join(mine, "at").join(theirs, "fat").where(_within_one_edit(F.col("mine"), F.col("theirs")))
     gone = edited.select("at")
     if several:
-        gone = gone.unionByName(_far_edited(words.where("array_contains(needs, 'R')"), runs, scratch, words_per_edit))
+        gone = gone.unionByName(_far_edited(words.where("array_contains(needs, 'R')"), far_keys, scratch, words_per_edit))
     gone = gone.distinct().withColumn("near", F.lit(True))
 
     # A line goes if it isn't the first of its equals, or if they all go for an earlier near one.
