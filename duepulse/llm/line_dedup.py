@@ -20,14 +20,14 @@ word and adds one, and so changes two variants at most: lines within the bound h
 variants in common, wherever the edits are and however far words move. A variant has words from
 all over the line, so lines that only share a passage have none in common. Lines are first
 verified against the earliest line of each of their keys; those that stay, against the earlier
-lines of their keys, where of small variants two have to agree.
+lines of their rarer keys. With as many keys as near lines must share, frequent ones aren't needed.
 """
 
 from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tables
@@ -40,8 +40,6 @@ LEAST_NEAR_WORDS = 4
 WORDS_PER_EDIT = 16
 #: Ratio of the lengths at which one number of classes of words gives way to the next.
 RATIO = 1.25
-#: Variants of so many words or fewer are small: unlike lines share them, so two of them have to agree.
-SMALL = 3
 #: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
 MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
@@ -152,48 +150,62 @@ def _within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), changed).otherwise((long - short == 1) & (front + back >= short))
 
 
+def _step(length: Column) -> Column:
+    """Which number of classes a line has whose shorter partner has this length."""
+    return F.floor(F.log(length.cast("double")) / log(RATIO)).cast("int")
+
+
+def _classes(step: Column, words_per_edit: int) -> tuple[Column, Column, Column]:
+    """Edits that the longest line of a step may have; groups of classes and classes of each."""
+    most = F.floor((F.ceil(F.pow(F.lit(RATIO), step + 1)) - 1) / words_per_edit)
+    groups = F.ceil(F.sqrt((2 * most + 2).cast("double"))).cast("long")
+    return most, groups, F.ceil((2 * most + 2) / groups).cast("long")
+
+
 def _kept_classes(w: Column, words_per_edit: int) -> Column:
-    """Keys of which two lines within a bound of two or more edits have two or more in common.
+    """Keys of which two lines within a bound of two or more edits have several in common.
 
-    A key is the hash of a variant with the words of one class; the keys of small variants are even. The number of classes depends on
+    A key is the hash of a variant with the words of one class. The number of classes depends on
     the shorter line, by steps of RATIO; so a line has keys for every step that a shorter line
-    within its bound can be in. Classes are made in two steps, groups and classes within them,
-    so that a line of n words takes n times the root of their number.
+    within its bound can be in. The two lower bits of a key tell the step. Classes are made in
+    two stages, groups and classes within them, so that a line of n words takes n times the root
+    of their number.
     """
     n = F.size(w)
 
-    def step(length: Column) -> Column:
-        return F.floor(F.log(length.cast("double")) / log(RATIO)).cast("int")
-
-    def dealt(c: Column) -> Column:
-        longest = F.ceil(F.pow(F.lit(RATIO), c + 1)) - 1
-        classes = 2 * F.floor(longest / words_per_edit) + 2
-        groups = F.ceil(F.sqrt(classes.cast("double"))).cast("long")
-        return F.struct(c.alias("step"), groups.alias("groups"), F.ceil(classes / groups).cast("long").alias("each"))
+    def dealt(step: Column) -> Column:
+        _, groups, each = _classes(step, words_per_edit)
+        return F.struct(step.alias("step"), groups.alias("groups"), each.alias("each"))
 
     def upto(count: Column) -> Column:
         return F.sequence(F.lit(0).cast("long"), count - 1)
 
     def keys(s: Column) -> Column:
-        def told(group: Column, number: Column, kept: Column) -> Column:
-            large = F.when(F.size(kept) > SMALL, F.lit(1)).otherwise(F.lit(0)).cast("long")
-            return F.xxhash64(s["step"], group, number, kept).bitwiseAND(F.lit(-2)).bitwiseOR(large)
-
         def of(group: Column) -> Column:
             def key(part: Column, number: Column) -> Column:
                 kept = F.filter(part, lambda x: F.pmod(F.shiftright(x, 24), s["each"]) == number)
-                return F.transform(F.array(kept), lambda v: told(group, number, v))
+                return F.xxhash64(s["step"], group, number, kept).bitwiseAND(F.lit(-4)).bitwiseOR(s["step"].cast("long").bitwiseAND(F.lit(3)))
 
             mine = F.filter(w, lambda x: F.pmod(x, s["groups"]) == group)
-            return F.flatten(F.flatten(F.transform(F.array(mine), lambda part: F.transform(upto(s["each"]), lambda i: key(part, i)))))
+            return F.flatten(F.transform(F.array(mine), lambda part: F.transform(upto(s["each"]), lambda i: key(part, i))))
 
         return F.flatten(F.transform(upto(s["groups"]), of))
 
     shortest = F.greatest(n - F.floor(n / (words_per_edit + 1)).cast("int"), F.lit(2 * words_per_edit))
-    steps = F.transform(F.sequence(step(F.least(shortest, n)), step(n)), dealt)
+    steps = F.transform(F.sequence(_step(F.least(shortest, n)), _step(n)), dealt)
     return F.flatten(F.transform(steps, keys))
 
 
+def _common(key: Column, n: Column, words_per_edit: int) -> Column:
+    """Keys of the key's step, at least, that a line of n words shares with any line within its bound.
+
+    Each edit turns two keys at most.
+    """
+    step = _step(n) - F.pmod(_step(n) - key.bitwiseAND(F.lit(3)).cast("int"), F.lit(4))
+    most, groups, each = _classes(step, words_per_edit)
+    return groups * each - 2 * F.least(F.floor(n / words_per_edit), most)
+
+
 def _sketch(w: Column) -> Column:
     """64 bits, each the parity of some words: an edit turns two bits at most."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
@@ -252,11 +264,13 @@ def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, wo
     first = [F.col(f"first.{c}").alias(f"f{c}") for c in ("at", "n", "sketch")]
     led = scratch.stored(shared.join(least, "key").select("key", "at", "n", "sketch", "members", *first))
     settled = scratch.stored(verified(led))
-    several = led.where("members > 2").select("key", "at", "n", "sketch")
-    # A small variant doesn't count alone: lines without a larger one in common have two of them.
-    large, small = F.col("key").bitwiseAND(F.lit(1)) == 1, several.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
-    two = small.join(small.select("at", F.col("key").alias("more")), "at").where("key < more")
-    index = several.where(large).unionByName(two.select(F.xxhash64("key", "more").alias("key"), "at", "n", "sketch"))
+    # Near lines have a key in common that isn't among the most frequent of either: of all they
+    # share, the rarest. Keys that no other line has are rarer still.
+    mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(3)))
+    place = F.row_number().over(mine.orderBy("members", "key"))
+    ranked = led.withColumn("place", place).withColumn("have", F.count(F.lit(1)).over(mine))
+    rarer = ranked.where(F.col("place") <= F.col("have") - _common(F.col("key"), F.col("n"), words_per_edit) + 1)
+    index = scratch.stored(rarer.where("members > 2").select("key", "at", "n", "sketch"))
     open_ = index.join(settled, "at", "left_anti")
     return settled.unionByName(verified(open_.join(index.select("key", *other), "key")))
 
@@ -305,10 +319,11 @@ def repeated_lines(
         common = scratch.stored(keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key"))
         few = common.limit(4 * MOST_BROADCAST + 1).count() <= 4 * MOST_BROADCAST
         keys = lines.select("h", "g", "at", "words", "sketch", F.explode("kept").alias("key")).join(F.broadcast(common) if few else common, "key")
-        far_keys = scratch.stored(keys.groupBy("key", "h", "g").agg(
-            F.min("at").alias("at"), F.first("words").alias("n"), F.first("sketch").alias("sketch")
-        ).drop("h", "g"))
-        open_ends = open_ends.unionByName(far_keys.groupBy("at").count().where("count > 1").select("at", F.lit("R").alias("need")))
+        keys = keys.groupBy("key", "h", "g").agg(F.min("at").alias("at"), F.first("words").alias("n"), F.first("sketch").alias("sketch"))
+        mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(3)))
+        keys = keys.select("key", "at", "n", "sketch", F.count(F.lit(1)).over(mine).alias("have"))
+        far_keys = scratch.stored(keys.where(F.col("have") >= _common(F.col("key"), F.col("n"), words_per_edit)).drop("have"))
+        open_ends = open_ends.unionByName(far_keys.select("at", F.lit("R").alias("need")).distinct())
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
     few = maybe.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     places = _places(rows, key)
