@@ -1,14 +1,18 @@
-"""A full run: extract, aggregate and report into Parquet tables.
+"""A full run: extract, aggregate and report into versioned Parquet tables.
 
 Every step reads tables the earlier steps wrote, so no lineage spans steps
-and a lost executor costs the running step's tasks only.
+and a lost executor costs the running step's tasks only. A table changes in one
+step once a write is whole. Each run and its writes are on record, so that a run
+that died is told from a finished one, and taken up where it stopped.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,8 +30,9 @@ from duepulse.operators.extract import (
 from duepulse.operators import loan_days, rollup
 from duepulse.operators.scope import IVR_CHANNEL, MESSAGE_CHANNELS, Scope
 from duepulse.plans import reports
-from duepulse.sources.readers import conformed, read_staged
-from duepulse.sources.writers import Covered, Loaded, encoded, encoded_value, replace_covered
+from duepulse.sources.readers import conformed
+from duepulse.sources.versions import EVERYWHERE, Region, VersionedTable
+from duepulse.sources.writers import Loaded, encoded, encoded_value, save_mode
 
 
 @dataclass(frozen=True)
@@ -52,16 +57,9 @@ class Table:
     parts: tuple[str, ...]
     schema: StructType | None
 
-    def stored_schema(self) -> StructType | None:
-        if self.schema is None:
-            return None
-        schema = StructType(list(self.schema.fields))
-        for part in self.parts:
-            schema = schema.add(part, PARTS[part][0])
-        return schema
-
-    def path(self, root: str) -> str:
-        return f"{root.rstrip('/')}/{self.name}"
+    def at(self, spark: SparkSession, root: str) -> VersionedTable:
+        parts = tuple((part, PARTS[part][0]) for part in self.parts)
+        return VersionedTable(spark, f"{root.rstrip('/')}/{self.name}", parts, self.schema)
 
 
 # Folder levels: type and definition.
@@ -107,24 +105,60 @@ TABLES = (
 )
 
 
+#: All tables that a run writes, in their order.
+WRITTEN = (*TABLES[:7], LOAN_HOURS, *TABLES[7:])
+_RUNS = "_runs"
+
+
 @dataclass(frozen=True)
 class Run:
-    """Tables under ``root`` for the companies, days and month of a run."""
+    """Tables under ``root`` for the companies, days and month of a run.
+
+    ``if_exists`` says what becomes of rows that are there for what the run covers: replaced
+    (so a second run changes nothing), kept beside the new ones (append), or a reason to refuse
+    (fail). A run that is resumed leaves out the tables that it wrote already.
+    """
 
     spark: SparkSession
     root: str
     scope: Scope
     allocation_month: str | None = None
+    if_exists: str = "replace"
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    resumed: bool = False
 
     def __post_init__(self) -> None:
         session.require(self.spark)
-
-    def _stored(self, table: Table) -> DataFrame:
-        return read_staged(self.spark, table.path(self.root), table.stored_schema())
+        save_mode(self.if_exists)
+
+    @classmethod
+    def resume(cls, spark: SparkSession, root: str, run_id: str) -> Run:
+        """The run of this id, as it was begun under ``root``."""
+        told = next((r for r in _begun(spark, root) if r["run_id"] == run_id), None)
+        if told is None:
+            raise ValueError(f"no run {run_id} was begun under {root}")
+        scope = Scope(told["company_id"], told["first_day"], told["last_day"])
+        return cls(spark, root, scope, told["allocation_month"], told["if_exists"], run_id, resumed=True)
+
+    def begin(self) -> None:
+        """Puts the run on record before it writes anything."""
+        told = {
+            "run_id": self.run_id, "company_id": self.scope.company_id, "first_day": self.scope.start,
+            "last_day": self.scope.end, "allocation_month": self.allocation_month, "if_exists": self.if_exists,
+        }
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{_RUNS}/{self.run_id}.json")
+        stream = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            stream.write(bytearray(json.dumps(told).encode()))
+        finally:
+            stream.close()
+
+    def _at(self, table: Table) -> VersionedTable:
+        return table.at(self.spark, self.root)
 
     def read(self, table: Table) -> DataFrame:
         """The whole table as it was declared, all runs included."""
-        stored = self._stored(table)
+        stored = self._at(table).read()
         if table.schema is None:
             return stored.drop(*table.parts)
         rows = stored.select(*table.schema.names)
@@ -132,37 +166,37 @@ class Run:
 
     def read_days(self, table: Table, part: str | None = None, every_company: bool = False) -> DataFrame:
         """The days of this run, and its company, picked by folder."""
-        rows = self._stored(table).where(self.scope.days(F.col(part or table.parts[0])))
+        part = part or table.parts[0]
+        region = self._days(every_company) if part == table.parts[0] else EVERYWHERE
+        rows = self._at(table).read(region).where(self.scope.days(F.col(part)))
         if self.scope.company_id is not None and not every_company:
             rows = rows.where(F.col("part_company") == encoded_value(self.scope.company_id))
         return rows.select(*table.schema.names)
 
-    def write(self, table: Table, rows: DataFrame, covered: Covered) -> Loaded:
+    def write(self, table: Table, rows: DataFrame, region: Region) -> Loaded:
+        stored = self._at(table)
+        if self.resumed and (before := stored.write_of(self.run_id)):
+            return before.loaded()
         parts = {name: PARTS[name][1]() for name in table.parts}
         named = {}
         if table is MSG_DATA:  # whether messages came is told for each channel
             named = {channel: F.lower("type_of_comm") == channel for channel in MESSAGE_CHANNELS}
-        return replace_covered(rows, table.path(self.root), parts, covered, **named)
+        # Tables that only later steps of the run read are its own to replace.
+        mode = "replace" if table is LOAN_HOURS else self.if_exists
+        return stored.replace(rows, parts, region, self.run_id, mode, **named)
 
     def _company(self) -> str | None:
         company = self.scope.company_id
         return None if company is None else encoded_value(company)
 
-    def _days(self, every_company: bool = False) -> Covered:
-        scope = self.scope
-        if scope.start is None and scope.end is None:
-            first = None
-        else:
-            def first(day: str) -> bool:
-                return (scope.start or "") <= day <= (scope.end or "9999-12-31")
-        return Covered(first, None if every_company else self._company())
-
-    def _month(self) -> Covered:
-        month = self.allocation_month
-        wanted = None if month is None else (lambda value: value == encoded_value(month))
-        return Covered(wanted, self._company())
-
-    def _write_all(self, steps: list[tuple[Table, DataFrame, Covered]]) -> dict[str, Loaded]:
+    def _days(self, every_company: bool = False) -> Region:
+        return Region(self.scope.start, self.scope.end, None if every_company else self._company())
+
+    def _month(self) -> Region:
+        month = None if self.allocation_month is None else encoded_value(self.allocation_month)
+        return Region(month, month, self._company())
+
+    def _write_all(self, steps: list[tuple[Table, DataFrame, Region]]) -> dict[str, Loaded]:
         """Independent tables at the same time, so that one's last tasks leave no core idle."""
         with ThreadPoolExecutor(len(steps)) as pool:
             write = inheritable_thread_target(self.spark)(self.write)
@@ -221,8 +255,47 @@ class Run:
         )
 
     def all(self, sources: Sources, bad_durations: str = "fail") -> dict[str, Loaded]:
+        if not self.resumed:
+            self.begin()
         return {
             **self.extract(sources),
             **self.aggregate(bad_durations),
             **self.report(sources.click_data),
         }
+
+
+def _begun(spark: SparkSession, root: str) -> list[dict]:
+    """What the runs that were begun under ``root`` put on record."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{_RUNS}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    told = []
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        stream = files.open(status.getPath())
+        try:
+            told.append(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+    return told
+
+
+LEDGER = (
+    "run_id string, company_id string, first_day string, last_day string, allocation_month string, if_exists string, "
+    "finished boolean, table_name string, written boolean, table_rows long, by_channel map<string, long>"
+)
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """A row for each run under ``root`` and table it writes: whether it wrote it, and what came.
+
+    ``finished`` says whether the run wrote all its tables. Rows are those of the write, whether or
+    not a later run replaced them. The records are one for each run and table, not for their rows.
+    """
+    writes = {(w.run, t.name): w for t in WRITTEN for w in t.at(spark, root).history()}
+    rows = []
+    for told in _begun(spark, root):
+        of = [writes.get((told["run_id"], t.name)) for t in WRITTEN]
+        for table, write in zip(WRITTEN, of, strict=True):
+            done = (True, write.rows, dict(write.by_name)) if write else (False, None, None)
+            rows.append((*(told[k] for k in ("run_id", "company_id", "first_day", "last_day", "allocation_month", "if_exists")),
+                         all(of), table.name, *done))
+    return spark.createDataFrame(rows, LEDGER)

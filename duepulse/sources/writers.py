@@ -117,8 +117,9 @@ def replace_covered(
 
     ``parts`` are the folder levels, as columns beside the table's own, which stay in the files as
     they are. All rows must lie in the covered part. It is removed, then the rows are appended: one
-    job whatever the number of partitions, and nothing about them is gathered on the driver. A run
-    that dies half-way is repaired by repeating it.
+    job whatever the number of partitions, and nothing about them is gathered on the driver. This
+    is for plain folders that other programs read; a run that dies half-way leaves the covered part
+    empty until it is repeated. :class:`duepulse.sources.versions.VersionedTable` replaces in one step.
 
     A rebalance brings the rows of a partition together and cuts them into several files where
     they are many. ``named`` conditions are counted along.
