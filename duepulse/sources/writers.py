@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -59,8 +59,8 @@ def write_database(
 ) -> Loaded:
     """Into a database table over ``connections`` connections.
 
-    The shuffle before keeps the work behind the rows on all cores. A retried task inserts its rows again, so load a staging table and move
-    it over inside the database where that matters.
+    The shuffle before keeps the work behind the rows on all cores. A retried task inserts its rows
+    again: :func:`duepulse.sources.loads.load_database` doesn't.
     """
     counted, seen = _counted(rows.repartition(connections))
     counted.write.jdbc(
@@ -130,3 +130,20 @@ def replace_covered(
     counted.write.mode("append").partitionBy(*parts).parquet(path)
     counts = dict(seen.get)
     return Loaded(counts.pop("rows"), counts)
+
+
+def write_clustered(rows: DataFrame, path: str, by: Sequence[str], if_exists: str = "append", files: int | None = None) -> Loaded:
+    """Parquet files that hold ranges of the columns ``by``, sorted, with Bloom filters on them.
+
+    A scan for one value then skips files and row groups by their smallest and largest values, and
+    those that have the value in their range but not in them by the filter. The ranges come from a
+    sample; a value with very many rows is spread over files where a further column parts it.
+    """
+    columns = [F.col(c) for c in by]
+    even = rows.repartitionByRange(files, *columns) if files else rows.repartitionByRange(*columns)
+    counted, seen = _counted(even.sortWithinPartitions(*columns))
+    writer = counted.write.mode(save_mode(if_exists))
+    for c in by[:1]:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+    return Loaded(seen.get["rows"])
