@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +15,7 @@ from . import samples, subwords, tables
 
 SETTINGS = em.Settings(widths=(2, 3), lower=True, dim=16, epochs=4)
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def identify_language(
@@ -31,15 +31,18 @@ def identify_language(
     at most ``accepted_error`` wrong; a user who wants no doubtful languages drops those.
 
     Null text or no letter: ``und``, score 0, rejected. Nothing to learn from: the same for all.
-    Null doc_id: predicted, never learned from. Extra columns are ignored.
+    Null doc_id: predicted, never learned from. Rows of one id are chosen together, each with its
+    own language. A letter is what Unicode calls one. Extra columns are ignored.
     """
     known = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).where(~tables.held_out(F.col("doc_id")))
-    chosen = samples.bounded(known.select("doc_id", "lang"), "doc_id", most_labelled, by="lang")
-    names = sorted(r[0] for r in chosen.select("lang").distinct().collect())
-    code = F.lit(-1)
+    chosen = samples.thinned(known.select("doc_id", "lang", "text"), "doc_id", most_labelled, by="lang")
+    names = sorted(r[0] for r in chosen.select("lang").distinct().orderBy("lang").limit(most_labelled).collect())
+    code = F.lit(None).cast("long")
     for i, name in enumerate(names):
         code = F.when(F.col("lang") == name, i).otherwise(code)
-    sample = samples.gather(documents, chosen.withColumn("y", code), "doc_id", "y", settings.buckets, settings.widths, settings.lower, settings.pairs)
+    # The text comes with its row's language: rows that share an id stay apart.
+    rows = chosen.select(F.col("doc_id").alias("k"), F.col("text").alias("t"), code.alias("y")).where("y is not null")
+    sample = samples.gathered(rows, most_labelled, settings.buckets, settings.widths, settings.lower, settings.pairs)
     if not len(sample):
         table, least, model = np.zeros((settings.buckets, 1), np.float32), 2.0, None
     else:

@@ -32,7 +32,7 @@ def score_quality(
     """
     rows = labels.select("doc_id", "quality").where("quality in (0, 1)").where(~tables.held_out(F.col("doc_id"))).where("doc_id is not null")
     chosen = samples.bounded(rows, "doc_id", most_labelled)
-    sample = samples.gather(documents, chosen, "doc_id", "quality", settings.buckets, settings.widths, settings.lower, settings.pairs)
+    sample = samples.gather(documents, chosen, "doc_id", "quality", most_labelled, settings.buckets, settings.widths, settings.lower, settings.pairs)
     if len(sample) and len(np.unique(sample.labels)) == 2:
         model, _, _ = em.train(sample, settings)
         table = (model.table[:, 1] - model.table[:, 0])[:, None].astype(np.float32) / model.temperature

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords, tables
@@ -26,28 +26,48 @@ class Sample:
         return len(self.labels)
 
 
-def bounded(rows: DataFrame, key: str, most: int, by: str | None = None) -> DataFrame:
-    """At most ``most`` rows, those with the smallest hash of the key.
+def _place(key: str | Column) -> Column:
+    """Where a key stands between 0 and 1, by its hash."""
+    return F.xxhash64(F.lit(17), F.col(key) if isinstance(key, str) else key).cast("double") / 2.0**64 + 0.5
+
+
+def thinned(rows: DataFrame, key: str, most: int, by: str | None = None) -> DataFrame:
+    """About ``most`` rows, those with the smallest hash of the key; rows of one key stay together.
 
     With ``by``, each of its values gets an equal share, so rare classes are all taken. The
-    shares are cut by a hash threshold computed from counts: no sort and no window sees more
-    than the sample.
+    shares are cut by a hash threshold computed from counts, without a sort or a window.
     """
     classes = rows.groupBy(by).count().collect() if by else [(None, rows.count())]
-    share = most // max(1, len(classes))
-    place = F.xxhash64(F.lit(17), F.col(key)).cast("double") / 2.0**64 + 0.5
+    share = max(1, most // max(1, len(classes)))
+    place = _place(key)
     cut = F.lit(0.0)
     for value, count in classes:
         part = F.lit(min(1.0, share / max(1, count)))
         cut = F.when(F.col(by) == value, part).otherwise(cut) if by else part
-    return rows.where(place < cut).orderBy(place, F.col(key)).limit(most)
+    return rows.where(place < cut)
+
+
+def bounded(rows: DataFrame, key: str, most: int, by: str | None = None) -> DataFrame:
+    """At most ``most`` of the :func:`thinned` rows, by the hash of the key."""
+    return thinned(rows, key, most, by).orderBy(_place(key), F.col(key)).limit(most)
 
 
 def gather(
-    documents: DataFrame, chosen: DataFrame, key: str, label: str,
+    documents: DataFrame, chosen: DataFrame, key: str, label: str, most: int,
     buckets: int, widths: tuple[int, ...], lower: bool, pairs: bool = False,
 ) -> Sample:
-    """Features of the chosen rows' whole texts. ``chosen`` is a bounded sample (key, label)."""
+    """Features of the chosen rows' whole texts. ``chosen`` is a bounded sample (key, label).
+
+    An id that several documents or labels have comes with each pair of them, all in all at
+    most ``most`` rows.
+    """
+    texts = documents.select(F.col(key).cast("long").alias("k"), F.col("text").alias("t"))
+    labelled = F.broadcast(chosen.select(F.col(key).cast("long").alias("k"), F.col(label).cast("long").alias("y")))
+    return gathered(texts.join(labelled, "k").select("k", "t", "y"), most, buckets, widths, lower, pairs)
+
+
+def gathered(rows: DataFrame, most: int, buckets: int, widths: tuple[int, ...], lower: bool, pairs: bool = False) -> Sample:
+    """Features of at most ``most`` rows (k, t, y: id, text, label), those with the smallest hash of id and features."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in tables.slices(batches):
@@ -61,12 +81,9 @@ def gather(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["k", "y", "b", "n"]
             )
 
-    texts = documents.select(F.col(key).cast("long").alias("k"), F.col("text").alias("t"))
-    labelled = F.broadcast(chosen.select(F.col(key).cast("long").alias("k"), F.col(label).cast("long").alias("y")))
-    got = (
-        texts.join(labelled, "k").select("k", "t", "y")
-        .mapInArrow(hashed, "k long, y long, b binary, n binary").toArrow().sort_by([("k", "ascending"), ("y", "ascending")])
-    )
+    made = rows.select(F.col("k").cast("long"), "t", F.col("y").cast("long")).mapInArrow(hashed, "k long, y long, b binary, n binary")
+    got = made.orderBy(_place("k"), F.xxhash64("b", "n"), "y").limit(most).toArrow()
+    got = got.sort_by([("k", "ascending"), ("y", "ascending")])
     blob = lambda name: [np.frombuffer(x, dtype="<i4") for x in got[name].to_pylist()]
     return Sample(
         blob("b"), blob("n"), np.array(got["y"].to_pylist(), dtype=np.int64), np.array(got["k"].to_pylist(), dtype=np.int64)

@@ -140,7 +140,7 @@ def with_severity(
     shares = dict(usable.groupBy("toxic").count().collect())
     s = settings
     chosen = samples.bounded(usable, "doc_id", most_labelled, by="toxic")
-    sample = samples.gather(documents, chosen, "doc_id", "toxic", s.buckets, s.widths, True)
+    sample = samples.gather(documents, chosen, "doc_id", "toxic", most_labelled, s.buckets, s.widths, True)
     if len(sample) and len(np.unique(sample.labels)) == 2:
         had = np.bincount(sample.labels, minlength=2)
         model = fit(sample, grades(sample, s), np.array([shares[y] / had[y] for y in sample.labels]), s)

@@ -89,14 +89,16 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
 
     A vector that is null, empty, zero, or holds a null or non-finite component links with nothing;
     so does one with a null label or of another dimension. Null vec_id: n_links 0, component null,
-    kept. Equal vectors link, and each counts. Rows that share a vec_id are vectors of their own
-    that share a component. Extra columns are ignored; no rows give no rows.
+    kept. Equal vectors link, and each counts. Rows that share a vec_id are vectors of their own,
+    each with its own n_links, that share a component. Extra columns are ignored; no rows give no rows.
     """
     radius = float(np.sqrt(2 - 2 * least_cosine))
     scratch = tables.Scratch(embeddings.sparkSession)
     units = scratch.stored(_units(embeddings))
     usable = units.where("unit is not null")
-    classes = scratch.stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")))
+    # Equal vectors of a label are one class, with a number that no other has.
+    classes = usable.groupBy("label", "unit").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("m"))
+    classes = scratch.stored(classes.withColumn("rep", F.monotonically_increasing_id()))
     context = embeddings.sparkSession.sparkContext
     pivots = context.broadcast(_pivots(classes))
 
@@ -142,10 +144,13 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
     found = _blocked(visits).repartition("block").sortWithinPartitions("block").mapInArrow(_paired(least_cosine), "a long, b long, n long")
     found = scratch.stored(found)
     counted = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    joined = components(found.where("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "component")
-    known = classes.join(counted, "rep", "left").join(joined, "rep", "left").select(
+    links = found.where("b is not null").select("a", "b")
+    joined = components(links.unionByName(_of_one_id(usable, classes, scratch))).select(F.col("node").alias("rep"), "component")
+    named = classes.join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    names = named.groupBy("component").agg(F.min("least_id").alias("name"))
+    known = named.join(counted, "rep", "left").join(names, "component").select(
         F.col("label").alias("of_label"), F.col("unit").alias("of_unit"),
-        (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"),
+        (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.col("name").alias("component"),
     )
     on = (units.label == known.of_label) & (units.unit == known.of_unit)
     component = F.coalesce("component", "vec_id")
@@ -156,6 +161,17 @@ def find_near_vectors(embeddings: DataFrame, *, least_cosine: float = 0.93) -> D
     return scratch.settled(result)
 
 
+def _of_one_id(usable: DataFrame, classes: DataFrame, scratch: tables.Scratch) -> DataFrame:
+    """Edges (a, b) between classes that have vectors of one id."""
+    several = usable.groupBy("vec_id").agg(F.min(F.struct("label", "unit")).alias("one"), F.max(F.struct("label", "unit")).alias("other"))
+    several = scratch.stored(several.where("one <> other").select("vec_id"))
+    if several.isEmpty():
+        return classes.sparkSession.createDataFrame([], "a long, b long")
+    of = usable.join(several, "vec_id").join(classes.select("label", "unit", "rep"), ["label", "unit"]).select("vec_id", "rep").distinct()
+    least = of.groupBy("vec_id").agg(F.min("rep").alias("b"))
+    return of.join(least, "vec_id").where("rep <> b").select(F.col("rep").alias("a"), "b")
+
+
 def _blocked(visits: DataFrame) -> DataFrame:
     """Each row in every block pair of its cell that it is needed in.
 
