@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import tables
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Characters for which lower case, white space and normal form are those of Python's str.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ž]*")
 

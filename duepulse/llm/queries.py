@@ -33,7 +33,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 def ship(spark: SparkSession) -> None:
     """Python workers find the package where the driver found it, and get batches of bounded size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", root)
+    # Workers stay for later stages: what they free goes back to the system, not into pools of their own.
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_ARENA_MAX", "2")
+    environment.setdefault("MALLOC_MMAP_THRESHOLD_", "1048576")
+    environment.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
     # Documents are long: batches of 10000 rows, twice over in the JVM and in Python, are large.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 

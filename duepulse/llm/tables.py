@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import cache
 
 import pyarrow as pa
@@ -39,14 +40,51 @@ def _own_folder() -> str:
     return folder
 
 
+#: Tables and folders that this process has written and not removed, in their order.
+_made: list[str] = []
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Writes the rows to the shared folder and reads them again, which cuts the lineage."""
+    """Writes the rows to the shared folder and reads them again, which cuts the lineage.
+
+    The table goes when the process ends, or by :func:`remove_since`.
+    """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_all)
+    if not folder:
+        _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def made() -> int:
+    """How many tables this process has written so far, for :func:`remove_since`."""
+    return len(_made)
+
+
+def remove_since(spark: SparkSession, mark: int, but_last: int = 0) -> None:
+    """Removes the tables written since a call of :func:`made`, without the last ones."""
+    end = len(_made) - but_last
+    for folder in _made[mark:end]:
+        _remove(spark, folder)
+    del _made[mark:end]
+
+
+def _remove_all() -> None:
+    """As the process ends; a session that is stopped by then leaves its tables."""
+    spark = SparkSession.getActiveSession()
+    with suppress(Exception):
+        if spark and spark.sparkContext._jsc:
+            remove_since(spark, 0)
+
+
 class Scratch:
     """Written tables that are removed once a result made from them is written itself."""
 
@@ -64,8 +102,7 @@ class Scratch:
         return result
 
     def remove(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(self.spark, self.folder)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[pa.Array]]:
