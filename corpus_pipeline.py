@@ -84,10 +84,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed sequences of the documents in sf_dir."""
+    """The packed sequences of the documents in sf_dir.
+
+    A stage's tables, and the documents it read, go once its own documents are written.
+    """
     docs = tables.read(spark, sf_dir, "documents")
+    mark = tables.made()
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = tables.stored(docs)
+            tables.remove_since(spark, mark, but_last=1)
     return docs
