@@ -150,24 +150,35 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
-def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set the number of the first one that it is linked with, directly or through others."""
-    n, sizes = len(sets), np.array([len(x) for x in sets])
+def _count_common(sets: list[np.ndarray], overlap: np.ndarray) -> None:
+    """Adds to ``overlap`` how many values each two of the sets have in common."""
+    n = len(sets)
     values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = counts > 1
     column = (np.cumsum(shared) - 1)[inverse]
-    row = np.repeat(np.arange(n), sizes)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
     keep = shared[inverse]
     row, column = row[keep], column[keep]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    overlap = np.zeros((n, n), dtype=np.float32)
     width = max(64, (1 << 21) // n)
     for start in range(0, int(shared.sum()), width):
         at = slice(*np.searchsorted(column, (start, start + width)))
         part = np.zeros((n, min(width, int(shared.sum()) - start)), dtype=np.float32)
         part[row[at], column[at] - start] = 1
         overlap += part @ part.T
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the number of the first one that it is linked with, directly or through others."""
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    overlap = np.zeros((n, n), dtype=np.float32)
+    # The hash space in ranges, so that few shingles are numbered at once.
+    ranges = max(1, -(-int(sizes.sum()) // HELD_KEYS))
+    limits = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
+    cuts = np.stack([np.concatenate(([0], np.searchsorted(x, limits), [len(x)])) for x in sets])
+    for i in range(ranges):
+        _count_common([x[c[i] : c[i + 1]] for x, c in zip(sets, cuts, strict=True)], overlap)
     links = np.empty((n, n), dtype=bool)
     rows = [slice(i, i + 128) for i in range(0, n, 128)]  # few wide numbers at once
     for r in rows:
