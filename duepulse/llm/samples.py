@@ -67,7 +67,11 @@ def gather(
 
 
 def gathered(rows: DataFrame, most: int, buckets: int, widths: tuple[int, ...], lower: bool, pairs: bool = False) -> Sample:
-    """Features of at most ``most`` rows (k, t, y: id, text, label), those with the smallest hash of id and features."""
+    """Features of at most ``most`` rows (k, t, y: id, text, label).
+
+    More rows, as ids with many copies make them, are thinned by a hash of id and text before
+    they are gathered; of equal rows any will do.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in tables.slices(batches):
@@ -81,8 +85,14 @@ def gathered(rows: DataFrame, most: int, buckets: int, widths: tuple[int, ...],
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["k", "y", "b", "n"]
             )
 
-    made = rows.select(F.col("k").cast("long"), "t", F.col("y").cast("long")).mapInArrow(hashed, "k long, y long, b binary, n binary")
-    got = made.orderBy(_place("k"), F.xxhash64("b", "n"), "y").limit(most).toArrow()
+    rows = rows.select(F.col("k").cast("long"), "t", F.col("y").cast("long"))
+    count = rows.count()  # reads no text
+    if count > most:
+        rows = rows.where(_place(F.xxhash64("k", "t", "y")) < 1.5 * most / count)
+    made = rows.mapInArrow(hashed, "k long, y long, b binary, n binary")
+    got = (made.limit(2 * most) if count > most else made).toArrow()
+    if len(got) > most:
+        got = got.take(pa.array(np.random.default_rng(17).permutation(len(got))[:most]))
     got = got.sort_by([("k", "ascending"), ("y", "ascending")])
     blob = lambda name: [np.frombuffer(x, dtype="<i4") for x in got[name].to_pylist()]
     return Sample(
