@@ -204,15 +204,15 @@ def both_overview_days(aggregate: DataFrame, scope: Scope) -> DataFrame:
     return _overview(rows.withColumn("date", date).withColumn("made", made), "made", False)
 
 
-def loan_hours(rows: DataFrame) -> DataFrame:
-    """Sums and largest values of the raw measures per loan and hour, for every report at once."""
-    both = [pick(F.col(name)).alias(f"{name}_{how}") for name in RAW for how, pick in _COMBINE.items()]
-    return rows.groupBy(*_HOUR).agg(*both)
-
-
-def of_hours(hours: DataFrame, combine: str = "sum", by_hour: bool = False) -> DataFrame:
-    """Measures per loan and day (or hour) from ``loan_hours``."""
-    pick = _COMBINE[combine]
-    made = {name: pick(F.col(f"{name}_{combine}")) for name in MEASURES}
-    made["delivered"] = made["delivered"] - F.sum("errors_sum")
-    return _by_loan(hours, by_hour, made)
+def loan_levels(rows: DataFrame) -> DataFrame:
+    """Measures per loan and hour, and per loan and day, for every report at once.
+
+    One aggregate over raw rows by two sets of keys: ``by_hour`` tells which a row is of, since an
+    hour may be NULL itself. Each measure comes summed and as the largest value.
+    """
+    made = {f"{name}_{how}": pick(F.col(name)) for name in MEASURES for how, pick in _COMBINE.items()}
+    for how in _COMBINE:
+        made[f"delivered_{how}"] = made[f"delivered_{how}"] - F.sum("errors")
+    by_hour = (F.grouping("hours") == 0).alias("by_hour")
+    days = [key for key in _HOUR if key != "hours"]
+    return rows.groupingSets([list(_HOUR), days], *_HOUR).agg(by_hour, *[m.alias(name) for name, m in made.items()])

@@ -70,6 +70,15 @@ def response(
     )
 
 
+def response_sums(
+    levels: DataFrame, tag_data: DataFrame, click_data: DataFrame, scope: Scope = EVERYTHING
+) -> DataFrame:
+    """The sums of all three response reports from ``loan_levels``: tags are joined once."""
+    copies = tagging.tag_copies(scope.of_company(tag_data))
+    tags = tagging.with_clicks(copies, scope.of_company(click_data))
+    return rollup.response_sums(tagging.tagged(levels, tags, "left"), tagging.population_of_copies(copies))
+
+
 def _response(
     msg_agg: DataFrame | None,
     ivr_agg: DataFrame | None,

@@ -80,14 +80,14 @@ MSG_DATA = Table("msg_data", ("part_created", "part_company", "part_channel"), s
 IVR_DATA = Table("ivr_data", ("part_created", "part_company", "part_started"), schemas.IVR_DATA)
 MSG_AGG_DATA = Table("msg_agg_data", ("part_created", "part_company"), schemas.MSG_AGG_DATA)
 IVR_AGG_DATA = Table("ivr_agg_data", ("part_started", "part_company", "part_created"), schemas.IVR_AGG_DATA)
-# Loan measures by hour, which three reports are made from.
-LOAN_HOURS = Table("loan_hours", ("part_date", "part_company"), schemas.LOAN_HOURS)
 # One row per day a message or call was created, whatever the day it is reported under, so that
 # runs over overlapping days replace each other's.
 CHANNEL_AGG_OVERVIEW = Table(
     "channel_agg_overview", ("part_created_day", "part_company"), schemas.OVERVIEW_BY_CREATED_DAY
 )
 _DAILY = ("part_date", "part_company")
+# What three reports are made from.
+RESPONSE_SUMS = Table("response_sums", _DAILY, schemas.RESPONSE_SUMS)
 CHANNEL_CONNECTIVITY_RESPONSE = Table("channel_connectivity_response", _DAILY, schemas.CHANNEL_RESPONSE)
 DATEWISE_CHANNEL_RESPONSE = Table("datewise_channel_response", _DAILY, schemas.CHANNEL_RESPONSE)
 HOURWISE_CHANNEL_RESPONSE = Table("hourwise_channel_response", _DAILY, schemas.HOURWISE_CHANNEL_RESPONSE)
@@ -106,7 +106,7 @@ TABLES = (
 
 
 #: All tables that a run writes, in their order.
-WRITTEN = (*TABLES[:7], LOAN_HOURS, *TABLES[7:])
+WRITTEN = (*TABLES[:7], RESPONSE_SUMS, *TABLES[7:])
 _RUNS = "_runs"
 
 
@@ -182,7 +182,7 @@ class Run:
         if table is MSG_DATA:  # whether messages came is told for each channel
             named = {channel: F.lower("type_of_comm") == channel for channel in MESSAGE_CHANNELS}
         # Tables that only later steps of the run read are its own to replace.
-        mode = "replace" if table is LOAN_HOURS else self.if_exists
+        mode = "replace" if table is RESPONSE_SUMS else self.if_exists
         return stored.replace(rows, parts, region, self.run_id, mode, **named)
 
     def _company(self) -> str | None:
@@ -231,26 +231,25 @@ class Run:
         )
 
     def report(self, click_data: DataFrame) -> dict[str, Loaded]:
-        """The overview from the aggregates; the other three from one table of loan hours."""
+        """The overview from the aggregates; the other three from one table of sums."""
         click_data = conformed(click_data, schemas.CLICK_DATA)
         scope, tags = self.scope, self.read(TAG_DATA)
         messages, calls = self.read_days(MSG_AGG_DATA), self.read_days(IVR_AGG_DATA)
         # The overview picks calls by the day they were created.
         created = self.read_days(IVR_AGG_DATA, "part_created")
         overview = reports.channel_overview(messages, created, tags, scope, by_created_day=True)
-        hours = loan_days.loan_hours(
+        levels = loan_days.loan_levels(
             loan_days.message_rows(messages, scope).unionByName(loan_days.call_rows(calls, scope))
         )
-        first = self._write_all([(CHANNEL_AGG_OVERVIEW, overview, self._days()), (LOAN_HOURS, hours, self._days())])
-        first.pop(LOAN_HOURS.name)
-        hours = self.read_days(LOAN_HOURS)
-        largest, summed = loan_days.of_hours(hours, "max"), loan_days.of_hours(hours, "sum")
-        hourly = loan_days.of_hours(hours, "sum", by_hour=True)
+        sums = reports.response_sums(levels, tags, click_data, scope)
+        first = self._write_all([(CHANNEL_AGG_OVERVIEW, overview, self._days()), (RESPONSE_SUMS, sums, self._days())])
+        first.pop(RESPONSE_SUMS.name)
+        sums = self.read_days(RESPONSE_SUMS)
         return first | self._write_all(
             [
-                (CHANNEL_CONNECTIVITY_RESPONSE, reports.response(largest, tags, scope), self._days()),
-                (DATEWISE_CHANNEL_RESPONSE, reports.response(summed, tags, scope, click_data=click_data), self._days()),
-                (HOURWISE_CHANNEL_RESPONSE, reports.response(hourly, tags, scope, by_hour=True), self._days()),
+                (CHANNEL_CONNECTIVITY_RESPONSE, rollup.response_of_sums(sums, "max"), self._days()),
+                (DATEWISE_CHANNEL_RESPONSE, rollup.response_of_sums(sums, "sum"), self._days()),
+                (HOURWISE_CHANNEL_RESPONSE, rollup.response_of_sums(sums, "sum", by_hour=True), self._days()),
             ]
         )
 

@@ -68,11 +68,16 @@ OVERVIEW_BY_CREATED_DAY = _schema(
     "company_id string, allocation_month string, type_of_comm string, date date, tag_name string, "
     "total_comms_triggered long, total_comms_delivered long, loan_id_count long, created_day date"
 )
-# Measures per loan and hour, summed and largest.
-LOAN_HOURS = _schema(
-    "company_id string, loan_id string, type_of_comm string, date date, hours integer, "
+# Sums of the response reports per day and per hour: of the loans' sums and of their largest values.
+RESPONSE_SUMS = _schema(
+    "company_id string, allocation_month string, date date, tag_name string, type_of_comm string, hours integer, "
+    "by_hour boolean, max_triggered long, "
     + ", ".join(
-        f"{name}_sum long, {name}_max long"
-        for name in ("triggered", "delivered", "opened", "responded", "ended", "clicked", "explicit", "errors")
+        f"{name}_{how} long"
+        for how in ("sum", "max")
+        for name in (
+            "loan_id_count", "delivery_flag_sum", "trigger_count_sum", "opened_flag_sum", "responded_sum",
+            "ended_sum", "click_flag_sum", "explicit_sum",
+        )
     )
 )

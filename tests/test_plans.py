@@ -10,6 +10,7 @@ from told import SF_SMALL
 from duepulse import schemas
 from duepulse.operators.aggregate import aggregate_messages
 from duepulse.operators.extract import extract_allocation, extract_ivr, extract_messages
+from duepulse.operators import loan_days, rollup
 from duepulse.operators.scope import Scope
 from duepulse.plans import reports, run
 from duepulse.sources import sample, writers
@@ -90,6 +91,22 @@ def test_tags_are_shuffled_once_for_join_and_population(spark, staged):
     assert "ReusedExchange" in final
 
 
+def test_a_run_joins_the_loans_with_their_tags_once_for_three_reports(spark, tmp_path):
+    job = run.Run(spark, str(tmp_path), RUN)
+    job.extract(sample.sources(spark, SF_SMALL))
+    job.aggregate("null")
+    job.report(sample.sources(spark, SF_SMALL).click_data)
+    sums = job.read_days(run.RESPONSE_SUMS)
+    for df in (rollup.response_of_sums(sums, "max"), rollup.response_of_sums(sums, "sum", by_hour=True)):
+        text = details(df)
+        assert "Exchange" not in text and "Join" not in text
+    messages, calls = job.read_days(run.MSG_AGG_DATA), job.read_days(run.IVR_AGG_DATA)
+    rows = loan_days.message_rows(messages, RUN).unionByName(loan_days.call_rows(calls, RUN))
+    clicks = sample.sources(spark, SF_SMALL).click_data
+    text = plan(reports.response_sums(loan_days.loan_levels(rows), job.read(run.TAG_DATA), clicks, RUN))
+    assert text.count("Expand [") == 1 and text.count("LEFT OUTER") + text.count("LeftOuter") == 3
+
+
 def test_allocation_shuffles_the_loans_once(spark, staged):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:

@@ -3,11 +3,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute_force as bf
 import makers
 from told import at, by, day, rows_of
 from duepulse import schemas
+from duepulse.operators import loan_days, rollup
 from duepulse.operators.scope import EVERYTHING, Scope
 from duepulse.plans import reports
 
@@ -78,6 +80,35 @@ def random_tables(seed):
 WINDOWS = [(None, None, None), ("c", "2024-01-05", "2024-02-04")]
 
 
+def sums_of(m, c, t, k, scope):
+    rows = loan_days.message_rows(m, scope).unionByName(loan_days.call_rows(c, scope))
+    return reports.response_sums(loan_days.loan_levels(rows), t, k, scope)
+
+
+@pytest.mark.parametrize("window", WINDOWS)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reports_of_one_table_of_sums_equal_brute_force(spark, seed, window):
+    messages, calls, tags, clicks = random_tables(seed)
+    t, k = makers.tags(spark, tags), makers.clicks(spark, clicks)
+    scope = Scope(*window)
+    w = (window[0], *(day(d) if d else None for d in window[1:]))
+    sums = sums_of(makers.messages(spark, messages), makers.calls(spark, calls), t, k, scope).cache()
+    assert set(sums.columns) == set(schemas.RESPONSE_SUMS.names)
+    for how, pick, by_hour, of in (
+        ("max", bf.largest, False, None), ("sum", bf.total, False, clicks), ("sum", bf.total, True, None),
+    ):
+        want = bf.response(bf.message_days(messages, pick, by_hour), tags, of, *w, by_hour)
+        want += bf.response(bf.call_days(calls, pick, by_hour), tags, None, *w, by_hour)
+        assert rows_of(rollup.response_of_sums(sums, how, by_hour)) == tuples(want), (how, by_hour)
+
+
+def test_levels_tell_rows_without_an_hour_from_those_of_a_day(spark):
+    m = makers.messages(spark, [{}, {"trigger_count": 2}])
+    rows = loan_days.message_rows(m, EVERYTHING).withColumn("hours", F.lit(None).cast("int"))
+    found = loan_days.loan_levels(rows).select("by_hour", "hours", "triggered_sum", "triggered_max").collect()
+    assert sorted(map(tuple, found)) == [(False, None, 3, 2), (True, None, 3, 2)]
+
+
 @pytest.mark.parametrize("window", WINDOWS)
 @pytest.mark.parametrize("seed", [1, 2])
 def test_reports_equal_brute_force(spark, seed, window):
