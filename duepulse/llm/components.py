@@ -51,44 +51,61 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["a", "b"])
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+#: Nodes with more than one in so many of all ends of edges are hubs; so there are fewer of them.
+MOST_HUBS = 1024
+
+
+def components(edges: DataFrame, most_rounds: int = 60, most_hubs: int = MOST_HUBS) -> DataFrame:
     """Rows (node, component) for every node of the edges (a, b); component is its smallest node.
 
     Nodes are non-null longs; loops and repeated edges do no harm; no edges give no rows. A node
-    with very many neighbours is pre-aggregated before each shuffle, and its join can be split.
+    with very many neighbours is pre-aggregated before each shuffle, and its edges are not brought
+    together for the join: its smallest neighbour comes to them, as one of at most ``most_hubs``.
     """
     now = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_contracted, "a long, b long")
     scratch = tables.Scratch(edges.sparkSession)
     now = scratch.stored(now.distinct())
+    digest = _digest(now)
     for _ in range(most_rounds):
-        after = scratch.stored(_small_star(_large_star(now)))
-        if _same(now, after):
+        # Large stars have at most two ends an edge, and no more edges than there were.
+        frequent = 2 * digest[0] / most_hubs
+        large = scratch.stored(_large_star(now, frequent))  # read three times
+        after = scratch.stored(_small_star(large, frequent))
+        if (found := _digest(after)) == digest:
             nodes = after.select(F.col("a").alias("node"), F.col("b").alias("component"))
             roots = after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             return scratch.settled(nodes.unionByName(roots))
-        now = after
+        now, digest = after, found
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, frequent: float) -> DataFrame:
+    """Edges with ``m`` of their ``a``; ``least`` has it and the number of edges, ``n``, of each a."""
+    hubs = F.broadcast(least.where(F.col("n") > frequent).select("a", "m"))
+    others = least.where(F.col("n") <= frequent).select("a", "m")
+    return edges.join(hubs, "a").unionByName(edges.join(hubs.select("a"), "a", "left_anti").join(others, "a"))
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+
+
+def _large_star(edges: DataFrame, frequent: float) -> DataFrame:
     """Every larger neighbour of a node goes to the node's smallest neighbour or itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = _least(both).withColumn("m", F.least("a", "m"))
+    return _with_least(both, least, frequent).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, frequent: float) -> DataFrame:
     """Every smaller neighbour of a node, and the node, go to its smallest neighbour."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = _least(edges)
+    joined = _with_least(edges, least, frequent)
+    moved = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
-def _same(one: DataFrame, other: DataFrame) -> bool:
-    """Whether two sets of edges are equal, by counts and two sums of hashes."""
-
-    def digest(edges: DataFrame) -> tuple:
-        h = [F.xxhash64(F.lit(seed), "a", "b").cast("decimal(20,0)") for seed in (1, 2)]
-        return tuple(edges.agg(F.count(F.lit(1)), *(F.sum(x) for x in h)).first())
-
-    return digest(one) == digest(other)
+def _digest(edges: DataFrame) -> tuple:
+    """Number of the edges and two sums of their hashes, by which two sets are found equal."""
+    h = [F.xxhash64(F.lit(seed), "a", "b").cast("decimal(20,0)") for seed in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *(F.sum(x) for x in h)).first())

@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 
 from corpus_rows import texts
+from pyspark.sql import functions as F
+
 from duepulse.llm import components, ngram_join, shingles, vector_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,6 +111,27 @@ def test_shingle_hashes_equal_sets():
             assert len(np.intersect1d(hashed[i], hashed[j])) == len(plain[i] & plain[j])
 
 
+def test_components_with_and_without_hubs(spark):
+    """A node with half of all edges, chains and small groups, by every number of hubs."""
+    rng = np.random.default_rng(3)
+    edges = [(5000, int(x)) for x in rng.choice(4000, 600, replace=False)]
+    edges += [(6000 + i, 6001 + i) for i in range(40)] + [tuple(map(int, e)) for e in rng.integers(7000, 9000, (500, 2))]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    told = [e for e in edges if e[0] != e[1]]
+    want = components_of({x for e in told for x in e}, told)
+    for most in (1, 8, components.MOST_HUBS, 10**6):
+        assert {r.node: r.component for r in components.components(df, most_hubs=most).collect()} == want, most
+
+
+def test_hubs_are_fewer_than_their_bound(spark):
+    edges = spark.range(4000).select((F.col("id") % 40).alias("a"), (F.col("id") + 100).alias("b"))
+    least = components._least(edges)
+    assert least.where(F.col("n") > 4000 / 41).count() == 40
+    assert least.where(F.col("n") > 4000 / 32).count() == 0
+    text = components._with_least(edges, least, 4000 / 41)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
+
+
 def test_components(spark):
     rng = random.Random(12)
     chain = [(i, i + 1) for i in range(100, 160)]
