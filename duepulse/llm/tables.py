@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from functools import cache
 
 import pyarrow as pa
@@ -44,10 +44,23 @@ def _own_folder() -> str:
 _made: list[str] = []
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs within go when a job ends, not at some later collection of garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes the rows to the shared folder and reads them again, which cuts the lineage.
 
-    The table goes when the process ends, or by :func:`remove_since`.
+    The table goes when the process ends, or by :func:`remove_since`. What was shuffled for it is
+    of no use once it is written, and goes at once.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/llm-{uuid.uuid4().hex}"
@@ -55,7 +68,8 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
         atexit.register(_remove_all)
     if not folder:
         _made.append(path)
-    df.write.parquet(path)
+    with _shuffles_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
