@@ -42,6 +42,8 @@ def ship(spark: SparkSession) -> None:
     environment.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
     # Documents are long: batches of 10000 rows, twice over in the JVM and in Python, are large.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # Of very long ones a batch holds few: it is in the JVM, on its way and in Python at once.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
