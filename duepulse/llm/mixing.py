@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, gcd
 
@@ -24,6 +25,8 @@ class Mix:
     repeats: int = 2
     block_words: int = 64
     shard_words: int = 1 << 20
+    #: Shards, or groups of them, that one task shares a quota out to.
+    fan: int = 1024
     seed: int = 7
 
 
@@ -80,6 +83,68 @@ def _sized(documents: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
+def _quotas(cells: DataFrame, shards: int, mix: Mix) -> DataFrame:
+    """(source, shard, cell_words, cut, quota) of cells (source, shard, blocks, cell_words).
+
+    A source's blocks go to its shards by highest quotients. Where it has more than ``fan`` shards
+    they go to groups of so many first, and to groups of groups before that, so that no task shares
+    out to more than ``fan`` at once, whatever the source's size.
+    """
+    cut = F.greatest(F.lit(1), F.rint(F.col("cell_words") / mix.block_words)).cast("long")
+    cells = cells.withColumn("cut", cut).withColumn("most", F.when(F.col("cell_words") > 0, mix.repeats * F.col("cut")).otherwise(0))
+    heights = 1
+    while mix.fan**heights < shards:
+        heights += 1
+
+    def shared_out(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        votes, most = rows["words"].to_numpy(), rows["most"].to_numpy()
+        quota = sainte_lague(votes, int(rows["blocks"][0].as_py()), most)
+        return pa.table([rows["source"], rows["node"], pa.array(quota, pa.int64())], names=["source", "node", "quota"])
+
+    above = None
+    for height in reversed(range(heights)):
+        node = F.floor(F.col("shard") / mix.fan**height).cast("long")
+        level = cells.groupBy("source", node.alias("node")).agg(
+            F.sum("cell_words").alias("words"), F.sum("most").cast("long").alias("most"), F.first("blocks").alias("blocks")
+        ).withColumn("parent", F.floor(F.col("node") / mix.fan).cast("long"))
+        if above is not None:
+            up = above.withColumnsRenamed({"source": "of", "node": "of_node"})
+            level = level.drop("blocks").join(up, level.source.eqNullSafe(up.of) & (level.parent == up.of_node))
+            level = level.drop("of", "of_node").withColumnRenamed("quota", "blocks")
+        above = level.groupBy("source", "parent").applyInArrow(shared_out, "source string, node long, quota long")
+    shared = above.withColumnsRenamed({"source": "of", "node": "of_node"})
+    return cells.join(shared, cells.source.eqNullSafe(shared.of) & (cells.shard == shared.of_node)).select(
+        "source", "shard", "cell_words", "cut", "quota"
+    )
+
+
+def _selected(cells: DataFrame, shards: int, mix: Mix) -> DataFrame:
+    """Which blocks of each cell are taken: all ``every`` times, and ``extra`` of them once more.
+
+    These are the first in an order that steps through the cell's blocks by a seeded step.
+    """
+    schema = "source string, shard long, cell_words long, cut long, every long, extra long, step long, first long"
+
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pydict()
+            steps, starts = [], []
+            for source, shard, n in zip(rows["source"], rows["shard"], rows["cut"], strict=True):
+                rng = np.random.default_rng([mix.seed, zlib.crc32(str(source).encode()), shard])
+                step = int(rng.integers(1, n + 1))
+                while gcd(step, n) != 1:
+                    step += 1
+                steps.append(step)
+                starts.append(int(rng.integers(0, n)))
+            cut, quota = batch["cut"].to_numpy(), batch["quota"].to_numpy()
+            columns = [batch["source"], batch["shard"], batch["cell_words"], batch["cut"], quota // cut, quota % cut, steps, starts]
+            names = ["source", "shard", "cell_words", "cut", "every", "extra", "step", "first"]
+            yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return _quotas(cells, shards, mix).mapInArrow(seeded, schema)
+
+
 def _plan(documents: DataFrame, mix: Mix, keep: list[str]) -> DataFrame:
     """Each document with its place in its cell and the cell's block selection.
 
@@ -108,27 +173,7 @@ def _plan(documents: DataFrame, mix: Mix, keep: list[str]) -> DataFrame:
         return df.join(k, df.source.eqNullSafe(k.of)).drop("of").withColumn("shard", place)
 
     cells = sharded(sizes).groupBy("source", "shard", "blocks").agg(F.sum("size").alias("cell_words"))
-
-    def chosen(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("shard")
-        size = rows["cell_words"].to_numpy()
-        cut = np.maximum(1, np.round(size / mix.block_words)).astype(np.int64)
-        quota = sainte_lague(size, int(rows["blocks"][0].as_py()), mix.repeats * cut * (size > 0))
-        steps, starts = [], []
-        for shard, n in zip(rows["shard"].to_pylist(), cut.tolist(), strict=True):
-            rng = np.random.default_rng([mix.seed, zlib.crc32(str(key[0].as_py()).encode()), shard])
-            step = int(rng.integers(1, n + 1))
-            while gcd(step, n) != 1:
-                step += 1
-            steps.append(step)
-            starts.append(int(rng.integers(0, n)))
-        names = ["source", "shard", "cell_words", "cut", "every", "extra", "step", "first"]
-        columns = [rows["source"], rows["shard"], rows["cell_words"], cut, quota // cut, quota % cut, steps, starts]
-        return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, pa.int64()) for c in columns], names=names)
-
-    selected = cells.groupBy("source").applyInArrow(
-        chosen, "source string, shard long, cell_words long, cut long, every long, extra long, step long, first long"
-    ).withColumnsRenamed({"source": "of", "shard": "of_shard"})
+    selected = _selected(tables.stored(cells), max(shards, default=1), mix).withColumnsRenamed({"source": "of", "shard": "of_shard"})
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(mix.seed + 1), "doc_id", "tie"), "doc_id", "tie", "size")
     placed = sharded(_sized(documents, keep) if keep else sizes).withColumn(
         "at", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")

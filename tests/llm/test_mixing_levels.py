@@ -1,0 +1,60 @@
+"""A source's blocks by levels of groups of shards, as one of many shards gets them."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+from corpus_rows import documents
+from duepulse.llm import mixing
+from test_mixing_packing import plain_sainte_lague
+
+
+def plain_levels(words, most, blocks, fan):
+    """Quotas of shards 0 to n - 1, from the one group of all down to the shards."""
+    heights = 1
+    while fan**heights < len(words):
+        heights += 1
+    quota = {0: blocks}
+    for height in reversed(range(heights)):
+        of, able, below = defaultdict(int), defaultdict(int), defaultdict(list)
+        for shard, (n, m) in enumerate(zip(words, most)):
+            of[shard // fan**height] += n
+            able[shard // fan**height] += m
+        for node in sorted(of):
+            below[node // fan].append(node)
+        parents, quota = quota, {}
+        for parent, nodes in below.items():
+            got = plain_sainte_lague([of[x] for x in nodes], parents[parent], [able[x] for x in nodes])
+            quota.update(zip(nodes, got))
+    return quota
+
+
+def test_quotas_go_down_by_levels_for_each_source(spark):
+    rng, mix = random.Random(4), mixing.Mix(fan=3, block_words=5)
+    rows, want = [], {}
+    for source, shards, blocks in (("a", 20, 40), (None, 9, 4), ("b", 1, 3), ("c", 12, 1 << 60)):
+        words = [rng.choice((0, 1, 4, 12, 13, 60)) for _ in range(shards)]
+        words[0] = words[0] or 7
+        cut = [max(1, round(n / 5)) for n in words]
+        most = [2 * c * (n > 0) for c, n in zip(cut, words)]
+        rows += [(source, s, blocks, n) for s, n in enumerate(words)]
+        quota = plain_levels(words, most, min(blocks, sum(most)), 3)
+        want |= {(source, s): (words[s], cut[s], quota[s]) for s in range(shards)}
+    cells = spark.createDataFrame(rows, "source string, shard long, blocks long, cell_words long")
+    got = {(r[0], r[1]): tuple(r[2:]) for r in mixing._quotas(cells, 20, mix).collect()}
+    assert got == want
+    assert sum(q for (source, _), (_, _, q) in got.items() if source == "a") == 40
+
+
+def test_many_shards_come_near_the_target_and_reruns_agree(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(1, 60))), "en", rng.choice(("a", "b", "b", None))) for i in range(600)]
+    mix = mixing.Mix(block_words=4, shard_words=80, fan=4)
+    got = mixing.mix_sources(documents(spark, rows), mix).collect()
+    assert len(got) == 600 and all(0 <= r.taken <= 2 * r.size for r in got)
+    for source in ("a", "b", None):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(8, 0.02 * mine[0].target)
+    again = mixing.mix_sources(documents(spark, rows).repartition(7), mix).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
