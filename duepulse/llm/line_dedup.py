@@ -248,7 +248,7 @@ def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, wo
 
     def verified(pairs: DataFrame) -> DataFrame:
         able = (F.abs(F.col("n") - F.col("fn")) <= bound) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("fsketch"))) <= 2 * bound)
-        able = pairs.where((F.col("fat") < F.col("at")) & able).select("at", "n", "fat", "fn").distinct()
+        able = scratch.stored(pairs.where((F.col("fat") < F.col("at")) & able).select("at", "n", "fat", "fn").distinct())
 
         def joined(pairs: DataFrame, column: str) -> DataFrame:
             mine = words.select("at", F.col(column).alias("mine"))
@@ -257,7 +257,7 @@ def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, wo
 
         # Letters that two words share can only bring lines nearer to one another.
         near = joined(able, "letters").where(F.call_function("levenshtein", "mine", "theirs", bound) >= 0)
-        near = joined(near.select("at", "n", "fat", "fn"), "w")
+        near = joined(scratch.stored(near.select("at", "n", "fat", "fn")), "w")
         return near.where(_edits(F.col("mine"), F.col("theirs"), bound) >= 0).select("at").distinct()
 
     least = shared.groupBy("key").agg(F.min(F.struct("at", "n", "sketch")).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -346,6 +346,7 @@ def repeated_lines(
     edited = pairs.join(mine, "at").join(theirs, "fat").where(_within_one_edit(F.col("mine"), F.col("theirs")))
     gone = edited.select("at")
     if several:
+        gone = scratch.stored(gone)
         gone = gone.unionByName(_far_edited(words.where("array_contains(needs, 'R')"), far_keys, scratch, words_per_edit))
     gone = gone.distinct().withColumn("near", F.lit(True))
 
