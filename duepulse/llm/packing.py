@@ -7,7 +7,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -92,11 +91,6 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
-@lru_cache(maxsize=2)
-def _words(path: str) -> Words:
-    return Words(path)
-
-
 def tokenized(documents: DataFrame, tokenizer_path: str, tokens: int) -> DataFrame:
     """One row per piece of at most ``tokens`` ids: doc_id, piece, start, length, ids_crc32.
 
@@ -105,7 +99,8 @@ def tokenized(documents: DataFrame, tokenizer_path: str, tokens: int) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(tokenizer_path)
+        # Made for each task: a worker that goes on to other work keeps neither words nor tokenizer.
+        words = Words(tokenizer_path)
         for numbers, part in tables.slices(batches):
             docs, pieces, lengths, sums = [], [], [], []
             texts = [t or "" for t in part.to_pylist()]
