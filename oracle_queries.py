@@ -390,6 +390,42 @@ WHERE start_time IS NOT NULL AND call_duration IS NOT NULL
     return result
 
 
+# The columns of a run's tables, for digests of their rows.
+_RESPONSE = (
+    "company_id allocation_month date tag_name type_of_comm loan_id_count delivery_flag_sum trigger_count_sum "
+    "opened_flag_sum response_percentage eom_percentage click_flag_sum trigger_percentage delivery_percentage "
+    "react_percentage explicit_response_percentage max_triggered"
+)
+_COLUMNS = {
+    "allocation_data": "company_id loan_id default_id allocation_month amount_recovered_breakdown repayment_mode "
+    "mob applicant_contact_number",
+    "tag_data": "company_id loan_id tag_name allocation_month",
+    "ivr_data": "loan_id mobile start_time end_time call_duration template_name scenario_name error_nm "
+    "collectedDtmfs collectedMappedDtmfs created company_id type_of_comm",
+    "msg_data": "created company_id type_of_comm loan_id comm_language delivery_status opened_status click_count",
+    "msg_agg_data": "loan_id created company_id comm_language delivery_flag opened_flag trigger_count click_count "
+    "type_of_comm",
+    "ivr_agg_data": "loan_id call_pick call_resp end_of_message_rate ivr_resp_state explicit_response trigger_count "
+    "created company_id start_time type_of_comm error_flag",
+    "channel_agg_overview": "company_id allocation_month type_of_comm date tag_name total_comms_triggered "
+    "total_comms_delivered delivery_percentage loan_id_count",
+    "channel_connectivity_response": _RESPONSE,
+    "datewise_channel_response": _RESPONSE,
+    "hourwise_channel_response": f"{_RESPONSE} hours",
+}
+
+
+def _digest(table: str) -> str:
+    """The sum of 48 bits of each row's values as text, columns by name; shares with six decimals."""
+    shares = "CAST(CAST({0} AS DECIMAL(20, 6)) AS VARCHAR)"
+    texts = [
+        f"coalesce({(shares if c.endswith('_percentage') else 'CAST({0} AS VARCHAR)').format(chr(34) + c + chr(34))}, '~')"
+        for c in sorted(_COLUMNS[table].split())
+    ]
+    bits = f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(texts)})), 1, 12) AS BIGINT)"
+    return _big(f"sum({bits}) % {1 << 62}")
+
+
 def _full_run(w: Window) -> str:
     names = {
         "allocation_data": "allocation",
@@ -414,7 +450,8 @@ def _full_run(w: Window) -> str:
     }
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, count(*) AS table_rows, "
-        f"{_big(f'sum({sums[table]})') if table in sums else 'CAST(NULL AS BIGINT)'} AS triggered "
+        f"{_big(f'sum({sums[table]})') if table in sums else 'CAST(NULL AS BIGINT)'} AS triggered, "
+        f"{_digest(table)} AS digest "
         f"FROM ({texts[query]})"
         for table, query in names.items()
     )
