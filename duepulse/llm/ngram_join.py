@@ -5,8 +5,11 @@ intersection with a partner can have, and meet partners in an equal subset. Larg
 heavy: listing subsets would cost too much, so they meet in inverted lists. A list of one shingle
 would be as long as the shingle is frequent; a list here is that of a block, all of a set's
 shingles in one of m fixed ranges of the hash space. A pair that is similar enough differs in at
-most k shingles, which spoil at most k blocks, so with m > k blocks one is equal in both. The
-boundary is the largest size at which subsets cost less than blocks and verification.
+most k shingles, which spoil at most k blocks, so with m > k blocks one is equal in both. With
+m = k + 1 + s, s + 1 are, and each set can leave out the s blocks that hold the least: of the
+equal ones that with the most is kept in both. Blocks of a single shingle, which any two texts with
+a sentence in common share, are mostly left out by that. The boundary is the largest size at which
+subsets cost less than blocks and verification.
 
 Keys only propose. Documents that share a key, directly or through others, form a candidate
 group; within it all pairs of near sizes are verified on the whole sets, in blocks of bounded
@@ -33,7 +36,7 @@ CHUNK = 1024
 MOST_BROADCAST = 1_000_000
 #: Keys that are combined in a task before they are sent.
 HELD_KEYS = 1 << 18
-_CLASS_RATIO = 1.5
+_CLASS_RATIO = 1.25
 
 
 class Scheme:
@@ -54,7 +57,7 @@ class Scheme:
         return sum(comb(size, f) for f in range(self.least(size), size + 1))
 
     def block_cost(self, size: int) -> int:
-        """Blocks of the set's own class and the one below, and the set itself for verification."""
+        """Blocks that are kept of the set's own class and the one below, and the set itself for verification."""
         return 2 * (self._differing(size) + 3) + size
 
     def _differing(self, size: int) -> int:
@@ -65,12 +68,12 @@ class Scheme:
         return int(log(size / (self.boundary + 1)) / log(_CLASS_RATIO) + 1e-9)
 
     def _blocks(self, number: int) -> tuple[np.ndarray, int]:
-        """Inner limits of a size class's blocks, and how many of them may be empty."""
+        """Inner limits of a size class's blocks, and how many of them are left out or may be empty."""
         if number not in self._edges:
             low = max(1, int((self.boundary + 1) * _CLASS_RATIO**number))
             high = int((self.boundary + 1) * _CLASS_RATIO ** (number + 1)) + 1
             needed = self._differing(high) + 1
-            spare = 2 + ceil(1.5 * needed * exp(-low / needed))
+            spare = 2 + max(needed // 2, ceil(1.5 * needed * exp(-low / needed)))
             m = needed + spare
             self._edges[number] = np.array([(i << 64) // m for i in range(1, m)], dtype=np.uint64), spare
         return self._edges[number]
@@ -92,10 +95,14 @@ class Scheme:
             for number in range(self._class(max(self.boundary + 1, self.least(size))), self._class(size) + 1):
                 limits, spare = self._blocks(number)
                 at = np.concatenate(([0], np.searchsorted(h, limits, side="left"), [size]))
-                filled = np.flatnonzero(np.diff(at))
+                held = np.diff(at)
+                filled = np.flatnonzero(held)
                 salt = (filled + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(number)
-                out.append(shingles.mixed((sums[at[filled + 1]] - sums[at[filled]]) ^ salt))
-                sparse |= len(limits) + 1 - len(filled) > spare
+                blocks = shingles.mixed((sums[at[filled + 1]] - sums[at[filled]]) ^ salt)
+                # The least go, empty ones first; in the same order in every set.
+                empty = len(held) - len(filled)
+                out.append(blocks[np.lexsort((blocks, held[filled]))[max(0, spare - empty) :]])
+                sparse |= empty > spare
             if sparse:  # two such sets might agree in empty blocks only: lists of their first shingles
                 out.append(shingles.mixed(h[: size - self.least(size) + 1] ^ np.uint64(0xA0761D6478BD642F)))
         return np.unique(np.concatenate(out))

@@ -93,6 +93,32 @@ def test_keys_meet_for_every_linked_pair_of_sizes():
                 assert len(np.intersect1d(scheme.keys(a), scheme.keys(b))), (percent, size)
 
 
+def test_keys_meet_for_linked_pairs_that_crowd_the_hash_space():
+    """Sets with most shingles in few blocks, so that many blocks are empty or hold one."""
+    rng = np.random.default_rng(8)
+    for percent in (60, 80, 90):
+        scheme = ngram_join.Scheme(percent)
+        for size in (24, 70, 150, 400):
+            for few in (0, 1, 5, size // 4, size // 2):
+                crowd = rng.integers(0, 1 << 50, size - few, dtype=np.uint64) << np.uint64(3)
+                union = np.unique(np.concatenate((crowd, rng.integers(0, 1 << 63, few, dtype=np.uint64) * np.uint64(2))))
+                out = rng.permutation(len(union))[: (100 - percent) * len(union) // 100]
+                cut = rng.integers(0, len(out) + 1)
+                a, b = np.delete(union, out[:cut]), np.delete(union, out[cut:])
+                assert len(np.intersect1d(scheme.keys(a), scheme.keys(b))), (percent, size, few)
+
+
+def test_sets_with_a_passage_in_common_share_few_keys():
+    """Texts that share a sentence or two aren't candidates for one another; for whole copies no more keys are needed."""
+    rng = np.random.default_rng(9)
+    some = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    passage, scheme = some(24), ngram_join.Scheme(80)
+    held = [scheme.keys(np.unique(np.concatenate((some(rng.integers(200, 500)), passage)))) for _ in range(300)]
+    shared = sum(len(np.intersect1d(a, b)) > 0 for a, b in itertools.combinations(held[:100], 2))
+    assert shared < 100
+    assert np.mean([len(k) for k in held]) < 220
+
+
 def test_boundary_is_where_costs_cross():
     for percent in (80, 90):
         s = ngram_join.Scheme(percent)
