@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,18 +51,32 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["a", "b"])
 
 
+def contracting(
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The work, which gives edges, with each of its batches as stars.
+
+    Within one step: a step of its own for it would keep a second Python worker for each task.
+    """
+    return lambda batches: _contracted(work(batches))
+
+
 #: Nodes with more than one in so many of all ends of edges are hubs; so there are fewer of them.
 MOST_HUBS = 1024
 
 
-def components(edges: DataFrame, most_rounds: int = 60, most_hubs: int = MOST_HUBS) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, most_hubs: int = MOST_HUBS, contracted: bool = False) -> DataFrame:
     """Rows (node, component) for every node of the edges (a, b); component is its smallest node.
 
     Nodes are non-null longs; loops and repeated edges do no harm; no edges give no rows. A node
     with very many neighbours is pre-aggregated before each shuffle, and its edges are not brought
     together for the join: its smallest neighbour comes to them, as one of at most ``most_hubs``.
+    Edges are made stars by batches first, unless ``contracted`` says that they are, without loops
+    (:func:`contracting`).
     """
-    now = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_contracted, "a long, b long")
+    now = edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
+    if not contracted:
+        now = now.mapInArrow(_contracted, "a long, b long")
     scratch = tables.Scratch(edges.sparkSession)
     now = scratch.stored(now.distinct())
     digest = _digest(now)

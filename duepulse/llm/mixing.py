@@ -163,9 +163,12 @@ def _plan(documents: DataFrame, mix: Mix, keep: list[str]) -> DataFrame:
     blocks = sainte_lague(wanted, round(float(wanted.sum()) / mix.block_words), most)
     # A source that is wanted whole is taken whole, whatever its blocks round to.
     blocks = np.where(wanted >= mix.repeats * words, np.int64(1) << 60, blocks)
-    schema = "source string, source_size long, target double, shards long, blocks long"
-    rows = [(r[0], int(n), float(t), s, int(b)) for r, n, t, s, b in zip(found, words, wanted, shards, blocks, strict=True)]
-    known = spark.createDataFrame(rows, schema)
+    # As an Arrow table: from a list of rows, Spark makes them in Python workers of their own, which stay.
+    columns = [pa.array([r[0] for r in found], pa.string()), words, wanted, pa.array(shards, pa.int64()), blocks]
+    known = spark.createDataFrame(
+        pa.table([pa.array(c) for c in columns], names=["source", "source_size", "target", "shards", "blocks"]),
+        "source string, source_size long, target double, shards long, blocks long",
+    )
 
     def sharded(df: DataFrame) -> DataFrame:
         k = known.withColumnRenamed("source", "of")

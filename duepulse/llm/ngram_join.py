@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles, tables
-from .components import components
+from .components import components, contracting
 
 #: Sets of one candidate group and size class that are verified together.
 CHUNK = 1024
@@ -261,9 +261,9 @@ def join_ngrams(documents: DataFrame, *, width: int = 3, percent: int = 90) -> D
 
     proposed = (
         texts.where("doc_id is not null").mapInArrow(keyed, "key long, mark long, low long, high long")
-        .repartition("key").sortWithinPartitions("key", "mark").mapInArrow(_stars, "a long, b long")
+        .repartition("key").sortWithinPartitions("key", "mark").mapInArrow(contracting(_stars), "a long, b long")
     )
-    groups = components(proposed)
+    groups = components(proposed, contracted=True)
     few = groups.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
 
@@ -305,9 +305,9 @@ def join_ngrams(documents: DataFrame, *, width: int = 3, percent: int = 90) -> D
 
     links = (
         parts.repartition("part").sortWithinPartitions("part")
-        .mapInArrow(streamed_groups(["part", "rep", "elements"], verified), "a long, b long")
+        .mapInArrow(contracting(streamed_groups(["part", "rep", "elements"], verified)), "a long, b long")
     )
-    found = components(links.unionByName(copies)).select(F.col("node").alias("doc_id"), "component")
+    found = components(links.unionByName(copies), contracted=True).select(F.col("node").alias("doc_id"), "component")
     result = rows.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     return scratch.settled(result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
