@@ -142,7 +142,8 @@ def _selected(cells: DataFrame, shards: int, mix: Mix) -> DataFrame:
             names = ["source", "shard", "cell_words", "cut", "every", "extra", "step", "first"]
             yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], names=names)
 
-    return _quotas(cells, shards, mix).mapInArrow(seeded, schema)
+    # Written between, so that no task runs two Python steps, each in a worker that stays.
+    return tables.stored(_quotas(cells, shards, mix)).mapInArrow(seeded, schema)
 
 
 def _plan(documents: DataFrame, mix: Mix, keep: list[str]) -> DataFrame:

@@ -117,6 +117,8 @@ def tokenized(documents: DataFrame, tokenizer_path: str, tokens: int) -> DataFra
                 [pa.array(docs, pa.int64()), pa.array(piece.astype(np.int32)), pa.array(piece * tokens), pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        del words
+        tables.release()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long"

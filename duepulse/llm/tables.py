@@ -120,10 +120,19 @@ class Scratch:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[pa.Array]]:
-    """The columns of the batches, some rows at a time, so that few texts are Python objects at once."""
+    """The columns of the batches, some rows at a time, so that few texts are Python objects at once.
+
+    After the last, what the worker has freed goes back to the system.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows).columns
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back; with Arrow's system pool that is all of the process's, not Arrow's alone."""
+    pa.default_memory_pool().release_unused()
 
 
 def fold(key: Column) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 from corpus_rows import SF_SMALL, documents, texts
 
 import corpus_pipeline
-from duepulse.llm import components, mixing, ngram_join, tables
+from duepulse.llm import components, mixing, tables
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def steps_of_a_task(plan):
@@ -61,9 +67,36 @@ def test_contracted_edges_give_the_same_components(spark):
     assert {(r.node, r.component) for r in components.components(stars, contracted=True).collect()} == want
 
 
-def test_sources_come_to_the_plan_without_python(spark):
+def test_sources_come_to_the_plan_without_python(spark, plans):
     rows = documents(spark, [(1, "a b c", "en", "x"), (2, "d e", "en", None), (3, None, "en", "y")], clashing=False)
     found = tables.stored(mixing.mix_sources(tables.stored(rows)))
     assert {r.source: (r.source_size, r.target) for r in found.collect()} == {"x": (3, 6.0), None: (2, 1.5), "y": (0, 0.0)}
+    assert "InArrow" in "".join(plans) and max(map(steps_of_a_task, plans)) == 1
     plan = mixing.mixed_documents(tables.stored(rows))._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" not in plan and "LocalTableScan" in plan
+
+
+def test_a_worker_gives_freed_memory_back():
+    """Small pieces below one that stays: without a release they remain the process's."""
+    code = """
+import re, pyarrow as pa
+from duepulse.llm import tables
+
+def held():
+    return int(re.search(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+
+batch = pa.RecordBatch.from_arrays([pa.array(range(3))], names=["a"])
+def batches():
+    yield batch
+    global last, high
+    kept = [bytearray(4000) for _ in range(20000)]
+    last, high = bytearray(5000), held()
+    del kept
+
+for columns in tables.slices(batches()):
+    pass
+print(high - held())
+"""
+    env = {**os.environ, "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "PYTHONPATH": ROOT}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True, timeout=60)
+    assert int(done.stdout) > 50
