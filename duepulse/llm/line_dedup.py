@@ -18,8 +18,10 @@ of variants is emitted that meets every choice of edits. A hash deals the words
 a variant is the line without all words but those of one class, in their order. An edit takes a
 word and adds one, and so changes two variants at most: lines within the bound have two or more
 variants in common, wherever the edits are and however far words move. A variant has words from
-all over the line, so lines that only share a passage have none in common. Lines are first
-verified against the earliest line of each of their keys; those that stay, against the earlier
+all over the line, so lines that only share a passage have none in common. A class without a word
+says nothing, and all lines of few different words have such classes: only variants with words
+are keys, and a line that lacks some has further ones, in which its words are dealt out one by one,
+told apart by their rank among equals. Lines are first verified against the earliest line of each of their keys; those that stay, against the earlier
 lines of their rarer keys. With as many keys as near lines must share, frequent ones aren't needed.
 """
 
@@ -43,6 +45,8 @@ RATIO = 1.25
 #: Marks are broadcast up to this many documents and four times as many lines, else joined by a shuffle.
 MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
+#: Bits of a key of several edits: that it is one of ranked words, that its line is poor.
+_RANKED, _POOR = 4, 8
 
 
 def _keyed(documents: DataFrame) -> tuple[DataFrame, str]:
@@ -162,14 +166,36 @@ def _classes(step: Column, words_per_edit: int) -> tuple[Column, Column, Column]
     return most, groups, F.ceil((2 * most + 2) / groups).cast("long")
 
 
+def _ranked(w: Column) -> Column:
+    """A hash of each word and its rank among equals: an edit takes one of them at most, and adds one."""
+    n = F.size(w)
+
+    def of(s: Column) -> Column:
+        def told(starts: Column) -> Column:
+            def run(start: Column, i: Column) -> Column:
+                length = F.coalesce(F.get(starts, i + 1), n + 1) - start
+                return F.transform(F.sequence(F.lit(1), length), lambda rank: F.xxhash64(F.element_at(s, start), rank))
+
+            return F.flatten(F.transform(starts, run))
+
+        first = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1)))))
+        return F.element_at(F.transform(F.array(first), told), 1)
+
+    return F.element_at(F.transform(F.array(F.sort_array(w)), of), 1)
+
+
 def _kept_classes(w: Column, words_per_edit: int) -> Column:
     """Keys of which two lines within a bound of two or more edits have several in common.
 
     A key is the hash of a variant with the words of one class. The number of classes depends on
     the shorter line, by steps of RATIO; so a line has keys for every step that a shorter line
-    within its bound can be in. The two lower bits of a key tell the step. Classes are made in
-    two stages, groups and classes within them, so that a line of n words takes n times the root
-    of their number.
+    within its bound can be in. Classes are made in two stages, groups and classes within them, so
+    that a line of n words takes n times the root of their number.
+
+    Classes without a word have no key. A line with such a class is poor, and has a second kind of
+    keys, of the classes of its ranked words, without their order. Lines that aren't both poor share
+    keys of the first kind, poor ones of the second. The lower bits of a key tell the step (two
+    bits), the kind (``_RANKED``) and whether the line is poor (``_POOR``, which isn't part of the key).
     """
     n = F.size(w)
 
@@ -180,17 +206,35 @@ def _kept_classes(w: Column, words_per_edit: int) -> Column:
     def upto(count: Column) -> Column:
         return F.sequence(F.lit(0).cast("long"), count - 1)
 
-    def keys(s: Column) -> Column:
+    def marked(hashed: Column, s: Column, marks: int) -> Column:
+        return hashed.bitwiseAND(F.lit(-16)).bitwiseOR(s["step"].cast("long").bitwiseAND(F.lit(3)) + marks)
+
+    def variants(w: Column, s: Column) -> Column:
+        """Of each class its hash, null for one without a word."""
+
         def of(group: Column) -> Column:
-            def key(part: Column, number: Column) -> Column:
-                kept = F.filter(part, lambda x: F.pmod(F.shiftright(x, 24), s["each"]) == number)
-                return F.xxhash64(s["step"], group, number, kept).bitwiseAND(F.lit(-4)).bitwiseOR(s["step"].cast("long").bitwiseAND(F.lit(3)))
+            def kept(part: Column, number: Column) -> Column:
+                return F.filter(part, lambda x: F.pmod(F.shiftright(x, 24), s["each"]) == number)
+
+            def key(words: Column, number: Column) -> Column:
+                return F.when(F.size(words) > 0, F.xxhash64(s["step"], group, number, words))
 
             mine = F.filter(w, lambda x: F.pmod(x, s["groups"]) == group)
-            return F.flatten(F.transform(F.array(mine), lambda part: F.transform(upto(s["each"]), lambda i: key(part, i))))
+            return F.flatten(F.transform(F.array(mine), lambda part: F.transform(F.transform(upto(s["each"]), lambda i: kept(part, i)), key)))
 
         return F.flatten(F.transform(upto(s["groups"]), of))
 
+    def keys(s: Column) -> Column:
+        def told(found: Column) -> Column:
+            known = F.array_compact(found)
+            ranked = F.transform(variants(F.sort_array(_ranked(w)), s), lambda x, i: F.coalesce(x, F.xxhash64(s["step"], i)))
+            poor = F.concat(
+                F.transform(known, lambda x: marked(x, s, _POOR)), F.transform(ranked, lambda x: marked(x, s, _RANKED + _POOR))
+            )
+            return F.when(F.size(known) < F.size(found), poor).otherwise(F.transform(known, lambda x: marked(x, s, 0)))
+
+        return F.element_at(F.transform(F.array(variants(w, s)), told), 1)
+
     shortest = F.greatest(n - F.floor(n / (words_per_edit + 1)).cast("int"), F.lit(2 * words_per_edit))
     steps = F.transform(F.sequence(_step(F.least(shortest, n)), _step(n)), dealt)
     return F.flatten(F.transform(steps, keys))
@@ -207,9 +251,12 @@ def _common(key: Column, n: Column, words_per_edit: int) -> Column:
 
 
 def _sketch(w: Column) -> Column:
-    """64 bits, each the parity of some words: an edit turns two bits at most."""
+    """64 bits, each the parity of some ranked words: an edit turns two bits at most.
+
+    Without their ranks, words that a line has an even number of times would leave no trace.
+    """
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(w, F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
+    return F.aggregate(_ranked(w), F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
 
 
 def _letter(number: Column) -> Column:
@@ -241,13 +288,16 @@ def _edits(a: Column, b: Column, most: Column) -> Column:
 def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, words_per_edit: int) -> DataFrame:
     """``at`` of the lines that an earlier one is within a bound of two or more edits of.
 
-    ``words`` has their words, ``shared`` the keys (key, at, n, sketch) that several lines have.
+    ``words`` has their words, ``shared`` the keys (key, at, n, poor) that several lines have.
     """
     bound = F.floor(F.least("n", "fn") / words_per_edit).cast("int")
-    other = [F.col(c).alias(f"f{c}") for c in ("at", "n", "sketch")]
+    carried = ("at", "n", "sketch", "poor")
+    other = [F.col(c).alias(f"f{c}") for c in carried]
+    shared = shared.join(words.select("at", "sketch"), "at")
 
     def verified(pairs: DataFrame) -> DataFrame:
         able = (F.abs(F.col("n") - F.col("fn")) <= bound) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("fsketch"))) <= 2 * bound)
+        able &= ~(F.col("poor") & F.col("fpoor")) | (F.col("key").bitwiseAND(F.lit(_RANKED)) > 0)
         able = scratch.stored(pairs.where((F.col("fat") < F.col("at")) & able).select("at", "n", "fat", "fn").distinct())
 
         def joined(pairs: DataFrame, column: str) -> DataFrame:
@@ -260,17 +310,17 @@ def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, wo
         near = joined(scratch.stored(near.select("at", "n", "fat", "fn")), "w")
         return near.where(_edits(F.col("mine"), F.col("theirs"), bound) >= 0).select("at").distinct()
 
-    least = shared.groupBy("key").agg(F.min(F.struct("at", "n", "sketch")).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    first = [F.col(f"first.{c}").alias(f"f{c}") for c in ("at", "n", "sketch")]
-    led = scratch.stored(shared.join(least, "key").select("key", "at", "n", "sketch", "members", *first))
+    least = shared.groupBy("key").agg(F.min(F.struct(*carried)).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    first = [F.col(f"first.{c}").alias(f"f{c}") for c in carried]
+    led = scratch.stored(shared.join(least, "key").select("key", *carried, "members", *first))
     settled = scratch.stored(verified(led))
     # Near lines have a key in common that isn't among the most frequent of either: of all they
     # share, the rarest. Keys that no other line has are rarer still.
-    mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(3)))
+    mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(_RANKED + 3)))
     place = F.row_number().over(mine.orderBy("members", "key"))
     ranked = led.withColumn("place", place).withColumn("have", F.count(F.lit(1)).over(mine))
     rarer = ranked.where(F.col("place") <= F.col("have") - _common(F.col("key"), F.col("n"), words_per_edit) + 1)
-    index = scratch.stored(rarer.where("members > 2").select("key", "at", "n", "sketch"))
+    index = scratch.stored(rarer.where("members > 2").select("key", *carried))
     open_ = index.join(settled, "at", "left_anti")
     return settled.unionByName(verified(open_.join(index.select("key", *other), "key")))
 
@@ -295,7 +345,7 @@ def repeated_lines(
     several = max(2 * words_per_edit, least_near_words) if words_per_edit else None
     found = _worded(_places(rows, key), least)
     n, w = F.size("w"), F.col("w")
-    far = [F.when(n >= several, _sketch(w)).alias("sketch"), F.when(n >= several, _kept_classes(w, words_per_edit)).alias("kept")] if several else []
+    far = [F.when(n >= several, _kept_classes(w, words_per_edit)).alias("kept")] if several else []
     small = scratch.stored(found.select(
         "at", F.xxhash64("w").alias("h"), F.hash("w").alias("g"), F.when(n >= least_near_words, n).alias("words"),
         F.when(n.between(least_near_words, several) if several else n >= least_near_words, _halves(w)).alias("halves"), *far,
@@ -315,13 +365,17 @@ def repeated_lines(
     open_ends = near.join(shared, "half").select("at", F.explode(F.array_compact(need)).alias("need"))
     if several:
         lines = small.where("kept is not null")
-        keys = lines.select("h", F.explode("kept").alias("key"))
-        common = scratch.stored(keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key"))
+        told = F.col("kept").bitwiseAND(F.lit(~_POOR)).alias("key"), (F.col("kept").bitwiseAND(F.lit(_POOR)) > 0).alias("poor")
+        keys = lines.select("h", F.explode("kept").alias("kept")).select("h", *told)
+        common = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.min("poor").alias("poor"))
+        of_use = ~F.col("poor") | (F.col("key").bitwiseAND(F.lit(_RANKED)) > 0)
+        common = scratch.stored(common.where((F.col("low") != F.col("high")) & of_use).select("key"))
         few = common.limit(4 * MOST_BROADCAST + 1).count() <= 4 * MOST_BROADCAST
-        keys = lines.select("h", "g", "at", "words", "sketch", F.explode("kept").alias("key")).join(F.broadcast(common) if few else common, "key")
-        keys = keys.groupBy("key", "h", "g").agg(F.min("at").alias("at"), F.first("words").alias("n"), F.first("sketch").alias("sketch"))
-        mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(3)))
-        keys = keys.select("key", "at", "n", "sketch", F.count(F.lit(1)).over(mine).alias("have"))
+        keys = lines.select("h", "g", "at", "words", F.explode("kept").alias("kept")).select("h", "g", "at", "words", *told)
+        keys = keys.join(F.broadcast(common) if few else common, "key")
+        keys = keys.groupBy("key", "h", "g").agg(F.min("at").alias("at"), F.first("words").alias("n"), F.first("poor").alias("poor"))
+        mine = Window.partitionBy("at", F.col("key").bitwiseAND(F.lit(_RANKED + 3)))
+        keys = keys.select("key", "at", "n", "poor", F.count(F.lit(1)).over(mine).alias("have"))
         far_keys = scratch.stored(keys.where(F.col("have") >= _common(F.col("key"), F.col("n"), words_per_edit)).drop("have"))
         open_ends = open_ends.unionByName(far_keys.select("at", F.lit("R").alias("need")).distinct())
     maybe = scratch.stored(open_ends.groupBy("at").agg(F.collect_set("need").alias("needs")))
@@ -331,7 +385,8 @@ def repeated_lines(
     # A row that is given several times puts its lines in one place.
     wanted = wanted.dropDuplicates(["at"])
     if several:
-        wanted = wanted.withColumn("letters", F.when(F.array_contains("needs", "R"), _letters(F.col("w"))))
+        far = F.array_contains("needs", "R")
+        wanted = wanted.withColumns({"letters": F.when(far, _letters(F.col("w"))), "sketch": F.when(far, _sketch(F.col("w")))})
     words = scratch.stored(wanted)
 
     keys = words.where("size(array_remove(needs, 'R')) > 0").select("at", F.explode(_variants(F.col("w"), F.col("needs"))).alias("v")).select("at", "v.role", "v.key")
