@@ -47,6 +47,8 @@ MOST_BROADCAST = 500_000
 _LAST = (1 << 63) - 1
 #: Bits of a key of several edits: that it is one of ranked words, that its line is poor.
 _RANKED, _POOR = 4, 8
+#: Words of 64 bits of a sketch, a power of two.
+LANES = 4
 
 
 def _keyed(documents: DataFrame) -> tuple[DataFrame, str]:
@@ -251,12 +253,23 @@ def _common(key: Column, n: Column, words_per_edit: int) -> Column:
 
 
 def _sketch(w: Column) -> Column:
-    """64 bits, each the parity of some ranked words: an edit turns two bits at most.
+    """LANES times 64 bits, each the parity of some ranked words: an edit turns two bits at most.
 
-    Without their ranks, words that a line has an even number of times would leave no trace.
+    Without their ranks, words that a line has an even number of times would leave no trace. Where
+    two changed words meet in one bit, lines beyond the bound seem nearer: more bits, fewer of them.
     """
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(_ranked(w), F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
+
+    def lane(ranked: Column, number: int) -> Column:
+        mine = F.filter(ranked, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(LANES - 1)) == number)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
+
+    return F.element_at(F.transform(F.array(_ranked(w)), lambda r: F.array(*[lane(r, i) for i in range(LANES)])), 1)
+
+
+def _turned(a: Column, b: Column) -> Column:
+    """Bits that two sketches differ in."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, LANES)), F.bit_count(a[0].bitwiseXOR(b[0])))
 
 
 def _letter(number: Column) -> Column:
@@ -296,7 +309,7 @@ def _far_edited(words: DataFrame, shared: DataFrame, scratch: tables.Scratch, wo
     shared = shared.join(words.select("at", "sketch"), "at")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        able = (F.abs(F.col("n") - F.col("fn")) <= bound) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("fsketch"))) <= 2 * bound)
+        able = (F.abs(F.col("n") - F.col("fn")) <= bound) & (_turned(F.col("sketch"), F.col("fsketch")) <= 2 * bound)
         able &= ~(F.col("poor") & F.col("fpoor")) | (F.col("key").bitwiseAND(F.lit(_RANKED)) > 0)
         able = scratch.stored(pairs.where((F.col("fat") < F.col("at")) & able).select("at", "n", "fat", "fn").distinct())
 
